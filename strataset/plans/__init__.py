@@ -6,7 +6,12 @@ from strataset.plans.registry import ORACLES, QUERIES, Query
 
 
 def _load() -> None:
-    from strataset.plans import explore_queries, semantic_queries  # noqa: F401
+    from strataset.plans import (  # noqa: F401
+        explore_queries,
+        project_queries,
+        semantic_queries,
+        term_queries,
+    )
 
 
 def queries() -> dict[str, Query]:

@@ -86,3 +86,245 @@ DOC_LINES = f"{DOC_FILES}, {_LINES.format(name='doc')}"
 CORPUS_LINES = f"""{CODE_FILES}, {DOC_FILES},
 corpus_files AS (SELECT * FROM code_files UNION ALL SELECT * FROM doc_files),
 {_LINES.format(name='corpus')}"""
+
+# Terms: the words of all documents. Both dialects read these expressions alike; first_doc and
+# last_doc are the lowest and highest document holding the word, langs the number of languages.
+_TERM_FIELDS = (
+    "id",
+    "id AS term",
+    "n AS count",
+    "CASE WHEN id >= 'a' AND id < '{' THEN 'word' WHEN id >= '0' AND id < ':' THEN 'number' "
+    "ELSE 'symbol' END AS category",
+    "CASE WHEN n > 10 THEN 'high' ELSE 'low' END AS significance",
+    "CASE WHEN langs > 1 THEN 'shared' ELSE 'local' END AS vibe",
+    "CASE WHEN n = 1 THEN 'review' ELSE 'keep' END AS action_suggestion",
+    "CASE WHEN n > 100 THEN '*' ELSE NULL END AS emoji_representation",
+    "CASE WHEN langs = 1 THEN first_lang ELSE NULL END AS osi_layer",
+    "CASE WHEN n % 2 = 0 THEN CAST(2 AS BIGINT) WHEN n % 3 = 0 THEN CAST(3 AS BIGINT) "
+    "ELSE NULL END AS prime_factor",
+    "(n & (n - 1)) = 0 AS is_power_of_two",
+    "concat('@', CAST(first_doc AS STRING)) AS numerical_address",
+    "first_doc AS first_seen_timestamp",
+    "last_doc AS last_seen_timestamp",
+    "substr(id, 1, 1) AS character_group",
+)
+
+
+def raw_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per distinct lower-cased word, with all fields of a term document."""
+    found = F.expr(r"regexp_extract_all(text, r'([^ \n\t.,|]+)', 1)")
+    words = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", F.explode(found).alias("word")
+    )
+    counted = words.groupBy(F.lower("word").alias("id")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("lang").alias("langs"),
+        F.min("lang").alias("first_lang"),
+        F.min("doc_id").alias("first_doc"),
+        F.max("doc_id").alias("last_doc"),
+    )
+    return counted.selectExpr(
+        *_TERM_FIELDS,
+        "CASE WHEN n > 1 THEN array(first_lang, id) ELSE NULL END AS semantic_names",
+        "array(CAST(n AS DOUBLE), CAST(langs AS DOUBLE)) AS embedding_vectors",
+        "array('v1') AS versions",
+    )
+
+
+TERMS = f"""words AS (
+  SELECT doc_id, lang, lower(w) AS id
+  FROM (SELECT doc_id, lang, unnest(regexp_extract_all(text, '([^ \\n\\t.,|]+)', 1)) AS w
+        FROM documents)),
+counted AS (
+  SELECT id, count(*) AS n, count(DISTINCT lang) AS langs, min(lang) AS first_lang,
+         min(doc_id) AS first_doc, max(doc_id) AS last_doc
+  FROM words GROUP BY id),
+terms AS (
+  SELECT {", ".join(_TERM_FIELDS)},
+         CASE WHEN n > 1 THEN [first_lang, id] ELSE NULL END AS semantic_names FROM counted),
+split_terms AS (
+  SELECT *, CASE WHEN regexp_matches(character_group, '^[A-Za-z]') THEN 'train'
+                 WHEN regexp_matches(character_group, '^[0-9]') THEN 'validation'
+                 ELSE 'test' END AS split FROM terms)"""
+
+# Projects: manifests and build scripts per part, packages per order, dependencies per line item,
+# registry and repository snapshots per customer and supplier, commits per event.
+_MANIFEST = r"""
+concat_ws(chr(10),
+  CASE WHEN p_size % 10 = 0
+       THEN concat('[workspace]', chr(10), 'members = ["core", "m', CAST(p_partkey AS STRING), '"]')
+       ELSE NULL END,
+  CASE WHEN p_size % 25 = 24 THEN NULL ELSE concat('[package]', chr(10),
+       'name = "crate', CAST(p_partkey AS STRING), '"') END,
+  CASE WHEN p_size % 25 = 24 OR p_size % 4 = 1 THEN NULL
+       ELSE concat('version = "0.', CAST(p_size AS STRING), '.1"') END,
+  CASE WHEN p_size % 25 = 24 THEN NULL ELSE concat('description = "', p_name, '"', chr(10),
+       'authors = ["a', CAST(p_partkey % 7 AS STRING), '", "b"]', chr(10), 'license = "MIT"') END,
+  CASE WHEN p_size % 6 = 0
+       THEN concat('[features]', chr(10), 'std = []', chr(10), 'default = ["std"]')
+       ELSE NULL END,
+  CASE WHEN p_size % 3 = 0 THEN concat('[lib]', chr(10), 'path = "src/lib.rs"')
+       WHEN p_size % 3 = 1 THEN concat('[[bin]]', chr(10), 'name = "main"')
+       ELSE NULL END)
+"""
+_CRATE = "concat('crates/', lower(replace(p_brand, '#', '')), '/c', CAST(p_partkey AS STRING))"
+_SCRIPT = """
+concat('fn main() {', chr(10), repeat(concat('    run();', chr(10)), p_size % 4), '}', chr(10))
+"""
+_REPOSITORY = """
+concat(CASE WHEN o_orderkey % 5 = 0 THEN 'https://gitlab.com/org' ELSE 'https://github.com/org' END,
+       CAST(o_custkey % 20 AS STRING), '/r', CAST(o_custkey % 150 AS STRING),
+       CASE o_orderkey % 4 WHEN 0 THEN '.git' WHEN 1 THEN '/' WHEN 2 THEN '.git/' ELSE '' END)
+"""
+_PKG_FIELDS = (
+    "o_orderkey AS pkg_id",
+    "concat('pkg', CAST(o_custkey AS STRING)) AS name",
+    "concat('0.', CAST(o_custkey % 7 AS STRING), '.', CAST(o_orderkey % 11 AS STRING)) AS version",
+    f"CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE {_REPOSITORY} END AS repository",
+)
+_DECL_FIELDS = (
+    "l_orderkey AS pkg_id",
+    "l_linenumber AS dep_ord",
+    "concat('part', CAST(l_partkey % 50 AS STRING)) AS dep_name",
+    "CASE l_returnflag WHEN 'A' THEN 'dev' WHEN 'R' THEN 'build' ELSE 'normal' END AS kind",
+    "concat('^1.', CAST(l_suppkey % 5 AS STRING)) AS version_req",
+    "l_linestatus = 'O' AS optional",
+    "l_tax > 0.02 AS default_features",
+    "CASE WHEN l_linestatus = 'F' THEN 'registry' ELSE NULL END AS source",
+)
+_EDGE_FIELDS = (
+    "l_orderkey AS pkg_id",
+    "l_linenumber AS edge_ord",
+    "l_partkey AS dep_pkg_id",
+    "concat('part', CAST(l_partkey % 50 AS STRING)) AS dep_pkg_name",
+    "concat('1.', CAST(l_suppkey % 5 AS STRING), '.0') AS dep_version",
+)
+_REGISTRY_FIELDS = (
+    "concat('pkg', CAST(c_custkey AS STRING)) AS name",
+    "c_custkey * 10 + c_nationkey AS downloads",
+)
+_REPO_FIELDS = (
+    "concat('org', CAST(s_suppkey % 20 AS STRING)) AS owner",
+    "concat('r', CAST(s_suppkey AS STRING)) AS repo",
+    "s_suppkey * 3 AS stars",
+    "s_suppkey % 17 AS forks",
+    "s_nationkey AS issues",
+    "concat('2024-01-', lpad(CAST(s_suppkey % 28 + 1 AS STRING), 2, '0'), 'T06:30:00Z') "
+    "AS updated_at",
+)
+_COMMIT_FIELDS = (
+    "concat('proj', CAST(user_id % 20 AS STRING)) AS project",
+    "event_id AS sha",
+    "CASE WHEN event_type = 'error' THEN NULL ELSE concat('u', CAST(user_id AS STRING)) END "
+    "AS author",
+    "ts",
+)
+# Fixed value: the day the age of a project is measured at.
+AS_OF = "2024-02-01 00:00:00"
+
+
+def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content): a manifest per part, some of them workspaces, some without a package."""
+    return table(spark, sf_dir, "part").selectExpr(
+        f"concat({_CRATE}, '/Cargo.toml') AS path", f"{_MANIFEST} AS content"
+    )
+
+
+def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").filter("p_size % 2 = 1").selectExpr(
+        f"concat({_CRATE}, '/build.rs') AS path", f"{_SCRIPT} AS content"
+    )
+
+
+def pkgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(*_PKG_FIELDS)
+
+
+def decl_deps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        *_DECL_FIELDS,
+        "CASE WHEN l_linenumber % 2 = 0 THEN array('std') ELSE array() END AS features",
+    )
+
+
+def resolve_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").filter("l_quantity > 10").selectExpr(*_EDGE_FIELDS)
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr(*_REGISTRY_FIELDS)
+
+
+def repos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").selectExpr(*_REPO_FIELDS)
+
+
+def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(*_COMMIT_FIELDS)
+
+
+def _cte(name: str, fields: tuple[str, ...], source: str) -> str:
+    return f"{name} AS (SELECT {', '.join(fields)} FROM {source})"
+
+
+PKGS = _cte("pkgs", _PKG_FIELDS, "orders")
+DECL_DEPS = _cte("decl_deps", _DECL_FIELDS, "lineitem")
+RESOLVE_EDGES = _cte("resolve_edges", _EDGE_FIELDS, "lineitem WHERE l_quantity > 10")
+REGISTRY = _cte("registry", _REGISTRY_FIELDS, "customer")
+REPOS = _cte("repos", _REPO_FIELDS, "supplier")
+COMMITS = _cte("commits", _COMMIT_FIELDS, "events")
+# What the manifests say, written down from the parts directly rather than parsed.
+MANIFESTS = f"""manifests AS (
+  SELECT {_CRATE} AS project_path, concat('c', p_partkey) AS project_dir,
+         p_size % 25 <> 24 AS has_package, p_size % 10 = 0 AS has_workspace,
+         CASE WHEN p_size % 25 <> 24 THEN concat('crate', p_partkey) END AS name,
+         CASE WHEN p_size % 25 <> 24 AND p_size % 4 <> 1 THEN concat('0.', p_size, '.1') END
+           AS version,
+         CASE WHEN p_size % 25 <> 24 THEN p_name END AS description,
+         CASE WHEN p_size % 25 <> 24 THEN concat('["a', p_partkey % 7, '","b"]') END AS authors,
+         CASE WHEN p_size % 25 <> 24 THEN 'MIT' END AS license,
+         CASE WHEN p_size % 10 = 0 THEN concat('["core","m', p_partkey, '"]') END AS members,
+         CASE WHEN p_size % 6 = 0 THEN '{{"default":["std"],"std":[]}}' END AS features,
+         CASE WHEN p_size % 3 = 0 THEN '{{"path":"src/lib.rs"}}' END AS targets,
+         p_size % 2 = 1 AS has_build_script,
+         CASE WHEN p_size % 2 = 1 THEN CAST(p_size % 4 + 2 AS BIGINT) ELSE 0 END AS script_lines
+  FROM part)"""
+
+# IR records: one per part and level, the level taken from the order key.
+_IR_EXTRA = (
+    "concat('ir_gen:', construct_name, ':', optimization_level) AS id",
+    "concat('src/', construct_name, '.rs') AS source_file",
+    "'ir_generation' AS phase",
+    "CAST(level + 1 AS BIGINT) AS processing_order",
+    "concat('fn ', construct_name, '() {}') AS rust_source",
+    "concat('define void @', construct_name, '()') AS llvm_ir",
+    "'x86_64' AS target_architecture",
+    "'1.0' AS extractor_version",
+)
+
+
+def ir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_partkey", F.expr("l_orderkey % 4").alias("level"))
+        .agg(
+            F.max("l_quantity").cast("int").alias("ir_instruction_count"),
+            F.max("l_linenumber").alias("complexity_score"),
+        )
+        .selectExpr(
+            "concat('part', CAST(l_partkey AS STRING)) AS construct_name",
+            "concat('O', CAST(level AS STRING)) AS optimization_level",
+            "level", "ir_instruction_count", "complexity_score",
+        )
+    )
+    return counted.selectExpr("*", *_IR_EXTRA).drop("level")
+
+
+IR = f"""ir_counted AS (
+  SELECT concat('part', l_partkey) AS construct_name, concat('O', l_orderkey % 4)
+           AS optimization_level, l_orderkey % 4 AS level,
+         CAST(max(l_quantity) AS INTEGER) AS ir_instruction_count,
+         CAST(max(l_linenumber) AS INTEGER) AS complexity_score
+  FROM lineitem GROUP BY l_partkey, l_orderkey % 4),
+ir AS (SELECT construct_name, optimization_level, ir_instruction_count, complexity_score,
+              {", ".join(_IR_EXTRA)} FROM ir_counted)"""
