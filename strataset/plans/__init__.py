@@ -11,6 +11,7 @@ def _load() -> None:
         project_queries,
         semantic_queries,
         term_queries,
+        validate_queries,
     )
 
 

@@ -328,3 +328,89 @@ IR = f"""ir_counted AS (
   FROM lineitem GROUP BY l_partkey, l_orderkey % 4),
 ir AS (SELECT construct_name, optimization_level, ir_instruction_count, complexity_score,
               {", ".join(_IR_EXTRA)} FROM ir_counted)"""
+
+# Catalog: documents as one dataset with a config per language and a split per source.
+_SPLIT = "'documents' AS dataset, lang AS config, source AS split"
+
+
+def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(dataset, config, split) of all splits, configs and the dataset, nulls above a level."""
+    docs = table(spark, sf_dir, "documents")
+    splits = docs.selectExpr(
+        "'documents' AS dataset", "lang AS config", "source AS split"
+    ).distinct()
+    return splits.rollup("dataset", "config", "split").count().filter(
+        "dataset IS NOT NULL"
+    ).drop("count")
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, dataset, config, split, ok); splits without labels have no statistics response."""
+    docs = table(spark, sf_dir, "documents").drop("text")
+    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
+    viewer = docs.groupBy("lang").agg((F.count(F.lit(1)) > 120).alias("ok")).selectExpr(
+        "'config-has-viewer' AS kind", "'documents' AS dataset", "lang AS config",
+        "CAST(NULL AS STRING) AS split", "ok",
+    )
+    fields = ("'documents' AS dataset", "lang AS config", "source AS split", "ok")
+    preview = docs.groupBy("lang", "source").agg((F.max("n_chars") > 2000).alias("ok"))
+    stats = labelled.groupBy("lang", "source").agg((F.max("quality") == 1).alias("ok"))
+    return viewer.unionByName(
+        preview.selectExpr("'split-has-preview' AS kind", *fields)
+    ).unionByName(stats.selectExpr("'split-has-statistics' AS kind", *fields))
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(dataset, config, column, dtype): the longest language has no metadata, and a language
+    whose shortest document has at most four characters has no text column."""
+    sizes = table(spark, sf_dir, "documents").groupBy("lang").agg(
+        F.min("n_chars").alias("shortest"), F.max("n_chars").alias("longest")
+    ).filter("longest < 30000")
+    return sizes.selectExpr(
+        "'documents' AS dataset", "lang AS config",
+        "inline(array_compact(array(named_struct('column', 'n_chars', 'dtype', 'int64'), "
+        "CASE WHEN shortest > 4 THEN named_struct('column', 'text', 'dtype', 'string') END)))",
+    )
+
+
+def cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cached split results of the splits that have labels; toxic ones failed."""
+    docs = table(spark, sf_dir, "documents").drop("text")
+    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
+    return labelled.groupBy("lang", "source").agg(
+        F.when(F.max("toxic") == 1, 500).otherwise(200).alias("status"),
+        F.lit(True).alias("viewer"),
+        (F.max("n_chars") > 2000).alias("preview"),
+        (F.min("n_chars") > 100).alias("search"),
+        (F.count(F.lit(1)) > 3).alias("filter"),
+        (F.max("quality") == 1).alias("statistics"),
+    ).selectExpr(
+        "'split-is-valid' AS kind", "'documents' AS dataset", "lang AS config",
+        "source AS split", "status", "viewer", "preview", "search", "filter", "statistics",
+    )
+
+
+CATALOG = f"""entities AS (
+  SELECT DISTINCT {_SPLIT} FROM documents
+  UNION ALL SELECT DISTINCT 'documents', lang, NULL FROM documents
+  UNION ALL SELECT 'documents', NULL, NULL),
+labelled AS (SELECT d.lang, d.source, d.n_chars, l.quality, l.toxic
+             FROM documents d JOIN labels l USING (doc_id)),
+responses AS (
+  SELECT 'config-has-viewer' AS kind, 'documents' AS dataset, lang AS config, NULL AS split,
+         count(*) > 120 AS ok FROM documents GROUP BY lang
+  UNION ALL SELECT 'split-has-preview', 'documents', lang, source, max(n_chars) > 2000
+            FROM documents GROUP BY lang, source
+  UNION ALL SELECT 'split-has-statistics', 'documents', lang, source, max(quality) = 1
+            FROM labelled GROUP BY lang, source),
+feature_sizes AS (SELECT lang, min(n_chars) AS shortest, max(n_chars) AS longest
+                  FROM documents GROUP BY lang HAVING max(n_chars) < 30000),
+features AS (
+  SELECT 'documents' AS dataset, lang AS config, 'n_chars' AS "column", 'int64' AS dtype
+  FROM feature_sizes
+  UNION ALL SELECT 'documents', lang, 'text', 'string' FROM feature_sizes WHERE shortest > 4),
+cached AS (
+  SELECT 'split-is-valid' AS kind, {_SPLIT}, CASE WHEN max(toxic) = 1 THEN 500 ELSE 200 END
+           AS status, true AS viewer, max(n_chars) > 2000 AS preview, min(n_chars) > 100 AS search,
+         count(*) > 3 AS filter, max(quality) = 1 AS statistics
+  FROM labelled GROUP BY lang, source)"""
