@@ -248,8 +248,8 @@ SEARCH_NAMES = ("term", "text", "content")
 STATISTICS_NAMES = ("count", "id", "timestamp")
 
 
-def assess_capabilities(file_info: DataFrame) -> DataFrame:
-    """The five flags of a Parquet dataset from its files' row counts and column names."""
+def file_flags() -> dict[str, Column]:
+    """The five flags of a Parquet dataset, as aggregates over its file info."""
 
     def named(parts: Sequence[str]) -> Column:
         return F.exists(
@@ -263,9 +263,12 @@ def assess_capabilities(file_info: DataFrame) -> DataFrame:
         "filter": F.size("columns") > 1,
         "statistics": named(STATISTICS_NAMES),
     }
-    return file_info.agg(*[
-        F.coalesce(F.bool_or(flag), F.lit(False)).alias(c) for c, flag in flags.items()
-    ])
+    return {c: F.coalesce(F.bool_or(flag), F.lit(False)) for c, flag in flags.items()}
+
+
+def assess_capabilities(file_info: DataFrame) -> DataFrame:
+    """The five flags of a Parquet dataset from its files' row counts and column names."""
+    return file_info.agg(*[flag.alias(c) for c, flag in file_flags().items()])
 
 
 # How the types of a sample that are not shown are named.

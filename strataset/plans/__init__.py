@@ -10,6 +10,7 @@ def _load() -> None:
         explore_queries,
         project_queries,
         semantic_queries,
+        storage_queries,
         term_queries,
         validate_queries,
     )
