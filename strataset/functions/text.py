@@ -32,7 +32,7 @@ def utrim(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return utrim(text) == ""
+    return F.ltrim(text, F.lit(WHITE_SPACE)) == ""
 
 
 def first_word(text: Column) -> Column:
@@ -88,8 +88,12 @@ def inferred_type(line: Column) -> Column:
     return first_match(line, [(name, name) for name in TYPE_NAMES], "unknown")
 
 
-def phase_json(phase: str, line: Column) -> Column:
-    """The JSON payload that a record of `phase` carries about its line."""
+def phase_json(phase: str, line: Column, kind: Column | None = None) -> Column:
+    """The JSON payload that a record of `phase` carries about its line.
+
+    `kind` is the line's element type, where it has been worked out already.
+    """
+    kind = classify_element(line) if kind is None else kind
     if phase == "parsing":
         token = F.struct(
             F.lit("keyword").alias("kind"),
@@ -98,12 +102,12 @@ def phase_json(phase: str, line: Column) -> Column:
             F.octet_length(line).alias("end"),
         )
         return F.to_json(F.struct(
-            F.array(token).alias("tokens"), classify_element(line).alias("ast_node_type")
+            F.array(token).alias("tokens"), kind.alias("ast_node_type")
         ))
     if phase == "name_resolution":
         place = F.struct(F.lit(1).alias("line"), F.lit(1).alias("column"))
         return F.to_json(F.struct(
-            classify_element(line).alias("symbol_kind"),
+            kind.alias("symbol_kind"),
             F.lit("public").alias("visibility"),
             place.alias("definition_location"),
         ))
@@ -116,9 +120,12 @@ def phase_json(phase: str, line: Column) -> Column:
     raise ValueError(f"phase without payload: {phase}")
 
 
-def path_parts(path: Column) -> Column:
-    """Path as an array, which sorts component by component."""
-    return F.split(path, "/")
+def path_order(path: Column) -> Column:
+    """A key that sorts paths component by component, so that a/b comes before a-b.
+
+    The slash becomes the lowest character, which sorts faster than an array of components.
+    """
+    return F.replace(path, F.lit("/"), F.lit("\u0001"))
 
 
 def repo_key(url: Column, host: str = "github.com") -> Column:

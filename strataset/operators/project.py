@@ -10,6 +10,7 @@ from strataset.functions.numbering import dense_position
 from strataset.functions.text import repo_key
 from strataset.operators.semantic import line_count
 from strataset.schemas import PROJECT_PHASES, PROJECT_RECORD
+from strataset.session import hold
 
 
 def build_scripts(files: DataFrame) -> DataFrame:
@@ -133,15 +134,30 @@ def dependency_detail(decl: DataFrame, edges: DataFrame, pkgs: DataFrame | None
 def dependency_json(detail: DataFrame, page: int = 1000) -> DataFrame:
     """Dependency details as JSON arrays of at most `page` entries: (pkg_id, part, dependency_data).
 
-    Nearly every package has just part 0. A package with very many dependencies is numbered over
-    many tasks and gets further parts, so no single array grows without bound.
+    Nearly every package has just part 0. The dependencies of a package with more are numbered
+    over many tasks and fill further parts, so no array grows without bound.
     """
     payload = [c for c in detail.columns if c not in ("pkg_id", "dep_ord")]
-    order = [F.col("dep_ord"), *[F.col(c) for c in payload]]
-    numbered = dense_position(detail, order, within=["pkg_id"], name="_pos")
-    entry = F.struct("_pos", F.struct(*payload).alias("entry"))
+    held = hold(detail, "dependencies")
+    large = (
+        held.groupBy("pkg_id").agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > page).select("pkg_id")
+    )
+    placed = held.withColumn("part", F.lit(0))
+    if not large.isEmpty():
+        numbered = dense_position(
+            held.join(large, "pkg_id", "left_semi"),
+            [F.col("dep_ord"), *[F.col(c) for c in payload]],
+            within=["pkg_id"],
+            name="_pos",
+        )
+        part = F.expr(f"CAST((_pos - 1) DIV {page} AS INT)")
+        placed = placed.join(large, "pkg_id", "left_anti").unionByName(
+            numbered.withColumn("part", part).drop("_pos")
+        )
+    entry = F.struct("dep_ord", F.struct(*payload).alias("entry"))
     return (
-        numbered.groupBy("pkg_id", F.expr(f"CAST((_pos - 1) DIV {page} AS INT)").alias("part"))
+        placed.groupBy("pkg_id", "part")
         .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
         .select("pkg_id", "part", F.to_json("_entries.entry").alias("dependency_data"))
     )

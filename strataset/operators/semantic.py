@@ -13,7 +13,7 @@ from strataset.functions.text import (
     contains_any,
     element_name,
     is_blank,
-    path_parts,
+    path_order,
     phase_json,
     utrim,
     variable_name,
@@ -50,17 +50,17 @@ def explode_lines(
     With `context`, context_before and context_after are the neighbouring raw lines, looked up in
     the file's own array, which spares the shuffle a window would need.
     """
-    kept = [F.col(c) for c in files.columns if c not in (path, content)]
-    arrays = files.select(
-        F.col(path).alias("file_path"), *kept, line_array(F.col(content)).alias("_split")
+    rest = ["file_path", *[c for c in files.columns if c not in (path, content)]]
+    arrays = files.withColumnRenamed(path, "file_path").select(
+        *rest, line_array(F.col(content)).alias("_split")
     )
     lines = F.slice(
         "_split", F.lit(1), F.size("_split") - (F.element_at("_split", -1) == "").cast("int")
     )
-    arrays = arrays.withColumn("_lines", lines).drop("_split")
-    rest = [c for c in arrays.columns if c != "_lines"]
+    # The generators get an expression, not a column: from a column the optimizer infers a filter
+    # on its size, which it pushes below the split, so that every text would be split again.
     if not context:
-        exploded = arrays.select(*rest, F.posexplode("_lines").alias("_pos", "line"))
+        exploded = arrays.select(*rest, F.posexplode(lines).alias("_pos", "line"))
         return exploded.select(*rest, (F.col("_pos") + 1).cast("long").alias("line_no"), "line")
     rows = F.transform(
         "_lines",
@@ -71,7 +71,7 @@ def explode_lines(
             F.get("_lines", i + 1).alias("context_after"),
         ),
     )
-    return arrays.select(*rest, F.inline(rows))
+    return arrays.select(*rest, lines.alias("_lines")).select(*rest, F.inline(rows))
 
 
 def line_context(lines: DataFrame, block: int = 50_000) -> DataFrame:
@@ -112,24 +112,24 @@ _PHASE_MS = {"parsing": 1, "name_resolution": 2, "type_inference": 3}
 
 
 def _phase_columns(phase: str, has_context: bool) -> dict[str, Column]:
-    line = F.col("line")
+    line, kind = F.col("line"), F.col("_kind")
     columns = {
-        "element_type": classify_element(line),
+        "element_type": kind,
         "element_name": element_name(line),
         "processing_time_ms": F.lit(_PHASE_MS[phase]).cast("long"),
     }
     if phase == "parsing":
-        columns["syntax_data"] = phase_json(phase, line)
+        columns["syntax_data"] = phase_json(phase, line, kind)
         if has_context:
             columns["context_before"] = F.col("context_before")
             columns["context_after"] = F.col("context_after")
     elif phase == "name_resolution":
         columns["element_signature"] = utrim(line)
-        columns["symbol_data"] = phase_json(phase, line)
+        columns["symbol_data"] = phase_json(phase, line, kind)
     else:
         columns["element_type"] = F.lit("variable_or_return")
         columns["element_name"] = variable_name(line)
-        columns["type_data"] = phase_json(phase, line)
+        columns["type_data"] = phase_json(phase, line, kind)
     return columns
 
 
@@ -145,11 +145,12 @@ def phase_records(
     if not active:
         return lines.sparkSession.createDataFrame([], SEMANTIC_RECORD)
     line = F.col("line")
+    kinds = lines.withColumn("_kind", classify_element(line))
     if len(active) == 1:
-        tagged = lines.filter(_SELECTED[active[0]](line)).withColumn("phase", F.lit(active[0]))
+        tagged = kinds.filter(_SELECTED[active[0]](line)).withColumn("phase", F.lit(active[0]))
     else:
         tags = [F.when(_SELECTED[p](line), F.lit(p)) for p in active]
-        tagged = lines.withColumn("phase", F.explode(F.array_compact(F.array(*tags))))
+        tagged = kinds.withColumn("phase", F.explode(F.array_compact(F.array(*tags))))
 
     has_context = "context_before" in lines.columns
     per_phase = {p: _phase_columns(p, has_context) for p in active}
@@ -219,7 +220,7 @@ def processing_order(
 ) -> DataFrame:
     """Fill processing_order with the dense sequence phase, file, line (or file, phase, line)."""
     rank = F.array_position(F.array(*[F.lit(p) for p in phases]), F.col("phase"))
-    path = path_parts(F.col("file_path"))
+    path = path_order(F.col("file_path"))
     if mode == "phase_first":
         order = [rank, path, F.col("line")]
     elif mode == "file_first":

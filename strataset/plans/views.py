@@ -88,7 +88,7 @@ corpus_files AS (SELECT * FROM code_files UNION ALL SELECT * FROM doc_files),
 {_LINES.format(name='corpus')}"""
 
 # Terms: the words of all documents. Both dialects read these expressions alike; first_doc and
-# last_doc are the lowest and highest document holding the word, langs the number of languages.
+# last_doc are the lowest and highest document holding the word.
 _TERM_FIELDS = (
     "id",
     "id AS term",
@@ -96,10 +96,10 @@ _TERM_FIELDS = (
     "CASE WHEN id >= 'a' AND id < '{' THEN 'word' WHEN id >= '0' AND id < ':' THEN 'number' "
     "ELSE 'symbol' END AS category",
     "CASE WHEN n > 10 THEN 'high' ELSE 'low' END AS significance",
-    "CASE WHEN langs > 1 THEN 'shared' ELSE 'local' END AS vibe",
+    "CASE WHEN first_doc < last_doc THEN 'shared' ELSE 'local' END AS vibe",
     "CASE WHEN n = 1 THEN 'review' ELSE 'keep' END AS action_suggestion",
     "CASE WHEN n > 100 THEN '*' ELSE NULL END AS emoji_representation",
-    "CASE WHEN langs = 1 THEN first_lang ELSE NULL END AS osi_layer",
+    "CASE WHEN first_doc = last_doc THEN 'application' ELSE NULL END AS osi_layer",
     "CASE WHEN n % 2 = 0 THEN CAST(2 AS BIGINT) WHEN n % 3 = 0 THEN CAST(3 AS BIGINT) "
     "ELSE NULL END AS prime_factor",
     "(n & (n - 1)) = 0 AS is_power_of_two",
@@ -113,35 +113,30 @@ _TERM_FIELDS = (
 def raw_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per distinct lower-cased word, with all fields of a term document."""
     found = F.expr(r"regexp_extract_all(text, r'([^ \n\t.,|]+)', 1)")
-    words = table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", F.explode(found).alias("word")
-    )
+    words = table(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("word"))
     counted = words.groupBy(F.lower("word").alias("id")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.countDistinct("lang").alias("langs"),
-        F.min("lang").alias("first_lang"),
         F.min("doc_id").alias("first_doc"),
         F.max("doc_id").alias("last_doc"),
     )
     return counted.selectExpr(
         *_TERM_FIELDS,
-        "CASE WHEN n > 1 THEN array(first_lang, id) ELSE NULL END AS semantic_names",
-        "array(CAST(n AS DOUBLE), CAST(langs AS DOUBLE)) AS embedding_vectors",
+        "CASE WHEN n > 1 THEN array(concat('d', first_doc), id) ELSE NULL END AS semantic_names",
+        "array(CAST(n AS DOUBLE), CAST(first_doc AS DOUBLE)) AS embedding_vectors",
         "array('v1') AS versions",
     )
 
 
 TERMS = f"""words AS (
-  SELECT doc_id, lang, lower(w) AS id
-  FROM (SELECT doc_id, lang, unnest(regexp_extract_all(text, '([^ \\n\\t.,|]+)', 1)) AS w
+  SELECT doc_id, lower(w) AS id
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '([^ \\n\\t.,|]+)', 1)) AS w
         FROM documents)),
 counted AS (
-  SELECT id, count(*) AS n, count(DISTINCT lang) AS langs, min(lang) AS first_lang,
-         min(doc_id) AS first_doc, max(doc_id) AS last_doc
+  SELECT id, count(*) AS n, min(doc_id) AS first_doc, max(doc_id) AS last_doc
   FROM words GROUP BY id),
 terms AS (
   SELECT {", ".join(_TERM_FIELDS)},
-         CASE WHEN n > 1 THEN [first_lang, id] ELSE NULL END AS semantic_names FROM counted),
+         CASE WHEN n > 1 THEN [concat('d', first_doc), id] ELSE NULL END AS semantic_names FROM counted),
 split_terms AS (
   SELECT *, CASE WHEN regexp_matches(character_group, '^[A-Za-z]') THEN 'train'
                  WHEN regexp_matches(character_group, '^[0-9]') THEN 'validation'
