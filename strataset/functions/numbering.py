@@ -36,8 +36,8 @@ def dense_position(
         Window.unboundedPreceding, -1
     )
     # One row per partition and group: the window below sees at most as many rows per group as
-    # the sort had partitions.
-    starts = (
+    # the sort had partitions. Held, so that its true size decides how the join below is done.
+    starts = hold(
         held.groupBy("_part", *within)
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
@@ -45,7 +45,8 @@ def dense_position(
             F.col("_part").alias("_start_part"),
             *[F.col(g).alias(f"_start_{g}") for g in within],
             (F.col("_before") - F.col("_first") + 1).alias("_shift"),
-        )
+        ),
+        "position-starts",
     )
     same = F.col("_part") == F.col("_start_part")
     for g in within:

@@ -75,8 +75,9 @@ def type_patterns(records: DataFrame) -> DataFrame:
 
 
 def project_totals(projects: DataFrame) -> DataFrame:
+    """Projects, dependencies and lines; a continuation record is no project of its own."""
     return projects.agg(
-        F.count(F.lit(1)).alias("projects"),
+        F.count_if(~F.col("id").rlike(":dependency_analysis:[0-9]+$")).alias("projects"),
         F.sum("total_dependencies").alias("total_dependencies"),
         F.sum("lines_of_code").alias("lines_of_code"),
     )
@@ -97,10 +98,14 @@ def dataset_summary(records: DataFrame, projects: DataFrame, ir: DataFrame) -> D
         return df.select(section.alias("section"), F.inline(entries))
 
     section = F.concat(F.lit("semantic_"), F.col("phase"))
-    per_phase = records.groupBy("phase").agg(
-        F.count(F.lit(1)).alias("records"), F.countDistinct("file_path").alias("files")
+    # Both semantic summaries start from the same counts, so the records are scanned once.
+    per_file = records.groupBy("phase", "file_path", "element_type").agg(
+        F.count(F.lit(1)).alias("records")
     )
-    per_element = records.groupBy("phase", "element_type").agg(F.count(F.lit(1)).alias("records"))
+    per_phase = per_file.groupBy("phase").agg(
+        F.sum("records").alias("records"), F.countDistinct("file_path").alias("files")
+    )
+    per_element = per_file.groupBy("phase", "element_type").agg(F.sum("records").alias("records"))
     levels = ir.groupBy("optimization_level").agg(
         F.count(F.lit(1)).alias("records"),
         F.avg("ir_instruction_count").alias("instructions"),

@@ -6,14 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from strataset.session import hold
+
 
 def with_hash(files: DataFrame) -> DataFrame:
     return files.withColumn("content_hash", F.sha2("content", 256))
 
 
 def incremental_extract(files: DataFrame, seen: DataFrame) -> DataFrame:
-    """The files that are new or changed against (file_path, content_hash) of an earlier run."""
-    return with_hash(files).join(seen, ["file_path", "content_hash"], "left_anti")
+    """The files that are new or changed against (file_path, content_hash) of an earlier run.
+
+    Only paths and hashes are compared and moved. The list of changed files is held, so that its
+    true size decides how contents are picked: few changes go to every task, and the contents are
+    filtered where they are read.
+    """
+    keys = ["file_path", "content_hash"]
+    hashed = with_hash(files)
+    changed = hold(hashed.select(*keys).join(seen, keys, "left_anti"), "changed-files")
+    return hashed.join(changed, keys, "left_semi")
 
 
 def dedup_records(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -139,9 +139,10 @@ def dependency_json(detail: DataFrame, page: int = 1000) -> DataFrame:
     """
     payload = [c for c in detail.columns if c not in ("pkg_id", "dep_ord")]
     held = hold(detail, "dependencies")
-    large = (
+    large = hold(
         held.groupBy("pkg_id").agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > page).select("pkg_id")
+        .filter(F.col("_n") > page).select("pkg_id"),
+        "large-packages",
     )
     placed = held.withColumn("part", F.lit(0))
     if not large.isEmpty():
@@ -164,16 +165,27 @@ def dependency_json(detail: DataFrame, page: int = 1000) -> DataFrame:
 
 
 def dependency_records(counts: DataFrame, pages: DataFrame) -> DataFrame:
-    """Project records of the dependency phase; parts after the first are marked in the id."""
+    """Project records of the dependency phase, one per package.
+
+    A package whose dependency data has several parts gets a continuation record for each further
+    part: its id ends in the part number, and it repeats no counts.
+    """
     phase = F.lit("dependency_analysis")
     part = F.coalesce("part", F.lit(0))
+
+    def once(name: str) -> Column:
+        return F.when(part == 0, F.col(name)).otherwise(0).alias(name)
+
     return counts.join(pages, "pkg_id", "left").select(
         _record_id("name", "version", phase, F.when(part > 0, part.cast("string"))).alias("id"),
         F.col("name").alias("project_path"),
         F.col("name").alias("project_name"),
         F.col("version").alias("project_version"),
         phase.alias("phase"),
-        "direct_dependencies", "total_dependencies", "dev_dependencies", "build_dependencies",
+        once("direct_dependencies"),
+        once("total_dependencies"),
+        once("dev_dependencies"),
+        once("build_dependencies"),
         F.coalesce("dependency_data", F.lit("[]")).alias("dependency_data"),
     )
 

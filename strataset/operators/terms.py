@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from strataset.functions.numbering import dense_position
 from strataset.schemas import TERM_RECORD, TERM_SPLITS
 
 # Documented feature types of a term group.
@@ -72,12 +73,16 @@ def sample_per_group(
     """The first max(n // groups, 1) terms of each group by id.
 
     Ranked twice: within salted slices of a group, then among the few rows each slice kept. Both
-    filters are of the form Spark turns into a limit per group ahead of the shuffle. Without
-    `groups` the groups are counted first.
+    filters are of the form Spark turns into a limit per group ahead of the shuffle, up to a limit
+    it names; beyond that the groups are numbered over range partitions. Without `groups` the
+    groups are counted first.
     """
     if groups is None:
         groups = terms.select("character_group").distinct().count()
     k = max(n // groups, 1) if groups else 1
+    if k > int(terms.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        numbered = dense_position(terms, [F.col("id")], within=["character_group"], name="_rank")
+        return numbered.filter(F.col("_rank") <= k).drop("_rank")
     salt = F.pmod(F.xxhash64("id"), F.lit(salts))
     sliced = Window.partitionBy("character_group", "_salt").orderBy("id")
     whole = Window.partitionBy("character_group").orderBy("id")

@@ -209,12 +209,15 @@ def probe_capabilities(terms: DataFrame, groups: DataFrame | None = None) -> Dat
         groups = terms.select("character_group")
     leading = groups.select("character_group").distinct().orderBy("character_group").limit(3)
     # The first term of a group is the smallest struct, so map-side combining leaves one row per
-    # group and partition.
+    # leading group and partition.
     head = F.struct(
         "id", "term", "count", "category", "significance", "prime_factor", "is_power_of_two",
         "first_seen_timestamp", "last_seen_timestamp",
     )
-    heads = terms.groupBy("character_group").agg(F.min(head).alias("t"))
+    heads = (
+        terms.join(leading, "character_group", "left_semi")
+        .groupBy("character_group").agg(F.min(head).alias("t"))
+    )
     probed = leading.join(heads, "character_group", "left").agg(
         F.count(F.lit(1)).alias("groups"),
         F.count("t").alias("with_terms"),

@@ -126,11 +126,11 @@ def dependency_detail(spark, sf_dir):
     placed AS (
       SELECT *, row_number() OVER (PARTITION BY pkg_id ORDER BY dep_ord, name, version_req) - 1
                   AS pos FROM detail)
-    SELECT pkg_id, CAST(pos // 3 AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS entries,
+    SELECT pkg_id, CAST(pos // 1000 AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS entries,
            arg_min(name, pos) AS first_name, arg_max(name, pos) AS last_name
-    FROM placed GROUP BY pkg_id, pos // 3""")
+    FROM placed GROUP BY pkg_id, pos // 1000""")
 def dependency_json(spark, sf_dir):
-    pages = ops.dependency_json(detail(spark, sf_dir), page=3)
+    pages = ops.dependency_json(detail(spark, sf_dir))
     names = F.from_json("dependency_data", "array<struct<name string>>")
     return pages.select(
         "pkg_id", "part",
@@ -244,7 +244,9 @@ project_records AS (
          0 AS total_dependencies, 0 AS commit_count, 0 AS download_count,
          count(*) FILTER (WHERE has_build_script) AS with_build_script
   FROM manifests WHERE has_package OR has_workspace
-  UNION ALL SELECT 'dependency_analysis', count(*), 0, sum(total_dependencies), 0, 0, 0 FROM counts
+  UNION ALL SELECT 'dependency_analysis',
+                   CAST(sum(greatest(ceil(direct_dependencies / 1000.0), 1)) AS BIGINT),
+                   0, sum(total_dependencies), 0, 0, 0 FROM counts
   UNION ALL SELECT 'source_code_analysis', count(*), sum(lines_of_code), 0, 0, 0, 0 FROM metrics
   UNION ALL SELECT 'build_analysis', count(*), 0, 0, 0, 0,
                    count(*) FILTER (WHERE has_build_script) FROM manifests

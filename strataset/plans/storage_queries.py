@@ -25,6 +25,8 @@ from strataset.streaming.batches import stream_phase_batches as stream_phase_bat
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# About a terabyte of full-size files to a batch.
+FILES_PER_BATCH = 10_000
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -361,8 +363,7 @@ def phase_completeness(spark, sf_dir):
     FROM corpus_lines WHERE {sem._NOT_BLANK} GROUP BY 1""")
 def stream_phase_batches(spark, sf_dir):
     stored, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
-    records = sem.records(spark, sf_dir, "parsing").repartition(6)
-    records.write.parquet(stored)
+    sem.records(spark, sf_dir, "parsing").write.parquet(stored)
     run = _stream_phase(spark, stored, out)
     run.awaitTermination()
     return spark.read.parquet(out).groupBy("element_type").agg(
@@ -372,7 +373,7 @@ def stream_phase_batches(spark, sf_dir):
 
 def _stream_phase(spark: SparkSession, stored: str, out: str):
     return stream_phase_batches_job(
-        spark, stored, SEMANTIC_RECORD, 2, f"{out}-checkpoint", out,
+        spark, stored, SEMANTIC_RECORD, FILES_PER_BATCH, f"{out}-checkpoint", out,
         lambda df: df.select(
             "id", "element_type", F.char_length("source_snippet").alias("characters")
         ),

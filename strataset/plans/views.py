@@ -226,7 +226,7 @@ def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").filter("p_size % 2 = 1").selectExpr(
+    return table(spark, sf_dir, "part").filter("p_size > 20").selectExpr(
         f"concat({_CRATE}, '/build.rs') AS path", f"{_SCRIPT} AS content"
     )
 
@@ -281,8 +281,8 @@ MANIFESTS = f"""manifests AS (
          CASE WHEN p_size % 10 = 0 THEN concat('["core","m', p_partkey, '"]') END AS members,
          CASE WHEN p_size % 6 = 0 THEN '{{"default":["std"],"std":[]}}' END AS features,
          CASE WHEN p_size % 3 = 0 THEN '{{"path":"src/lib.rs"}}' END AS targets,
-         p_size % 2 = 1 AS has_build_script,
-         CASE WHEN p_size % 2 = 1 THEN CAST(p_size % 4 + 2 AS BIGINT) ELSE 0 END AS script_lines
+         p_size > 20 AS has_build_script,
+         CASE WHEN p_size > 20 THEN CAST(p_size % 4 + 2 AS BIGINT) ELSE 0 END AS script_lines
   FROM part)"""
 
 # IR records: one per part and level, the level taken from the order key.

@@ -10,7 +10,7 @@ from strataset.functions.numbering import dense_position
 from strataset.operators.ir import ir_projection
 from strataset.operators.terms import sample_per_group
 from strataset.schemas import PROJECT_RECORD, SEMANTIC_PHASES
-from strataset.session import scratch_path
+from strataset.session import hold, scratch_path
 from strataset.sources.storage import list_files
 
 # File limit, share of it that is used, sample for the estimate, rows per split file.
@@ -35,10 +35,10 @@ def rows_per_file(df: DataFrame, max_mb: float = MAX_MB) -> int | None:
 def _write_partitioned(df: DataFrame, path: str, keys: Sequence[str], rows: int | None) -> None:
     """Parquet below key=value directories.
 
-    The rebalance hint gathers the rows of a directory into few tasks, and splits the ones of a
-    very full directory over several.
+    Each task writes the rows it has, to a few files per directory: the limits on files are far
+    below what a task holds, so gathering a directory's rows first would only add a shuffle.
     """
-    writer = df.hint("rebalance", *keys).write.partitionBy(*keys).option("compression", "snappy")
+    writer = df.write.partitionBy(*keys).option("compression", "snappy")
     if rows is not None:
         writer = writer.option("maxRecordsPerFile", rows)
     writer.parquet(path)
@@ -79,7 +79,12 @@ def chunk_plan(
 ) -> DataFrame:
     """The file each row belongs to: chunk, chunks and file_name, `rows` rows per file and key."""
     placed = dense_position(df, order, within=[key], name="_pos")
-    sizes = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("chunks"))
+    # Held, so that its true size decides how it is joined: a few rows go to every task, and the
+    # rows of a huge key are not brought together.
+    sizes = hold(
+        placed.groupBy(key).agg(F.ceil(F.max("_pos") / rows).cast("int").alias("chunks")),
+        "chunk-sizes",
+    )
     chunk = F.expr(f"CAST((_pos - 1) DIV {rows} AS INT)")
     return (
         placed.withColumn("chunk", chunk).drop("_pos").join(sizes, key)
@@ -101,14 +106,12 @@ def export_jsonl(df: DataFrame, path: str) -> int:
 def write_sample_jsonl(terms: DataFrame, path: str, n: int = 1000) -> None:
     """The first terms of each group as JSON lines below sample=<group>/."""
     sample = sample_per_group(terms, n).withColumn("sample", F.col("character_group"))
-    sample.hint("rebalance", "sample").write.partitionBy("sample").option(
-        "ignoreNullFields", False
-    ).json(path)
+    sample.write.partitionBy("sample").option("ignoreNullFields", False).json(path)
 
 
 def write_grouped_json(df: DataFrame, key: str, path: str) -> None:
     """JSON lines below key=<value>/."""
-    df.hint("rebalance", key).write.partitionBy(key).option("ignoreNullFields", False).json(path)
+    df.write.partitionBy(key).option("ignoreNullFields", False).json(path)
 
 
 def write_report_json(df: DataFrame, path: str) -> None:

@@ -104,29 +104,10 @@ def load_phase(
     return narrow_unsigned(rows)
 
 
-def read_footer_stats(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Rows and bytes per Parquet file of a directory; the scan reads no column.
-
-    `keys` name the levels of key=value directories above the files, which become columns.
-    """
-    base = path.rstrip("/")
-    glob = base + "/*" * len(keys) + "/*.parquet"
-    counted = (
-        spark.read.option("basePath", base).parquet(glob)
-        .groupBy(plain_path(F.col("_metadata.file_path")).alias("path"))
-        .agg(F.count(F.lit(1)).alias("num_rows"))
-    )
-    files = list_files(spark, glob).withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
-    return files.join(counted, "path", "left").select(
-        *[F.regexp_extract("path", f"/{key}=([^/]*)/", 1).alias(key) for key in keys],
-        "file_name",
-        F.coalesce("num_rows", F.lit(0).cast("long")).alias("num_rows"),
-        "file_size_bytes",
-    )
-
-
 _FOOTER = T.StructType([
     T.StructField("path", T.StringType()),
+    T.StructField("file_name", T.StringType()),
+    T.StructField("file_size_bytes", T.LongType()),
     T.StructField("num_rows", T.LongType()),
     T.StructField("fields", T.ArrayType(T.StructType([
         T.StructField("name", T.StringType()), T.StructField("type", T.StringType())
@@ -134,27 +115,36 @@ _FOOTER = T.StructType([
 ])
 _FOOTER_ARROW = pa.schema([
     ("path", pa.string()),
+    ("file_name", pa.string()),
+    ("file_size_bytes", pa.int64()),
     ("num_rows", pa.int64()),
     ("fields", pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())]))),
 ])
 
 
-def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _add_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for path in batch.column("path").to_pylist():
-            store, local = open_store(path)
+        for row in batch.to_pylist():
+            store, local = open_store(row["path"])
             with store.open_input_file(local) as file:
                 footer = pq.ParquetFile(file)
                 fields = [{"name": f.name, "type": str(f.type)} for f in footer.schema_arrow]
-                rows.append({
-                    "path": path, "num_rows": footer.metadata.num_rows, "fields": fields
-                })
+                rows.append({**row, "num_rows": footer.metadata.num_rows, "fields": fields})
         yield pa.RecordBatch.from_pylist(rows, schema=_FOOTER_ARROW)
 
 
-def read_footers(spark: SparkSession, path: str) -> DataFrame:
-    """Row count and ordered columns of each Parquet file, from the footers, read by the tasks."""
-    files = list_files(spark, f"{path.rstrip('/')}/*.parquet")
-    footers = files.select("path").mapInArrow(_read_footers, _FOOTER)
-    return files.join(footers, "path")
+def read_footers(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Bytes, rows and ordered columns of each Parquet file, from the footers, read by the tasks.
+
+    No data page is read. `keys` name the levels of key=value directories above the files, which
+    become columns.
+    """
+    files = list_files(spark, path.rstrip("/") + "/*" * len(keys) + "/*.parquet")
+    values = [F.regexp_extract("path", f"/{key}=([^/]*)/", 1).alias(key) for key in keys]
+    return files.mapInArrow(_add_footers, _FOOTER).select(*values, *_FOOTER.names)
+
+
+def read_footer_stats(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows and bytes per Parquet file of a directory, without reading data."""
+    return read_footers(spark, path, keys).drop("path", "fields")

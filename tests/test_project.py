@@ -1,6 +1,6 @@
 import json
 
-from strataset.operators import ir, project
+from strataset.operators import explore, ir, project
 from strataset.schemas import PROJECT_RECORD
 from strataset.sources.manifests import scan_manifests
 
@@ -94,6 +94,16 @@ def test_dependency_pages_keep_every_entry(spark):
         assert [e["name"] for a in arrays for e in a] == ["serde", "missing", "serde"]
 
 
+def test_further_parts_repeat_no_counts(spark):
+    pkgs, decl, edges = dependencies(spark)
+    pages = project.dependency_json(project.dependency_detail(decl, edges, pkgs), 2)
+    records = project.dependency_records(project.dependency_counts(pkgs, decl, edges), pages)
+    found = {r.id: r.direct_dependencies for r in records.collect() if r.project_name == "root"}
+    assert found == {"root:0.1:dependency_analysis": 3, "root:0.1:dependency_analysis:1": 0}
+    totals = explore.project_totals(project.unify_project_records(records)).first()
+    assert (totals.projects, totals.total_dependencies) == (4, 2)
+
+
 def test_unified_records_are_complete(spark):
     pkgs, decl, edges = dependencies(spark)
     detail = project.dependency_detail(decl, edges, pkgs)
