@@ -72,10 +72,11 @@ def sample_per_group(
 ) -> DataFrame:
     """The first max(n // groups, 1) terms of each group by id.
 
-    Ranked twice: within salted slices of a group, then among the few rows each slice kept. Both
-    filters are of the form Spark turns into a limit per group ahead of the shuffle, up to a limit
-    it names; beyond that the groups are numbered over range partitions. Without `groups` the
-    groups are counted first.
+    Both filters are of the form Spark turns into a limit per group ahead of the shuffle, up to a
+    threshold it names; beyond that the groups are numbered over range partitions. What each input
+    partition kept of a group is ranked in `salts` bundles first and then as a whole, so that even
+    a group found in every partition is not ranked by one task. Without `groups` the groups are
+    counted first.
     """
     if groups is None:
         groups = terms.select("character_group").distinct().count()
@@ -83,7 +84,9 @@ def sample_per_group(
     if k > int(terms.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         numbered = dense_position(terms, [F.col("id")], within=["character_group"], name="_rank")
         return numbered.filter(F.col("_rank") <= k).drop("_rank")
-    salt = F.pmod(F.xxhash64("id"), F.lit(salts))
+    # Any assignment of rows to bundles gives the same result; by input partition each of them
+    # sends at most k rows of a group.
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
     sliced = Window.partitionBy("character_group", "_salt").orderBy("id")
     whole = Window.partitionBy("character_group").orderBy("id")
     return (
@@ -113,6 +116,29 @@ def dataset_info(terms: DataFrame) -> DataFrame:
     )
 
 
+def dataset_description(
+    terms: DataFrame, dataset_name: str, config_name: str = "default", version: str = "1.0.0"
+) -> DataFrame:
+    """The figures of dataset_info as one row, with a map of the three splits."""
+    info = dataset_info(terms)
+    split = F.struct(
+        F.col("split").alias("name"), "num_bytes", "num_examples",
+        F.lit(dataset_name).alias("dataset_name"),
+    )
+    is_total = F.col("split") == "total"
+    total = F.max(F.when(is_total, F.col("num_bytes")))
+    return info.agg(
+        F.map_from_entries(
+            F.sort_array(F.collect_list(F.when(~is_total, F.struct("split", split.alias("info")))))
+        ).alias("splits"),
+        total.alias("download_size"),
+        total.alias("dataset_size"),
+    ).select(
+        F.lit(dataset_name).alias("dataset_name"), F.lit(config_name).alias("config_name"),
+        F.lit(version).alias("version"), "splits", "download_size", "dataset_size",
+    )
+
+
 def list_null_to_empty(df: DataFrame, column: str) -> DataFrame:
     """A null list becomes an empty one, as the exporter writes it."""
     empty = F.array().cast(df.schema[column].dataType)

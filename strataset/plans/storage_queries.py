@@ -16,7 +16,7 @@ from strataset.operators import maintenance, report, semantic, terms as term_ops
 from strataset.plans import project_queries as proj, semantic_queries as sem, views
 from strataset.plans.registry import query, table
 from strataset.plans.term_queries import split_terms, terms
-from strataset.schemas import IR_LEVELS, IR_PHASES, RAW_TERM, SEMANTIC_RECORD
+from strataset.schemas import IR_LEVELS, IR_PHASES, RAW_TERM, SEMANTIC_RECORD, TERM_SPLITS
 from strataset.session import scratch_path
 from strataset.sinks import writers
 from strataset.sources import files as readers
@@ -266,6 +266,22 @@ def write_report_json(spark, sf_dir):
     return spark.read.schema("groups long, terms long").option("multiLine", True).json(path)
 
 
+@query("write_dataset_description", f"""
+    WITH {views.TERMS}
+    SELECT count(*) FILTER (WHERE split = 'train') AS train,
+           count(*) FILTER (WHERE split = 'validation') AS validation,
+           count(*) FILTER (WHERE split = 'test') AS test, count(*) * 200 AS dataset_size
+    FROM split_terms""")
+def write_dataset_description(spark, sf_dir):
+    path = scratch_path(spark, "description")
+    document = term_ops.dataset_description(terms(spark, sf_dir), "terms")
+    writers.write_report_json(document, path)
+    back = spark.read.schema(document.schema).option("multiLine", True).json(path)
+    return back.select(
+        *[F.col("splits")[s]["num_examples"].alias(s) for s in TERM_SPLITS], "dataset_size"
+    )
+
+
 @query("write_project_parquet", f"WITH {proj.PROJECT_RECORDS} {proj._RECORD_SUMS}")
 def write_project_parquet(spark, sf_dir):
     path = scratch_path(spark, "projects")

@@ -135,6 +135,15 @@ def test_phase_files_are_bounded(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(phase" in loaded._jdf.queryExecution().toString()
 
 
+def test_flat_layout(spark, tmp_path):
+    for folder, n in (("parsing-phase", 2), ("ir_generation-O2-phase", 3)):
+        (tmp_path / folder).mkdir()
+        pq.write_table(pa.table({"n": pa.array(range(n), pa.uint64())}), tmp_path / folder / "data.parquet")
+    semantic_rows = readers.load_phase(spark, str(tmp_path), "parsing", flat=True)
+    assert semantic_rows.count() == 2 and semantic_rows.dtypes == [("n", "bigint")]
+    assert readers.load_phase(spark, str(tmp_path), "ir_generation", "O2", flat=True).count() == 3
+
+
 def test_split_files_hold_at_most_the_limit(spark, tmp_path):
     out = str(tmp_path / "out")
     rows = spark.range(250).select("id", F.when(F.col("id") < 230, "train").otherwise("test").alias("split"))

@@ -33,6 +33,12 @@ def test_sample_of_a_hot_group_is_exact(spark):
     assert found == [f"{i:05}" for i in range(20)] + ["x"]
 
 
+def test_large_samples_are_numbered(spark):
+    df = frame(spark, [(f"{i:05}", "hot") for i in range(3000)] + [("x", "cold")])
+    found = sorted(r.id for r in terms.sample_per_group(df, 4000).collect())
+    assert found == [f"{i:05}" for i in range(2000)] + ["x"]
+
+
 def test_stats_list_empty_groups(spark):
     df = frame(spark, [("1", "a"), ("2", "a"), ("3", "b")])
     groups = spark.createDataFrame([("a",), ("b",), ("c",)], "character_group string")
