@@ -164,19 +164,28 @@ def dependency_json(detail: DataFrame, page: int = 1000) -> DataFrame:
     )
 
 
-def dependency_records(counts: DataFrame, pages: DataFrame) -> DataFrame:
+def dependency_records(counts: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """Project records of the dependency phase, one per package.
 
     A package whose dependency data has several parts gets a continuation record for each further
-    part: its id ends in the part number, and it repeats no counts.
+    part: its id ends in the part number, and it repeats no counts. Without `pages` there is no
+    dependency data.
     """
     phase = F.lit("dependency_analysis")
+    if pages is None:
+        joined = counts.withColumns({
+            "part": F.lit(0), "dependency_data": F.lit(None).cast("string")
+        })
+    else:
+        joined = counts.join(pages, "pkg_id", "left").withColumn(
+            "dependency_data", F.coalesce("dependency_data", F.lit("[]"))
+        )
     part = F.coalesce("part", F.lit(0))
 
     def once(name: str) -> Column:
         return F.when(part == 0, F.col(name)).otherwise(0).alias(name)
 
-    return counts.join(pages, "pkg_id", "left").select(
+    return joined.select(
         _record_id("name", "version", phase, F.when(part > 0, part.cast("string"))).alias("id"),
         F.col("name").alias("project_path"),
         F.col("name").alias("project_name"),
@@ -186,7 +195,7 @@ def dependency_records(counts: DataFrame, pages: DataFrame) -> DataFrame:
         once("total_dependencies"),
         once("dev_dependencies"),
         once("build_dependencies"),
-        F.coalesce("dependency_data", F.lit("[]")).alias("dependency_data"),
+        "dependency_data",
     )
 
 

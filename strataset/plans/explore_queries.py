@@ -51,9 +51,7 @@ def record_count(spark, sf_dir):
 
 def _projects(spark, sf_dir):
     return project.unify_project_records(
-        project.dependency_records(
-            proj.counts(spark, sf_dir), project.dependency_json(proj.detail(spark, sf_dir))
-        ),
+        project.dependency_records(proj.counts(spark, sf_dir)),
         project.source_records(proj.metrics(spark, sf_dir), "project"),
         timestamp=0,
     )

@@ -9,6 +9,7 @@ from strataset.operators import ir as ir_ops, project as ops
 from strataset.plans import views
 from strataset.plans.registry import query, table
 from strataset.schemas import IR_LEVELS
+from strataset.session import hold
 from strataset.sources.manifests import scan_manifests as parse
 
 LEVELS = ",".join(IR_LEVELS)
@@ -224,7 +225,8 @@ def version_history(spark, sf_dir):
 
 
 def project_records(spark, sf_dir):
-    found, build = manifests(spark, sf_dir), scripts(spark, sf_dir)
+    # Three phases read the manifests; held, they are parsed once.
+    found, build = hold(manifests(spark, sf_dir), "manifests"), scripts(spark, sf_dir)
     return ops.unify_project_records(
         ops.package_metadata(found, build),
         ops.workspace_metadata(found, build),

@@ -74,6 +74,10 @@ def _parse_manifest(content: pa.Array) -> pa.Array:
     return pa.array([_parse(text) for text in content.to_pylist()], type=_ARROW)
 
 
+# A filter on the parsed fields must not be pushed below the parser, which would then run twice.
+_parse_manifest = _parse_manifest.asNondeterministic()
+
+
 def scan_manifests(files: DataFrame) -> DataFrame:
     """(path, content) of manifest files to project_path, project_dir and the parsed fields.
 
