@@ -9,7 +9,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from strataset.schemas import RAW_TERM, SEMANTIC_RECORD
 from strataset.sources.storage import list_files, open_store, plain_path
@@ -55,28 +55,42 @@ def scan_term_json(spark: SparkSession, base: str) -> DataFrame:
     ).dropna(subset=required)
 
 
+def plain_root(root: str) -> str:
+    """The directory as it stands in file paths, with a slash at its end."""
+    if "://" not in root and not root.startswith("file:"):
+        root = os.path.abspath(root)
+    return open_store(root)[1].rstrip("/") + "/"
+
+
+def relative_path(path: Column, root: str) -> Column:
+    """The part of a file path below a directory."""
+    top = plain_root(root)
+    return F.substring(path, F.locate(top, path) + F.lit(len(top)), F.length(path))
+
+
 def scan_source_files(
     spark: SparkSession, root: str, ext: str = "rs", skip: Sequence[str] = ("target",)
 ) -> DataFrame:
-    """(file_path, content) of the source files below a directory.
+    """(file_path, content) of the source files below a directory, see scan_text_files."""
+    return scan_text_files(spark, root, f"*.{ext}", skip)
+
+
+def scan_text_files(
+    spark: SparkSession, root: str, names: str, skip: Sequence[str] = ()
+) -> DataFrame:
+    """(file_path, content) of the files below a directory whose name matches a glob.
 
     Directories named in `skip` are left out, and so are files and directories whose name starts
     with a dot or an underscore, as Spark's file listing does.
     """
-    if "://" not in root and not root.startswith("file:"):
-        root = os.path.abspath(root)
     texts = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{ext}")
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names)
         .text(root, wholetext=True)
     )
-    top = open_store(root)[1].rstrip("/") + "/"
     files = texts.select(
         plain_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value").alias("content")
     )
-    below = F.substring(
-        "file_path", F.locate(top, F.col("file_path")) + F.lit(len(top)), F.length("file_path")
-    )
-    folders = F.split(below, "/")
+    folders = F.split(relative_path(F.col("file_path"), root), "/")
     folders = F.slice(folders, F.lit(1), F.size(folders) - 1)
     skipped = F.arrays_overlap(folders, F.array(*[F.lit(s) for s in skip]).cast("array<string>"))
     return files.filter(~F.coalesce(skipped, F.lit(False)))
