@@ -25,6 +25,20 @@ def _record_id(*parts: str | Column) -> Column:
     return F.concat_ws(":", *parts)
 
 
+# What a package table may say about its packages beyond their name and version.
+_PACKAGE_FACTS = (
+    "description", "authors", "license", "repository", "homepage", "documentation", "keywords",
+    "categories", "features", "targets", "has_build_script",
+)
+
+
+def _path_of(df: DataFrame, otherwise: str) -> Column:
+    """The project's path where the table has it, else its name."""
+    return F.col("project_path" if "project_path" in df.columns else otherwise).alias(
+        "project_path"
+    )
+
+
 def _with_build_script(df: DataFrame, scripts: DataFrame | None) -> DataFrame:
     if scripts is None:
         return df.withColumn("has_build_script", F.lit(False)).withColumn(
@@ -165,7 +179,7 @@ def dependency_json(detail: DataFrame, page: int = 1000) -> DataFrame:
 
 
 def dependency_records(counts: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """Project records of the dependency phase, one per package.
+    """Project records of the dependency phase, one per package, with what pkgs says about it.
 
     A package whose dependency data has several parts gets a continuation record for each further
     part: its id ends in the part number, and it repeats no counts. Without `pages` there is no
@@ -187,7 +201,7 @@ def dependency_records(counts: DataFrame, pages: DataFrame | None = None) -> Dat
 
     return joined.select(
         _record_id("name", "version", phase, F.when(part > 0, part.cast("string"))).alias("id"),
-        F.col("name").alias("project_path"),
+        _path_of(counts, "name"),
         F.col("name").alias("project_name"),
         F.col("version").alias("project_version"),
         phase.alias("phase"),
@@ -196,6 +210,7 @@ def dependency_records(counts: DataFrame, pages: DataFrame | None = None) -> Dat
         once("dev_dependencies"),
         once("build_dependencies"),
         "dependency_data",
+        *[c for c in _PACKAGE_FACTS if c in counts.columns],
     )
 
 
@@ -220,17 +235,20 @@ def source_metrics(files: DataFrame, key: str) -> DataFrame:
     )
 
 
-def source_records(metrics: DataFrame, key: str) -> DataFrame:
+def source_records(
+    metrics: DataFrame, key: str, scripts: DataFrame | None = None
+) -> DataFrame:
     phase = F.lit("source_code_analysis")
-    name = F.element_at(F.split(F.col(key), "/"), -1)
-    return metrics.select(
+    renamed = metrics.withColumnRenamed(key, "project_path")
+    name = F.element_at(F.split("project_path", "/"), -1)
+    return _with_build_script(renamed, scripts).select(
         _record_id(name, phase).alias("id"),
-        F.col(key).alias("project_path"),
+        "project_path",
         name.alias("project_name"),
         F.lit("unknown").alias("project_version"),
         phase.alias("phase"),
         "lines_of_code", "source_file_count", "test_file_count", "example_file_count",
-        "benchmark_file_count",
+        "benchmark_file_count", "has_build_script",
     )
 
 
@@ -263,7 +281,7 @@ def ecosystem_records(enriched: DataFrame) -> DataFrame:
     phase = F.lit("ecosystem_analysis")
     return enriched.select(
         _record_id("name", phase).alias("id"),
-        F.col("name").alias("project_path"),
+        _path_of(enriched, "name"),
         F.col("name").alias("project_name"),
         F.coalesce("version", F.lit("unknown")).alias("project_version"),
         phase.alias("phase"),
@@ -293,7 +311,7 @@ def history_records(history: DataFrame) -> DataFrame:
     phase = F.lit("version_history")
     return history.select(
         _record_id("project", phase).alias("id"),
-        F.col("project").alias("project_path"),
+        _path_of(history, "project"),
         F.col("project").alias("project_name"),
         F.lit("unknown").alias("project_version"),
         phase.alias("phase"),

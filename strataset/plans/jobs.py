@@ -48,7 +48,8 @@ def project_dataset(
         project.package_metadata(found, scripts),
         project.workspace_metadata(found, scripts),
         project.source_records(
-            project.source_metrics(sources.withColumn("project", folder), "project"), "project"
+            project.source_metrics(sources.withColumn("project", folder), "project"), "project",
+            scripts,
         ),
         project.build_config(found, scripts),
     ]
@@ -58,10 +59,13 @@ def project_dataset(
             project.dependency_json(project.dependency_detail(decl, edges, pkgs)),
         ))
     if registry is not None and repos is not None:
-        known = found.filter("problem IS NULL AND has_package")
-        parts.append(project.ecosystem_records(project.ecosystem_enrich(
-            known.select("name", "version", "repository"), registry, repos
-        )))
+        # A workspace without a package has no name to look up, but gets its record.
+        known = found.filter("problem IS NULL").select(
+            "project_path", F.coalesce("name", F.lit("")).alias("name"), "version", "repository"
+        )
+        parts.append(project.ecosystem_records(
+            project.ecosystem_enrich(known, registry, repos)
+        ))
     if commits is not None and as_of is not None:
         parts.append(project.history_records(project.version_history(commits, as_of)))
     records = project.project_order(project.unify_project_records(*parts))

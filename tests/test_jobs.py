@@ -53,11 +53,13 @@ def test_project_dataset(spark, tmp_path):
     assert set(found) == {
         ("project_metadata", "p1"), ("project_metadata", "p2"), ("source_code_analysis", "p1"),
         ("source_code_analysis", "p2"), ("build_analysis", "p1"), ("build_analysis", "p2"),
-        ("ecosystem_analysis", "p1"), ("version_history", "p1"),
+        ("ecosystem_analysis", "p1"), ("ecosystem_analysis", ""), ("version_history", "p1"),
     }
     p1 = found["source_code_analysis", "p1"]
     assert (p1.lines_of_code, p1.source_file_count, p1.test_file_count) == (4, 3, 1)
-    assert p1.project_path == str(root / "p1")
+    assert p1.project_path == str(root / "p1") and p1.has_build_script
+    assert found["ecosystem_analysis", ""].project_version == "unknown"
+    assert found["ecosystem_analysis", "p1"].project_path == str(root / "p1")
     assert found["source_code_analysis", "p2"].source_file_count == 1
     assert found["build_analysis", "p1"].build_script_complexity == 1
     assert found["ecosystem_analysis", "p1"].github_stars == 1

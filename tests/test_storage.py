@@ -138,7 +138,8 @@ def test_phase_files_are_bounded(spark, tmp_path):
 def test_flat_layout(spark, tmp_path):
     for folder, n in (("parsing-phase", 2), ("ir_generation-O2-phase", 3)):
         (tmp_path / folder).mkdir()
-        pq.write_table(pa.table({"n": pa.array(range(n), pa.uint64())}), tmp_path / folder / "data.parquet")
+        table = pa.table({"n": pa.array(range(n), pa.uint64())})
+        pq.write_table(table, tmp_path / folder / "data.parquet")
     semantic_rows = readers.load_phase(spark, str(tmp_path), "parsing", flat=True)
     assert semantic_rows.count() == 2 and semantic_rows.dtypes == [("n", "bigint")]
     assert readers.load_phase(spark, str(tmp_path), "ir_generation", "O2", flat=True).count() == 3
