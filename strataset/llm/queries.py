@@ -28,3 +28,88 @@ def op3_simhash_near_dedup(spark, sf_dir):
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op5_embedding_near_dedup(spark, sf_dir):
+    from strataset.llm.embeddings import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"),
+    )
+
+
+@query
+def op7_sentencepiece(spark, sf_dir):
+    from strataset.llm.pieces import encode
+
+    return encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), "parity",
+    )
+
+
+@query
+def op8_packing(spark, sf_dir):
+    from strataset.llm.packing import packed_documents
+
+    return packed_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query
+def op9_language_id(spark, sf_dir):
+    from strataset.llm import language
+
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(~language.held_out()))
+    ids = docs.select("doc_id", "text")
+    return language.predict(ids, model).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    from strataset.llm.token_counts import section_tokens
+
+    return section_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_html_extraction(spark, sf_dir):
+    from strataset.llm import html
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages, html.fit(pages))
+
+
+@query
+def op2_sharding(spark, sf_dir):
+    from strataset.llm.sharding import shards
+    from strataset.llm.streams import text_bytes
+
+    return shards(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", (text_bytes(F.col("text")) + 1).alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op6_minhash_fingerprints(spark, sf_dir):
+    from strataset.llm.minhash import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    from strataset.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )

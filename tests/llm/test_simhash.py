@@ -72,7 +72,7 @@ def test_forest_joins_what_is_within_the_radius(seed):
     for s, b in enumerate(base):
         own = {int(b)}
         for _ in range(150):
-            own.add(int(b) ^ sum(1 << int(x) for x in rng.integers(0, 64, rng.integers(1, 9))))
+            own.add(int(b) ^ sum(1 << x for x in {*rng.integers(0, 64, rng.integers(1, 9)).tolist()}))
         values += sorted(own)
         shard += [s] * len(own)
     values, shard = np.array(values, np.uint64), np.array(shard)
