@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strataset.functions.numbering import dense_position
@@ -15,20 +13,20 @@ _SHIFT = 64 - (BINS.bit_length() - 1)  # the top bits of a hash are its bin
 _TRIES = 12  # probes that are tried one by one; then all others
 
 
-def _probes() -> list[list[int]]:
-    """Per bin the order in which an empty one asks the others: draws that two empty bins make
-    independently of each other, as optimal densification has it, without repeats so that it ends."""
-    rng = random.Random(20170806)
-    return [[p for p in rng.sample(range(BINS), BINS) if p != b] for b in range(BINS)]
+_LOW = (1 << _SHIFT) - 1  # a value with these bits marks an empty bin
 
 
-def _column(values: list[int]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def _probe(b: Column, attempt: Column) -> Column:
+    """The bin that empty bin `b` asks at an attempt, a hash of both: two empty bins choose
+    independently of each other, as optimal densification has it."""
+    return F.pmod(F.xxhash64(b.cast("int"), attempt.cast("int")), F.lit(BINS)).cast("int")
 
 
-def _empty_mark(b: int) -> int:
-    """The largest hash of a bin; bins are numbered by signed hashes, from the smallest."""
-    return ((b - BINS // 2) << _SHIFT) + (1 << _SHIFT) - 1
+def _probe_after(b: Column, step: Column) -> Column:
+    """Where it goes on: from a hashed bin with a hashed odd stride, so that all bins are met."""
+    start, stride = F.xxhash64(b.cast("int"), F.lit(-1)), F.xxhash64(b.cast("int"), F.lit(-2))
+    mask = F.lit(BINS - 1)
+    return F.pmod(start.bitwiseAND(mask) + step * stride.bitwiseAND(mask).bitwiseOR(F.lit(1)), F.lit(BINS)).cast("int")
 
 
 def signatures(df: DataFrame, text: str, name: str, words: int = 5) -> DataFrame:
@@ -49,23 +47,29 @@ def signatures(df: DataFrame, text: str, name: str, words: int = 5) -> DataFrame
         .when(F.size(h) > 0, F.array(F.xxhash64(F.col(h))))
         .otherwise(F.array().cast("array<bigint>"))
     )
-    marks = _column([_empty_mark(b) for b in range(BINS)])
+    marks = F.transform(
+        F.sequence(F.lit(0), F.lit(BINS - 1)),
+        lambda b: F.shiftleft((b - BINS // 2).cast("long"), _SHIFT).bitwiseOR(F.lit(_LOW)),
+    )
     # The marks sort behind all hashes of their bin, so each bin has a first value.
     first = F.filter(
         F.col(s),
         lambda x, i: (i == 0) | (F.shiftright(x, _SHIFT) != F.shiftright(F.get(F.col(s), i - 1), _SHIFT)),
     )
-    bins = F.transform(first, lambda x, i: F.when(x != F.get(marks, i), x))
-    probes = _probes()
-    tables = [_column([p[t] for p in probes]) for t in range(_TRIES)]
-    rest = F.array(*[_column(p[_TRIES:]) for p in probes])
+    bins = F.transform(first, lambda x: F.when(x.bitwiseAND(F.lit(_LOW)) != _LOW, x))
     value = F.col(m)
     filled = F.transform(
         value,
         lambda x, i: F.coalesce(
             x,
-            *[F.get(value, F.get(t, i)) for t in tables],
-            F.get(F.filter(F.transform(F.get(rest, i), lambda p: F.get(value, p)), lambda v: v.isNotNull()), F.lit(0)),
+            *[F.get(value, _probe(i, F.lit(t))) for t in range(_TRIES)],
+            F.get(
+                F.filter(
+                    F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda j: F.get(value, _probe_after(i, j))),
+                    lambda v: v.isNotNull(),
+                ),
+                F.lit(0),
+            ),
         ),
     )
     d = f"_{name}_d"

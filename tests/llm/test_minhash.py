@@ -64,6 +64,10 @@ def test_signature_equals_definition(spark):
     """Smallest hash per bin, probes in the stated order, low-order bits packed in bin order."""
     texts = ["a b c d e f g h", " ".join(map(str, range(200))), "one", "x y z w v"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string")
+    i = F.col("id").cast("int")
+    asked = [minhash._probe(i, F.lit(t)) for t in range(12)] + [minhash._probe_after(i, F.lit(t)) for t in range(128)]
+    probes_of = {r[0]: r[1] for r in spark.range(128).select("id", F.array(*asked)).collect()}
+    assert all(set(p[12:]) == set(range(128)) for p in probes_of.values())
     got = {r.id: r.own for r in minhash.signatures(df, "t", "own").collect()}
     words = df.select("id", F.transform(F.split("t", " "), lambda w: F.xxhash64(w)).alias("h"))
     for r in words.collect():
@@ -75,7 +79,8 @@ def test_signature_equals_definition(spark):
         bins = {}
         for h in hashed:
             bins[(h >> 57) + 64] = min(h, bins.get((h >> 57) + 64, h))
-        for b, probes in enumerate(minhash._probes()):
+        for b in range(128):
+            probes = probes_of[b]
             value = bins.get(b, next((bins[p] for p in probes if p in bins), None))
             assert (got[r.id][b // 8] >> 8 * (7 - b % 8)) & 255 == value & 255
 
