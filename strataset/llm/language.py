@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from strataset.llm.pieces import MARK, NORMAL, Model
 from strataset.session import hold
@@ -209,17 +209,17 @@ def fit(
     return langs, log_p, path
 
 
-def predict(
-    docs: DataFrame, model: tuple[list[str], np.ndarray, str], id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(doc_id, lang_pred, score): the language of most probability over the whole text, and that
-    probability among the learned languages. Texts that are null or have no letter, and all texts
-    without a learned language, are `und` with score 0. Ties go to the first language by name.
-    One scan, no shuffle; the broadcast model has the vocabulary's size."""
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, str], text_col: str = "text") -> DataFrame:
+    """`docs` with lang_pred and score: the language of most probability over the whole text, and
+    that probability among the learned languages. Texts that are null or have no letter, and all
+    texts if no language was learned, are `und` with score 0. Ties go to the first language by name.
+    Columns of these names are replaced. One scan, no shuffle; the broadcast model has the
+    vocabulary's size."""
     langs, log_p, path = model
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((langs, log_p))
+    shared = docs.sparkSession.sparkContext.broadcast((langs, log_p))
     token = uuid.uuid4().hex
+    columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(token, shared, path)
@@ -227,7 +227,7 @@ def predict(
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
-                texts = [t or "" for t in part.column(1).to_pylist()]
+                texts = [t or "" for t in part.column(0).field(text_col).to_pylist()]
                 if len(names) == 1:
                     best, top = np.zeros(len(texts), int), np.zeros(len(texts))
                 else:
@@ -237,11 +237,12 @@ def predict(
                     best[n == 0], top[n == 0] = len(names) - 1, 0
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(names[best].tolist(), pa.string()), pa.array(top)],
-                    names=["doc_id", "lang_pred", "score"],
+                    names=["doc", "lang_pred", "score"],
                 )
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        make, f"doc_id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double"
+    schema = T.StructType([*rows.schema.fields]).add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(make, schema).select(
+        *[F.col("doc").getField(c).alias(c) for c in columns], "lang_pred", "score"
     )
 
 

@@ -66,8 +66,7 @@ def op9_language_id(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.filter(~language.held_out()))
-    ids = docs.select("doc_id", "text")
-    return language.predict(ids, model).select(
+    return language.predict(docs.select("doc_id", "text"), model).select(
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score"
     )
 

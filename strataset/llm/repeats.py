@@ -299,11 +299,14 @@ def _ordered(table: pa.Table) -> pa.Table:
     return table.sort_by([("__row", "ascending"), ("__id", "ascending")])
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 50) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 50, as_text: bool = False
+) -> DataFrame:
     """`docs` with kept (binary), n_bytes, n_removed and n_spans, longs.
 
     Every byte of a text (UTF-8) that lies in a window of `depth` bytes which also starts in a
     document of smaller id is removed; `kept` is what is left, n_spans the number of runs removed.
+    With `as_text` it is a string, without the bytes of characters that were cut through.
     Windows are judged on the input and never cross documents. Null texts are empty; a null id is
     larger than all others; rows of one id remove nothing from each other, so repeated rows fare
     alike. Texts shorter than `depth` stay. Columns named like the new ones are replaced; no rows
@@ -360,18 +363,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 new = np.r_[True, a[1:] > reach[:-1]]
                 a, b = a[new], reach[np.r_[np.flatnonzero(new)[1:] - 1, len(a) - 1]]
                 keep = zip([0, *b.tolist()], [*a.tolist(), len(raw)])
-                spans, n, raw = len(a), len(raw), b"".join([raw[x:y] for x, y in keep])
+                left_over = [raw[x:y] for x, y in keep]
+                spans, n, raw = len(a), len(raw), b"".join(left_over)
             else:
                 n = len(raw)
-            for column, value in zip(out, (raw, n, n - len(raw), spans)):
+            kept = raw
+            if as_text:  # piece by piece, so that halves of two characters do not become one
+                kept = "".join([x.decode("utf-8", "ignore") for x in left_over]) if spans else text.as_py() or ""
+            for column, value in zip(out, (kept, n, n - len(raw), spans)):
                 column.append(value)
         rest = left.select(["__doc"])
-        for name, values, kind in zip(made, out, [pa.binary(), *[pa.int64()] * 3]):
+        for name, values, kind in zip(made, out, [pa.string() if as_text else pa.binary(), *[pa.int64()] * 3]):
             rest = rest.append_column(name, pa.array(values, kind))
         return rest
 
     schema = T.StructType(
-        [keyed.schema["__doc"], T.StructField("kept", T.BinaryType())] + [T.StructField(c, T.LongType()) for c in made[1:]]
+        [keyed.schema["__doc"], T.StructField("kept", T.StringType() if as_text else T.BinaryType())] + [T.StructField(c, T.LongType()) for c in made[1:]]
     )
     digits = grouped.applyInArrow(first_digits, "bucket long, chunk long, digits binary")
     shared = digits.groupBy("bucket").applyInArrow(_shared, "chunk long, found binary")

@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from strataset.llm.components import components
 from strataset.llm.streams import whole_runs
@@ -222,3 +222,26 @@ def near_duplicates(
         "fp", F.coalesce("component", "id").alias("component")
     )
     return marks.join(classes, "fp", "left").select("id", "fp", "component")
+
+
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4
+) -> DataFrame:
+    """`docs` with one row of each component of `near_duplicates`, that of its smallest id.
+
+    Rows without an id take part under a hash of their text, larger than usual ids, so they give way
+    to rows with one. Rows of one id count as one document; the one of smallest hash stays.
+    """
+    stand_in = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text_col), 2)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), stand_in).alias("key"), F.col(text_col).alias("text"),
+        F.xxhash64(whole).alias("pick"), whole.alias("doc"),
+    )
+    kept = near_duplicates(rows, "key", "text", words, radius).filter("id = component").select(F.col("id").alias("key"))
+    first = Window.partitionBy("key").orderBy("pick")
+    return (
+        rows.select("key", "pick", "doc").join(kept.distinct(), "key")
+        .withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+        .select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+    )

@@ -55,9 +55,9 @@ def test_undetermined_texts_and_other_cases(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     model = language.fit(df, per_language=30)
     assert model[0] == ["en", "fr"]
-    got = [tuple(r) for r in language.predict(df, model).collect()]
+    got = language.predict(df, model).collect()
     assert len(got) == len(rows)
-    by = {r[0]: r for r in got}
+    by = {r[0]: (r[0], r.lang_pred, r.score) for r in got}
     assert all(by[i][1] == "en" for i in range(40)) and all(by[100 + i][1] == "fr" for i in range(40))
     assert {by[i][1:] for i in (300, 301, 302)} == {("und", 0.0)}
     assert by[303][1] == "en" and by[None][1] == "fr" and 0 <= by[304][2] <= 1
