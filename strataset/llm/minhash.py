@@ -144,14 +144,15 @@ def edited_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     pairs = hold(
         placed.select(
             (F.col("position") % max(1, rows) + 1).alias("position"), F.col("key").alias("own_key"),
-            F.col("row").alias("own_row"), F.floor(F.col("n_chars") / 4).cast("int").alias("n"), "copies",
+            F.col("row").alias("own_row"), F.floor(F.col("n_chars") / 4).cast("int").alias("n"), "copies", "doc_id",
         ).join(placed.select("position", F.col("key").alias("next_key"), F.col("row").alias("next_row")), "position"),
         "document-pairs",
     )
-    texts = keyed.groupBy("key", "row").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    # Both uses below need the same columns of it, so that they read one shuffle.
+    texts = keyed.groupBy("key", "row").agg(F.first("text").alias("text"))
     heads = texts.join(
         pairs, (texts["key"] == pairs["next_key"]) & (texts["row"] == pairs["next_row"])
-    ).select("own_key", "own_row", "next_key", "next_row", "n", "copies", F.substring("text", F.lit(1), F.col("n")).alias("head"))
+    ).select("doc_id", "own_key", "own_row", "next_key", "next_row", "n", "copies", F.substring("text", F.lit(1), F.col("n")).alias("head"))
     both = texts.join(heads, (texts["key"] == heads["own_key"]) & (texts["row"] == heads["own_row"]))
     kept = F.substring("text", F.lit(1), F.length("text") - F.col("n"))
     return both.select(
