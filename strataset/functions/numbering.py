@@ -54,3 +54,37 @@ def dense_position(
     return held.join(starts, same).select(
         *df.columns, (F.col("_row") + F.col("_shift")).alias(name)
     )
+
+
+def running_totals(
+    df: DataFrame, order: Sequence[Column], amounts: Sequence[str]
+) -> tuple[DataFrame, dict[str, int]]:
+    """Add `<amount>_before`, the sum of each amount over all earlier rows in `order`, and give the
+    totals. `order` must be unique.
+
+    For narrow rows: they are sorted into range partitions and written; sums inside a partition and
+    over the partitions before it (one row per partition) add up.
+    """
+    held = hold(
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_stamp", F.monotonically_increasing_id()),
+        "running",
+    ).withColumn("_part", F.shiftright("_stamp", _ROW_BITS))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_part").orderBy("_stamp").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    starts = hold(
+        held.groupBy("_part").agg(*[F.sum(a).alias(a) for a in amounts]).select(
+            "_part", *[F.coalesce(F.sum(a).over(ahead), zero).alias(f"_{a}_start") for a in amounts]
+        ),
+        "running-starts",
+    )
+    sums = held.agg(*[F.coalesce(F.sum(a), zero).alias(a) for a in amounts]).first()
+    placed = held.join(starts, "_part").select(
+        *df.columns,
+        *[
+            (F.coalesce(F.sum(a).over(inside), zero) + F.col(f"_{a}_start")).alias(f"{a}_before")
+            for a in amounts
+        ],
+    )
+    return placed, sums.asDict()

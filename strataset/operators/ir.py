@@ -30,6 +30,13 @@ def ir_grid(sources: DataFrame, levels: str, phases: Sequence[str] = ("ir_genera
     )
 
 
+def ir_records(grid: DataFrame, compiled: DataFrame) -> DataFrame:
+    """The grid's rows with what the compiler made of them; places nothing was compiled for are left
+    out. compiled: (source_file, optimization_level, construct_name, rust_source, llvm_ir,
+    target_architecture, extractor_version), a row per construct."""
+    return ir_projection(grid.join(compiled, ["source_file", "optimization_level"]))
+
+
 def ir_projection(ir: DataFrame) -> DataFrame:
     """The ten persisted columns."""
     return ir.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in IR_RECORD.fields])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from strataset.session import hold
 
@@ -16,30 +16,43 @@ def with_hash(files: DataFrame) -> DataFrame:
 def incremental_extract(files: DataFrame, seen: DataFrame) -> DataFrame:
     """The files that are new or changed against (file_path, content_hash) of an earlier run.
 
-    Only paths and hashes are compared and moved. The list of changed files is held, so that its
-    true size decides how contents are picked: few changes go to every task, and the contents are
-    filtered where they are read.
+    Only paths and hashes are compared and moved. The list of changed paths is held, so that its
+    true size decides how contents are picked: few changes go to every task, and contents are
+    filtered by path where they are read, before any is hashed again.
     """
     keys = ["file_path", "content_hash"]
     hashed = with_hash(files)
-    changed = hold(hashed.select(*keys).join(seen, keys, "left_anti"), "changed-files")
-    return hashed.join(changed, keys, "left_semi")
+    changed = hold(
+        hashed.select(*keys).join(seen, keys, "left_anti").select("file_path").distinct(),
+        "changed-files",
+    )
+    return with_hash(files.join(changed, "file_path", "left_semi"))
+
+
+def _comparable(name: str, dtype: T.DataType) -> Column:
+    """A column as a key: long values by their hash, maps by their sorted entries."""
+    column = F.col(f"`{name}`")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.sha2(column.cast("binary"), 256)
+    if isinstance(dtype, T.MapType):
+        return F.sort_array(F.map_entries(column))
+    return column
 
 
 def dedup_records(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first record, by `order`, of those that agree in `keys`.
+    """The first record, by `order`, of those that agree in `keys`; nulls agree with each other.
 
-    Keys are compared by hash, so long texts are not sorted or shuffled as keys. The filter is of
-    the form Spark turns into a limit per group ahead of the shuffle, so a group of very many
-    copies shrinks to one row per partition before it is moved.
+    Keys are compared by value, strings and binary ones by their hash, so long texts are not sorted
+    as keys. The filter is of the form Spark turns into a limit per group ahead of the shuffle, so
+    a group of very many copies shrinks to one row per partition before it is moved.
     """
-    digest = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
-    first = Window.partitionBy("_key").orderBy(*order)
+    names = {f"_key{i}": _comparable(k, df.schema[k].dataType) for i, k in enumerate(keys)}
+    first = Window.partitionBy(*names).orderBy(*[F.col(f"`{c}`") for c in order])
     return (
-        df.withColumn("_key", digest)
+        df.withColumns(names)
         .withColumn("_rank", F.row_number().over(first))
         .filter(F.col("_rank") == 1)
-        .drop("_key", "_rank")
+        .drop(*names, "_rank")
     )
 
 

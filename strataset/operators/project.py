@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -10,7 +11,6 @@ from strataset.functions.numbering import dense_position
 from strataset.functions.text import repo_key
 from strataset.operators.semantic import line_count
 from strataset.schemas import PROJECT_PHASES, PROJECT_RECORD
-from strataset.session import hold
 
 
 def build_scripts(files: DataFrame) -> DataFrame:
@@ -145,85 +145,65 @@ def dependency_detail(decl: DataFrame, edges: DataFrame, pkgs: DataFrame | None
     )
 
 
-def dependency_json(detail: DataFrame, page: int = 1000) -> DataFrame:
-    """Dependency details as JSON arrays of at most `page` entries: (pkg_id, part, dependency_data).
+def dependency_json(detail: DataFrame) -> DataFrame:
+    """Each dependency as a JSON object: (pkg_id, dep_ord, dependency_data).
 
-    Nearly every package has just part 0. The dependencies of a package with more are numbered
-    over many tasks and fill further parts, so no array grows without bound.
+    A row per dependency for every package, however many it has; stored beside the project records,
+    which keep the counts.
     """
     payload = [c for c in detail.columns if c not in ("pkg_id", "dep_ord")]
-    held = hold(detail, "dependencies")
-    large = hold(
-        held.groupBy("pkg_id").agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > page).select("pkg_id"),
-        "large-packages",
-    )
-    placed = held.withColumn("part", F.lit(0))
-    if not large.isEmpty():
-        numbered = dense_position(
-            held.join(large, "pkg_id", "left_semi"),
-            [F.col("dep_ord"), *[F.col(c) for c in payload]],
-            within=["pkg_id"],
-            name="_pos",
-        )
-        part = F.expr(f"CAST((_pos - 1) DIV {page} AS INT)")
-        placed = placed.join(large, "pkg_id", "left_anti").unionByName(
-            numbered.withColumn("part", part).drop("_pos")
-        )
-    entry = F.struct("dep_ord", F.struct(*payload).alias("entry"))
-    return (
-        placed.groupBy("pkg_id", "part")
-        .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-        .select("pkg_id", "part", F.to_json("_entries.entry").alias("dependency_data"))
-    )
-
+    return detail.select("pkg_id", "dep_ord", F.to_json(F.struct(*payload)).alias("dependency_data"))
 
-def dependency_records(counts: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """Project records of the dependency phase, one per package, with what pkgs says about it.
 
-    A package whose dependency data has several parts gets a continuation record for each further
-    part: its id ends in the part number, and it repeats no counts. Without `pages` there is no
-    dependency data.
-    """
+def dependency_records(counts: DataFrame) -> DataFrame:
+    """Project records of the dependency phase, one per package, with what pkgs says about it."""
     phase = F.lit("dependency_analysis")
-    if pages is None:
-        joined = counts.withColumns({
-            "part": F.lit(0), "dependency_data": F.lit(None).cast("string")
-        })
-    else:
-        joined = counts.join(pages, "pkg_id", "left").withColumn(
-            "dependency_data", F.coalesce("dependency_data", F.lit("[]"))
-        )
-    part = F.coalesce("part", F.lit(0))
-
-    def once(name: str) -> Column:
-        return F.when(part == 0, F.col(name)).otherwise(0).alias(name)
-
-    return joined.select(
-        _record_id("name", "version", phase, F.when(part > 0, part.cast("string"))).alias("id"),
+    return counts.select(
+        _record_id("name", "version", phase).alias("id"),
         _path_of(counts, "name"),
         F.col("name").alias("project_name"),
         F.col("version").alias("project_version"),
         phase.alias("phase"),
-        once("direct_dependencies"),
-        once("total_dependencies"),
-        once("dev_dependencies"),
-        once("build_dependencies"),
-        "dependency_data",
+        "direct_dependencies", "total_dependencies", "dev_dependencies", "build_dependencies",
         *[c for c in _PACKAGE_FACTS if c in counts.columns],
     )
 
 
+def with_project(files: DataFrame, folders: DataFrame, otherwise: str) -> DataFrame:
+    """`files` (file_path, unique, and any narrow columns) with the project each belongs to: the
+    nearest folder above it that is in `folders` (project_path), else `otherwise`.
+
+    Each path is matched through the folders above it, so the join is on equal folders.
+    """
+    parts = F.split("file_path", "/")
+    depth = F.explode(F.sequence(F.lit(1), F.size(parts) - 1))
+    above = (
+        files.filter(F.size(parts) > 1).select("file_path", parts.alias("_parts"), depth.alias("_depth"))
+        .select("file_path", "_depth", F.array_join(F.slice("_parts", F.lit(1), F.col("_depth")), "/").alias("project_path"))
+    )
+    nearest = (
+        above.join(folders.select("project_path").distinct(), "project_path")
+        .groupBy("file_path").agg(F.max_by("project_path", "_depth").alias("project"))
+    )
+    return files.join(nearest, "file_path", "left").withColumn(
+        "project", F.coalesce("project", F.lit(otherwise))
+    )
+
+
 def source_metrics(files: DataFrame, key: str) -> DataFrame:
-    """Lines and files per project, with test, example and bench files told by their path."""
+    """Lines and files per project, with test, example and bench files told by their path.
+
+    Files carry their content, or the number of their `lines`.
+    """
     path = F.col("file_path")
+    lines = F.col("lines") if "lines" in files.columns else line_count(F.col("content"))
     kind = (
         F.when(path.contains("/tests/"), "test")
         .when(path.contains("/examples/"), "example")
         .when(path.contains("/benches/"), "bench")
     )
     return (
-        files.select(key, line_count(F.col("content")).alias("_lines"), kind.alias("_kind"))
+        files.select(key, lines.alias("_lines"), kind.alias("_kind"))
         .groupBy(key)
         .agg(
             F.sum("_lines").alias("lines_of_code"),
@@ -260,7 +240,8 @@ def ecosystem_enrich(
     registry: (name, downloads), unique by name. repos: (owner, repo, stars, forks, issues,
     updated_at as RFC 3339 text), unique by owner and repo. No side is forced to be broadcast:
     the snapshots may be large, and a popular repository may be shared by very many packages,
-    which adaptive execution splits as a skewed join.
+    which adaptive execution splits as a skewed join. Packages without a repository at the host
+    have nothing to look up there and take no part in that join.
     """
     keyed = pkgs.withColumn("_key", repo_key(F.col("repository"), host)).select(
         *pkgs.columns, F.col("_key.owner").alias("owner"), F.col("_key.repo").alias("repo")
@@ -274,7 +255,10 @@ def ecosystem_enrich(
         F.col("issues").alias("github_issues"),
         F.unix_timestamp(F.try_to_timestamp("updated_at")).alias("last_updated"),
     )
-    return keyed.join(downloads, "name", "left").join(facts, ["owner", "repo"], "left")
+    counted = keyed.join(downloads, "name", "left")
+    known = F.col("owner").isNotNull() & F.col("repo").isNotNull()
+    hosted = counted.filter(known).join(facts, ["owner", "repo"], "left")
+    return hosted.unionByName(counted.filter(~known), allowMissingColumns=True)
 
 
 def ecosystem_records(enriched: DataFrame) -> DataFrame:
@@ -323,14 +307,23 @@ def history_records(history: DataFrame) -> DataFrame:
 _EMPTY = {T.StringType(): "unknown", T.BooleanType(): False, T.LongType(): 0, T.FloatType(): 0.0}
 
 
-def unify_project_records(*frames: DataFrame, timestamp: int | None = None) -> DataFrame:
-    """The records of several phases in the full project layout, missing values filled."""
+def unify_project_records(
+    *frames: DataFrame, timestamp: int | None = None, versions: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The records of several phases in the full project layout, missing values filled.
+
+    `versions` gives the columns that name the versions of the tools, those without stay unknown.
+    """
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     fixed = {
         "processing_time_ms": F.lit(1),
         "timestamp": F.unix_timestamp(F.current_timestamp())
         if timestamp is None else F.lit(timestamp),
+        **{name: F.lit(version) for name, version in (versions or {}).items()},
     }
+    unknown = set(fixed) - set(PROJECT_RECORD.names)
+    if unknown:
+        raise ValueError(f"no such columns: {', '.join(sorted(unknown))}")
 
     def column(field: T.StructField) -> Column:
         value = fixed.get(field.name)

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from strataset.operators.validate import file_flags, group_by_split, sample_records
+from strataset.session import hold
 from strataset.sources.files import read_footers
 from strataset.sources.storage import list_files
 
 
 def parquet_file_info(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: name, split, rows, columns and bytes."""
+    """One row per file: name, split, rows, columns and bytes. Held, so that several reports on it
+    read each footer once."""
+    return hold(_file_info(spark, path), "file-info")
+
+
+def _file_info(spark: SparkSession, path: str) -> DataFrame:
     return read_footers(spark, path).select(
         "file_name",
         F.substring_index("file_name", "-", 1).alias("split_name"),
@@ -27,17 +33,21 @@ def schema_consistency(file_info: DataFrame) -> DataFrame:
 
     Consistent means as many columns as the first file, with the same names and types in order.
     """
-    position = F.posexplode("fields").alias("pos", "field")
-    columns = file_info.select("file_name", "num_columns", position)
+    # A file without columns keeps one row, at position 0 and without a field.
+    def by_position(name: str) -> Column:
+        return F.posexplode_outer("fields").alias("_pos", name)
+
+    pos = F.coalesce("_pos", F.lit(0))
+    columns = file_info.select("file_name", "num_columns", by_position("field")).withColumn("_pos", pos)
     first = file_info.agg(F.min(F.struct("file_name", "fields")).alias("f")).select(
         F.col("f.fields").alias("fields")
     )
     expected = first.select(
-        F.size("fields").alias("_columns"), F.posexplode("fields").alias("pos", "_field")
-    )
-    compared = columns.join(expected, "pos", "left").groupBy("file_name", "num_columns").agg(
-        F.count_if(F.col("field").eqNullSafe(F.col("_field"))).alias("matching"),
-        F.max("_columns").alias("_columns"),
+        F.size("fields").alias("_columns"), by_position("_field")
+    ).withColumn("_pos", pos)
+    same = F.col("field").isNotNull() & F.col("field").eqNullSafe(F.col("_field"))
+    compared = columns.join(expected, "_pos", "left").groupBy("file_name", "num_columns").agg(
+        F.count_if(same).alias("matching"), F.max("_columns").alias("_columns")
     )
     return compared.select(
         "file_name",
@@ -48,14 +58,15 @@ def schema_consistency(file_info: DataFrame) -> DataFrame:
     )
 
 
-def dataset_report(spark: SparkSession, path: str) -> DataFrame:
+def dataset_report(spark: SparkSession, path: str, info: DataFrame | None = None) -> DataFrame:
     """One row for the whole directory: totals, consistency and capabilities, in one aggregate.
 
     Files agree with the first one in names, types and positions exactly when there is one
     distinct column list. Per-split figures and sample records are tables of their own, see
     split_report and first_file_sample, so that the row stays small however many files there are.
+    `info` is the directory's parquet_file_info, where it is at hand.
     """
-    return parquet_file_info(spark, path).agg(
+    return (parquet_file_info(spark, path) if info is None else info).agg(
         F.lit(path.rstrip("/").rsplit("/", 1)[-1]).alias("dataset_name"),
         F.count(F.lit(1)).alias("total_files"),
         F.sum("num_rows").alias("total_rows"),
@@ -66,13 +77,13 @@ def dataset_report(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def split_report(spark: SparkSession, path: str) -> DataFrame:
-    return group_by_split(parquet_file_info(spark, path))
+def split_report(spark: SparkSession, path: str, info: DataFrame | None = None) -> DataFrame:
+    return group_by_split(parquet_file_info(spark, path) if info is None else info)
 
 
 def first_file_sample(spark: SparkSession, path: str, k: int = 5) -> DataFrame:
-    """The first k rows of the first file, as text."""
+    """The first k rows of the first file, as text, with their place in it."""
     files = list_files(spark, f"{path.rstrip('/')}/*.parquet")
     first = files.agg(F.min("path").alias("path")).first()["path"]
     rows = spark.read.parquet(first)
-    return sample_records(rows, rows.columns[0], k)
+    return sample_records(rows, F.col("_metadata.row_index"), k, "row")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from strataset.functions.numbering import dense_position
+from strataset.functions.numbering import dense_position, running_totals
 from strataset.functions.text import (
     classify_element,
     contains_any,
@@ -19,6 +20,7 @@ from strataset.functions.text import (
     variable_name,
 )
 from strataset.schemas import SEMANTIC_PHASES, SEMANTIC_RECORD
+from strataset.session import hold
 
 
 @dataclass(frozen=True)
@@ -145,14 +147,19 @@ def phase_records(
     if not active:
         return lines.sparkSession.createDataFrame([], SEMANTIC_RECORD)
     line = F.col("line")
-    kinds = lines.withColumn("_kind", classify_element(line))
     if len(active) == 1:
-        tagged = kinds.filter(_SELECTED[active[0]](line)).withColumn("phase", F.lit(active[0]))
+        tagged = lines.filter(_SELECTED[active[0]](line)).withColumn("phase", F.lit(active[0]))
     else:
         tags = [F.when(_SELECTED[p](line), F.lit(p)) for p in active]
-        tagged = kinds.withColumn("phase", F.explode(F.array_compact(F.array(*tags))))
+        tagged = lines.withColumn("phase", F.explode(F.array_compact(F.array(*tags))))
+    return _built(tagged, active, run)
 
-    has_context = "context_before" in lines.columns
+
+def _built(tagged: DataFrame, active: Sequence[str], run: RunInfo) -> DataFrame:
+    """Records from lines that carry the phase they are taken for."""
+    line = F.col("line")
+    tagged = tagged.withColumn("_kind", classify_element(line))
+    has_context = "context_before" in tagged.columns
     per_phase = {p: _phase_columns(p, has_context) for p in active}
     now = F.unix_timestamp(F.current_timestamp())
     shared = {
@@ -166,6 +173,8 @@ def phase_records(
         "analyzer_version": F.lit(run.analyzer_version),
         "source_snippet": line,
     }
+    if "processing_order" in tagged.columns:
+        shared["processing_order"] = F.col("processing_order")
 
     def value(name: str) -> Column:
         if name in shared:
@@ -232,3 +241,73 @@ def processing_order(
         records.drop("processing_order"), order, name="processing_order"
     )
     return numbered.select(*columns) if "processing_order" in columns else numbered
+
+
+def ordered_records(
+    files: DataFrame, phases: Sequence[str], run: RunInfo = RunInfo(), mode: str = "phase_first"
+) -> DataFrame:
+    """Files (file_path, unique, and content) to records with their processing_order.
+
+    Only (path, number of records per phase) is sorted and added up; a file then knows the first
+    number of each of its phases and counts on from there while its lines are taken apart. So no
+    record is moved or written to be numbered, and one huge file is no worse than without numbers.
+    """
+    active = [p for p in phases if p in _SELECTED]
+    if not active:
+        return files.sparkSession.createDataFrame([], SEMANTIC_RECORD)
+    if mode not in ("phase_first", "file_first"):
+        raise ValueError(f"Unknown mode: {mode}")
+    names = [f"_n{i}" for i in range(len(active))]
+
+    def chosen(phase: str) -> Column:
+        return F.filter("_lines", lambda row: _SELECTED[phase](row["line"]))
+
+    def how_many(phase: str) -> Column:
+        return F.size(F.filter("_raw", lambda line: _SELECTED[phase](line))).cast("long")
+
+    def numbered(phase: str, first: str) -> Column:
+        return F.transform(
+            chosen(phase),
+            lambda row, k: F.struct(
+                row["line_no"].alias("line_no"), row["line"].alias("line"),
+                row["context_before"].alias("context_before"),
+                row["context_after"].alias("context_after"),
+                F.lit(phase).alias("phase"), (F.col(first) + k + 1).alias("processing_order"),
+            ),
+        )
+
+    rows = F.transform(
+        "_raw",
+        lambda line, i: F.struct(
+            (i + 1).cast("long").alias("line_no"), line.alias("line"),
+            F.get("_raw", i - 1).alias("context_before"), F.get("_raw", i + 1).alias("context_after"),
+        ),
+    )
+    split = line_array(F.col("content"))
+    raw = F.slice("_split", F.lit(1), F.size("_split") - (F.element_at("_split", -1) == "").cast("int"))
+
+    def lines_of(frame: DataFrame, *rest: str) -> DataFrame:
+        return frame.select(*rest, split.alias("_split")).select(*rest, raw.alias("_raw"))
+
+    counted = lines_of(files, "file_path").select(
+        "file_path", *[how_many(p).alias(n) for n, p in zip(names, active)]
+    )
+    placed, sums = running_totals(
+        counted.filter(reduce(lambda a, b: a | b, [F.col(n) > 0 for n in names])),
+        [path_order(F.col("file_path"))], names,
+    )
+    if mode == "phase_first":
+        earlier = [sum(sums[n] for n in names[:i]) for i in range(len(names))]
+        first = [F.col(f"{n}_before") + F.lit(e) for n, e in zip(names, earlier)]
+    else:
+        whole = reduce(lambda a, b: a + b, [F.col(f"{n}_before") for n in names])
+        first = [reduce(lambda a, b: a + b, [whole, *[F.col(m) for m in names[:i]]]) for i in range(len(names))]
+    starts = hold(
+        placed.select("file_path", *[f.alias(f"_first{i}") for i, f in enumerate(first)]), "first-numbers"
+    )
+    firsts = [f"_first{i}" for i in range(len(active))]
+    arrays = lines_of(files.join(starts, "file_path"), "file_path", *firsts).select(
+        "file_path", *firsts, rows.alias("_lines")
+    )
+    lines = F.concat(*[numbered(p, f) for p, f in zip(active, firsts)])
+    return _built(arrays.select("file_path", F.inline(lines)), active, run)

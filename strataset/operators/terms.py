@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from strataset.functions.numbering import dense_position
 from strataset.schemas import TERM_RECORD, TERM_SPLITS
 
 # Documented feature types of a term group.
@@ -28,7 +27,10 @@ BYTES_PER_RECORD = 200
 
 
 def term_records(raw: DataFrame) -> DataFrame:
-    """Raw terms to the 16 exported columns; embedding vectors and versions are dropped."""
+    """Raw terms to the 16 exported columns; embedding vectors, versions and unusable documents are
+    dropped. How many documents there were is counted on `raw`, see group_stats."""
+    if "problem" in raw.columns:
+        raw = raw.filter("problem IS NULL")
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TERM_RECORD.fields])
 
 
@@ -37,7 +39,8 @@ def character_groups(terms: DataFrame) -> DataFrame:
 
 
 def group_stats(terms: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """Terms per group, and one row with a null group for the totals.
+    """Terms per group, and one row with a null group for the totals. On scanned documents it counts
+    them all, usable or not.
 
     Groups listed in `groups` but without terms count 0.
     """
@@ -72,18 +75,14 @@ def sample_per_group(
 ) -> DataFrame:
     """The first max(n // groups, 1) terms of each group by id.
 
-    Both filters are of the form Spark turns into a limit per group ahead of the shuffle, up to a
-    threshold it names; beyond that the groups are numbered over range partitions. What each input
-    partition kept of a group is ranked in `salts` bundles first and then as a whole, so that even
-    a group found in every partition is not ranked by one task. Without `groups` the groups are
-    counted first.
+    Both filters are of the form Spark turns into a limit per group ahead of the shuffle. What each
+    input partition kept of a group is ranked in `salts` bundles first and then as a whole, so that
+    a group found in every partition comes to its last task as `salts` times k rows. Without
+    `groups` the groups are counted first.
     """
     if groups is None:
         groups = terms.select("character_group").distinct().count()
     k = max(n // groups, 1) if groups else 1
-    if k > int(terms.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
-        numbered = dense_position(terms, [F.col("id")], within=["character_group"], name="_rank")
-        return numbered.filter(F.col("_rank") <= k).drop("_rank")
     # Any assignment of rows to bundles gives the same result; by input partition each of them
     # sends at most k rows of a group.
     salt = F.pmod(F.spark_partition_id(), F.lit(salts))

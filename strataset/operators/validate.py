@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from strataset.schemas import CAPABILITIES
+from strataset.schemas import CAPABILITIES, SEMANTIC_RECORD
+from strataset.session import any_path
 
 _ENTITY = ["dataset", "config", "split"]
 
@@ -50,19 +51,24 @@ def merge_capabilities(a: DataFrame, b: DataFrame) -> DataFrame:
     return _any_true(a.select(*columns).unionByName(b.select(*columns)), _ENTITY)
 
 
+def _searchable(needles: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col("dtype").contains(n) for n in needles])
+
+
 def indexable_columns(
     features: DataFrame, needles: Sequence[str] = ("string", "text")
 ) -> DataFrame:
     """(dataset, config) with whether any feature type can be searched."""
-    found = reduce(lambda a, b: a | b, [F.col("dtype").contains(n) for n in needles])
-    return features.groupBy("dataset", "config").agg(F.bool_or(found).alias("indexable"))
+    return features.groupBy("dataset", "config").agg(
+        F.bool_or(_searchable(needles)).alias("indexable")
+    )
 
 
 def validate_split(entities: DataFrame, responses: DataFrame, features: DataFrame) -> DataFrame:
     """Flags of each split entity; a missing response or missing metadata is false.
 
     responses: (kind, dataset, config, split, ok); features: (dataset, config, column, dtype).
-    Both are reduced to one row per key first, so the joins add no rows.
+    What is known of a split, and of a config, is one row per key first, so the joins add no rows.
     """
     splits = entities.filter(F.col("config").isNotNull() & F.col("split").isNotNull())
     ok = F.col("ok")
@@ -75,13 +81,19 @@ def validate_split(entities: DataFrame, responses: DataFrame, features: DataFram
             F.bool_or(ok & (F.col("kind") == "split-has-statistics")).alias("statistics"),
         )
     )
-    of_config = (
-        responses.filter((F.col("kind") == "config-has-viewer") & F.col("split").isNull())
+    # Viewer responses and column types of a config meet in one aggregate.
+    none = F.lit(None).cast("boolean")
+    viewers = responses.filter((F.col("kind") == "config-has-viewer") & F.col("split").isNull())
+    columns = features.select(
+        "dataset", "config", none.alias("viewer"), _searchable(("string", "text")).alias("indexable"),
+        F.lit(True).alias("filter"),
+    )
+    config_level = (
+        viewers.select("dataset", "config", ok.alias("viewer"), none.alias("indexable"), none.alias("filter"))
+        .unionByName(columns)
         .groupBy("dataset", "config")
-        .agg(F.bool_or(ok).alias("viewer"))
+        .agg(*[F.bool_or(c).alias(c) for c in ("viewer", "indexable", "filter")])
     )
-    searchable = indexable_columns(features).withColumn("filter", F.lit(True))
-    config_level = of_config.join(searchable, ["dataset", "config"], "full_outer")
     joined = splits.join(of_split, _ENTITY, "left").join(config_level, ["dataset", "config"], "left")
     flags = {c: F.col("indexable" if c == "search" else c) for c in CAPABILITIES}
     return joined.select(
@@ -93,25 +105,36 @@ def validate_split(entities: DataFrame, responses: DataFrame, features: DataFram
 
 def _roll_up(parents: DataFrame, children: DataFrame, cached: DataFrame, kind: str,
              parent_keys: list[str], child_keys: list[str]) -> DataFrame:
-    """OR of the children's cached results with status 200, and the share that is cached."""
-    results = cached.filter(F.col("kind") == kind).select(
-        *child_keys, F.lit(True).alias("_cached"), (F.col("status") == 200).alias("_good"),
-        *CAPABILITIES,
-    )
-    merged = (
-        children.select(*child_keys).distinct()
-        .join(results, child_keys, "left")
-        .groupBy(*parent_keys)
-        .agg(
-            F.count(F.lit(1)).alias("_total"),
-            F.count("_cached").alias("_done"),
-            *[F.bool_or(F.col(c) & F.col("_good")).alias(c) for c in CAPABILITIES],
-        )
-    )
-    return parents.select(*parent_keys).distinct().join(merged, parent_keys, "left").select(
-        *parent_keys,
-        *[F.coalesce(c, F.lit(False)).alias(c) for c in CAPABILITIES],
-        F.coalesce(F.col("_done") / F.col("_total"), F.lit(1.0)).alias("progress"),
+    """OR of the children's cached results with status 200, and the share that is cached.
+
+    Children and results meet in an aggregate per child, children and parents in one per parent, so
+    there are two shuffles and no join.
+    """
+    none = F.lit(None).cast("boolean")
+    known = children.select(
+        *child_keys, F.lit(True).alias("_child"), none.alias("_good"), *[none.alias(c) for c in CAPABILITIES]
+    ).unionByName(cached.filter(F.col("kind") == kind).select(
+        *child_keys, none.alias("_child"), (F.col("status") == 200).alias("_good"), *CAPABILITIES,
+    ))
+    per_child = known.groupBy(*child_keys).agg(
+        F.bool_or("_child").alias("_child"), F.count("_good").alias("_cached"),
+        *[F.bool_or(F.col(c) & F.col("_good")).alias(c) for c in CAPABILITIES],
+    ).filter("_child")
+    members = per_child.select(
+        *parent_keys, F.lit(1).alias("_total"), (F.col("_cached") > 0).cast("int").alias("_done"),
+        none.alias("_parent"), *CAPABILITIES,
+    ).unionByName(parents.select(
+        *parent_keys, F.lit(0).alias("_total"), F.lit(0).alias("_done"), F.lit(True).alias("_parent"),
+        *[none.alias(c) for c in CAPABILITIES],
+    ))
+    merged = members.groupBy(*parent_keys).agg(
+        F.sum("_total").alias("_total"), F.sum("_done").alias("_done"),
+        F.bool_or("_parent").alias("_parent"), *[F.bool_or(c).alias(c) for c in CAPABILITIES],
+    ).filter("_parent")
+    share = F.when(F.col("_total") > 0, F.col("_done") / F.col("_total")).otherwise(F.lit(1.0))
+    return merged.select(
+        *parent_keys, *[F.coalesce(c, F.lit(False)).alias(c) for c in CAPABILITIES],
+        share.alias("progress"),
     )
 
 
@@ -141,13 +164,17 @@ def validate_batch(
     requests: DataFrame, entities: DataFrame, responses: DataFrame, features: DataFrame,
     cached: DataFrame,
 ) -> DataFrame:
-    """A result per requested entity and level; an unknown config or dataset is no success."""
+    """A result per requested entity and level; an unknown config or dataset is no success.
+
+    What is known about an entity is one row per level, so no repeats arise. The catalog goes
+    through aggregates only: a shuffle each, after partial sums, and no join before it is reduced.
+    """
     columns = [*_ENTITY, *CAPABILITIES, "progress"]
     results = (
-        validate_split(requests, responses, features).select(*columns)
+        validate_split(requests.distinct(), responses, features).select(*columns)
         .unionByName(validate_config(entities, cached).select(*columns))
         .unionByName(validate_dataset(entities, cached).select(*columns))
-    ).distinct()
+    )
     keyed = results.withColumns({
         f"_{c}": F.coalesce(c, F.lit("")) for c in ("config", "split")
     }).drop("config", "split").withColumn(
@@ -289,7 +316,7 @@ _TYPE_NAMES = {
 
 
 def _shown(name: str, dtype: str) -> Column:
-    column = F.col(f"`{name}`")
+    column = F.col(_quoted(name))
     if dtype in ("string", "bigint", "boolean"):
         text = column.cast("string")
     elif dtype.startswith("array"):
@@ -299,25 +326,72 @@ def _shown(name: str, dtype: str) -> Column:
     return F.when(column.isNull(), "null").otherwise(text)
 
 
-def sample_records(df: DataFrame, order: str, k: int = 5) -> DataFrame:
-    """The first k rows by `order`, each a map from column name to shown value."""
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sample_records(df: DataFrame, order: str | Column, k: int = 5, name: str | None = None) -> DataFrame:
+    """The first k rows by `order`, a column's name or an expression called `name`, each a map from
+    column name to shown value. Columns may have any type and name."""
+    place = F.col(_quoted(order)) if isinstance(order, str) else order
     values = [part for n, t in df.dtypes for part in (F.lit(n), _shown(n, t))]
-    return df.orderBy(order).limit(k).select(order, F.create_map(*values).alias("record"))
+    record = F.create_map(*values) if values else F.create_map().cast("map<string,string>")
+    shown = df.select(place.alias(name or order), record.alias("record"))
+    return shown.orderBy(F.col(_quoted(name or order))).limit(k)
 
 
 def phase_dataset_check(records: DataFrame, phases: Sequence[str]) -> DataFrame:
-    """Records, distinct files and distinct phase names of each expected phase."""
+    """Records, distinct files and distinct phase names of each expected phase.
+
+    Phases that have records but were not expected are rows too, with `expected` false.
+    """
+    wanted = F.array(*[F.lit(p) for p in phases]).cast("array<string>")
     expected = records.sparkSession.createDataFrame([(p,) for p in phases], "phase string")
     found = records.groupBy("phase").agg(
         F.count(F.lit(1)).alias("records"), F.countDistinct("file_path").alias("files")
     )
     zero = F.lit(0).cast("long")
-    return expected.join(found, "phase", "left").select(
+    return expected.join(found, "phase", "full_outer").select(
         "phase",
         F.coalesce("records", zero).alias("records"),
         F.coalesce("files", zero).alias("files"),
         F.when(F.col("records").isNull(), 0).otherwise(1).alias("phases"),
         F.col("records").isNull().alias("empty"),
+        F.coalesce(F.array_contains(wanted, F.col("phase")), F.lit(False)).alias("expected"),
+    )
+
+
+def phase_files_check(
+    spark: SparkSession, path: str, phases: Sequence[str], flat: bool = False
+) -> DataFrame:
+    """Whether each phase's JSON is there and can be read: (phase, state, records, bad_records).
+
+    state: `missing`, `invalid` if some record is no record of the format, else `valid`. Folders are
+    phase=<name>, or, if `flat`, <name>-phase with one array in data.json.
+    """
+    shape = T.StructType([*SEMANTIC_RECORD.fields, T.StructField("_text", T.StringType())])
+    reader = spark.read.schema(shape).option("columnNameOfCorruptRecord", "_text")
+    expected = spark.createDataFrame([(p,) for p in phases], "phase string")
+    base = path.rstrip("/")
+    pattern = "*-phase/data.json" if flat else "phase=*/*"
+    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    name = F.regexp_replace(folder, "-phase$", "") if flat else F.substring_index(folder, "=", -1)
+    if not any_path(spark, f"{base}/{pattern}"):
+        found = expected.limit(0).select("phase", F.lit(0).alias("records"), F.lit(0).alias("bad_records"))
+    else:
+        rows = reader.option("multiLine", flat).json(f"{base}/{pattern}")
+        # All columns are read, since a reader of fewer would not notice what does not parse.
+        bad = F.col("_text").isNotNull() | F.col("id").isNull()
+        found = rows.select(name.alias("phase"), bad.alias("_bad"), F.hash(*SEMANTIC_RECORD.names)).groupBy("phase").agg(
+            F.count(F.lit(1)).alias("records"), F.count_if("_bad").alias("bad_records")
+        )
+    zero = F.lit(0).cast("long")
+    return expected.join(found, "phase", "left").select(
+        "phase",
+        F.when(F.col("records").isNull(), "missing").when(F.col("bad_records") > 0, "invalid")
+        .otherwise("valid").alias("state"),
+        F.coalesce("records", zero).alias("records"),
+        F.coalesce("bad_records", zero).alias("bad_records"),
     )
 
 

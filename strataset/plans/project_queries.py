@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from strataset.functions.text import repo_key
 from strataset.operators import ir as ir_ops, project as ops
@@ -123,22 +123,19 @@ def dependency_detail(spark, sf_dir):
 
 
 @query("dependency_json", f"""
-    WITH {views.DECL_DEPS}, {views.RESOLVE_EDGES}, {_DETAIL},
-    placed AS (
-      SELECT *, row_number() OVER (PARTITION BY pkg_id ORDER BY dep_ord, name, version_req) - 1
-                  AS pos FROM detail)
-    SELECT pkg_id, CAST(pos // 1000 AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS entries,
-           arg_min(name, pos) AS first_name, arg_max(name, pos) AS last_name
-    FROM placed GROUP BY pkg_id, pos // 1000""")
+    WITH {views.DECL_DEPS}, {views.RESOLVE_EDGES}, {_DETAIL}
+    SELECT *, CAST(CASE WHEN dep_ord % 2 = 0 THEN 1 ELSE 0 END AS INTEGER) AS feature_count
+    FROM detail""")
 def dependency_json(spark, sf_dir):
-    pages = ops.dependency_json(detail(spark, sf_dir))
-    names = F.from_json("dependency_data", "array<struct<name string>>")
-    return pages.select(
-        "pkg_id", "part",
-        F.json_array_length("dependency_data").alias("entries"),
-        names[0]["name"].alias("first_name"),
-        F.element_at(names, -1)["name"].alias("last_name"),
+    """Every field of every dependency, read back from its JSON."""
+    found = detail(spark, sf_dir)
+    entry = T.StructType([f for f in found.schema.fields if f.name not in ("pkg_id", "dep_ord")])
+    rows = ops.dependency_json(found).select(
+        "pkg_id", "dep_ord", F.from_json("dependency_data", entry).alias("d")
     )
+    return rows.select("pkg_id", "dep_ord", "d.*").withColumn(
+        "feature_count", F.coalesce(F.size("features"), F.lit(0))
+    ).drop("features")
 
 
 def metrics(spark, sf_dir):
@@ -165,6 +162,28 @@ def source_metrics(spark, sf_dir):
     return metrics(spark, sf_dir)
 
 
+_FOLDERS = """folders AS (
+  SELECT DISTINCT regexp_extract(file_path, '^[^/]*') AS folder FROM corpus_files
+  UNION SELECT DISTINCT regexp_extract(file_path, '^[^/]*/[^/]*') FROM corpus_files
+        WHERE length(file_path) % 2 = 0)"""
+
+
+@query("with_project", f"""
+    WITH {views.CORPUS_LINES}, {_FOLDERS}, found AS (
+      SELECT f.file_path, max_by(d.folder, length(d.folder)) AS project
+      FROM corpus_files f JOIN folders d ON starts_with(f.file_path, concat(d.folder, '/'))
+      GROUP BY f.file_path)
+    SELECT f.file_path, coalesce(n.project, '.') AS project
+    FROM corpus_files f LEFT JOIN found n USING (file_path)""")
+def with_project(spark, sf_dir):
+    """Each file of the corpus and the nearest of some folders above it."""
+    paths = views.corpus_files(spark, sf_dir).select("file_path")
+    folders = paths.select(F.substring_index("file_path", "/", 1).alias("project_path")).union(
+        paths.filter(F.length("file_path") % 2 == 0).select(F.substring_index("file_path", "/", 2))
+    )
+    return ops.with_project(paths, folders, ".")
+
+
 def enriched(spark, sf_dir):
     return ops.ecosystem_enrich(
         views.pkgs(spark, sf_dir), views.registry(spark, sf_dir), views.repos(spark, sf_dir)
@@ -230,7 +249,7 @@ def project_records(spark, sf_dir):
     return ops.unify_project_records(
         ops.package_metadata(found, build),
         ops.workspace_metadata(found, build),
-        ops.dependency_records(counts(spark, sf_dir), ops.dependency_json(detail(spark, sf_dir))),
+        ops.dependency_records(counts(spark, sf_dir)),
         ops.source_records(metrics(spark, sf_dir), "project"),
         ops.build_config(found, build),
         ops.ecosystem_records(enriched(spark, sf_dir)),
@@ -246,9 +265,7 @@ project_records AS (
          0 AS total_dependencies, 0 AS commit_count, 0 AS download_count,
          count(*) FILTER (WHERE has_build_script) AS with_build_script
   FROM manifests WHERE has_package OR has_workspace
-  UNION ALL SELECT 'dependency_analysis',
-                   CAST(sum(greatest(ceil(direct_dependencies / 1000.0), 1)) AS BIGINT),
-                   0, sum(total_dependencies), 0, 0, 0 FROM counts
+  UNION ALL SELECT 'dependency_analysis', count(*), 0, sum(total_dependencies), 0, 0, 0 FROM counts
   UNION ALL SELECT 'source_code_analysis', count(*), sum(lines_of_code), 0, 0, 0, 0 FROM metrics
   UNION ALL SELECT 'build_analysis', count(*), 0, 0, 0, 0,
                    count(*) FILTER (WHERE has_build_script) FROM manifests

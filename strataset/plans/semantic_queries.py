@@ -187,6 +187,13 @@ def phase_json(spark, sf_dir):
     )
 
 
+def _ordered(spark, sf_dir, mode):
+    found = semantic.ordered_records(
+        views.corpus_files(spark, sf_dir), semantic.parse_phases(ALL_PHASES), mode=mode
+    )
+    return found.select("phase", "file_path", "line", "processing_order")
+
+
 @query("processing_order", f"""
     WITH {views.CORPUS_LINES}, {_PHASED}
     SELECT phase, file_path, line_no AS line,
@@ -194,8 +201,7 @@ def phase_json(spark, sf_dir):
              AS processing_order
     FROM phased""")
 def processing_order(spark, sf_dir):
-    keys = records(spark, sf_dir).select("phase", "file_path", "line")
-    return semantic.processing_order(keys)
+    return _ordered(spark, sf_dir, "phase_first")
 
 
 @query("processing_order_by_file", f"""
@@ -205,8 +211,19 @@ def processing_order(spark, sf_dir):
              AS processing_order
     FROM phased""")
 def processing_order_by_file(spark, sf_dir):
+    return _ordered(spark, sf_dir, "file_first")
+
+
+@query("number_records", f"""
+    WITH {views.CORPUS_LINES}, {_PHASED}
+    SELECT phase, file_path, line_no AS line,
+           row_number() OVER (ORDER BY rank, string_split(file_path, '/'), line_no)
+             AS processing_order
+    FROM phased""")
+def number_records(spark, sf_dir):
+    """The numbers given to records that exist already, here to their keys."""
     keys = records(spark, sf_dir).select("phase", "file_path", "line")
-    return semantic.processing_order(keys, mode="file_first")
+    return semantic.processing_order(keys)
 
 
 @query("run_phases", f"""

@@ -17,7 +17,7 @@ from strataset.plans import project_queries as proj, semantic_queries as sem, vi
 from strataset.plans.registry import query, table
 from strataset.plans.term_queries import split_terms, terms
 from strataset.schemas import IR_LEVELS, IR_PHASES, RAW_TERM, SEMANTIC_RECORD, TERM_SPLITS
-from strataset.session import scratch_path
+from strataset.session import qualified, scratch_path
 from strataset.sinks import writers
 from strataset.sources import files as readers
 from strataset.sources.storage import open_store
@@ -25,8 +25,8 @@ from strataset.streaming.batches import stream_phase_batches as stream_phase_bat
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# About a terabyte of full-size files to a batch.
-FILES_PER_BATCH = 10_000
+# Rows of a stored file and files of a batch here, so that there are several batches.
+ROWS_PER_FILE, FILES_PER_BATCH = 10_000, 3
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -51,6 +51,8 @@ file_flags AS (
 def write_text_files(files: DataFrame, root: str) -> None:
     """Write each (path, content) row as a file of that name below `root`."""
 
+    root = qualified(files.sparkSession, root)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(root)
         for batch in batches:
@@ -88,9 +90,14 @@ _TERM_DOC = (
     SELECT concat('t', c_custkey) AS id, term, count, category, significance, vibe,
            action_suggestion, CAST(NULL AS VARCHAR) AS osi_layer,
            CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 0 END AS names,
-           substr(category, 1, 1) AS character_group
-    FROM docs""")
+           substr(category, 1, 1) AS character_group, CAST(NULL AS VARCHAR) AS problem
+    FROM docs WHERE c_custkey % 5 <> 0
+    UNION ALL
+    SELECT concat('t', c_custkey), NULL, NULL, NULL, NULL, NULL, NULL, NULL, 0,
+           substr(category, 1, 1), 'not a term document'
+    FROM docs WHERE c_custkey % 5 = 0""")
 def scan_term_json(spark, sf_dir):
+    """Every fifth document is cut off and cannot be read."""
     docs = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey", *_TERM_DOC,
         "CASE WHEN c_custkey % 2 = 0 THEN array(c_name, c_mktsegment) ELSE NULL END "
@@ -101,14 +108,14 @@ def scan_term_json(spark, sf_dir):
         F.lit("terms/"), F.substring("category", 1, 1), F.lit("/t"), "c_custkey", F.lit(".json")
     )
     base = scratch_path(spark, "term-docs")
-    write_text_files(
-        docs.select(path.alias("path"), F.to_json(F.struct(*fields)).alias("content")), base
-    )
+    text = F.to_json(F.struct(*fields))
+    text = F.when(F.col("c_custkey") % 5 == 0, F.substring(text, 1, 9)).otherwise(text)
+    write_text_files(docs.select(path.alias("path"), text.alias("content")), base)
     found = readers.scan_term_json(spark, base)
     return found.select(
         "id", "term", "count", "category", "significance", "vibe", "action_suggestion",
         "osi_layer", F.coalesce(F.size("semantic_names"), F.lit(0)).alias("names"),
-        "character_group",
+        "character_group", "problem",
     ).withColumn("names", F.greatest("names", F.lit(0)))
 
 
@@ -345,12 +352,13 @@ def dataset_report(spark, sf_dir):
 
 
 @query("first_file_sample", """
-    WITH sample AS (SELECT * FROM benchmark ORDER BY item_id LIMIT 5)
-    SELECT item_id, 'item_id' AS "column", CAST(item_id AS VARCHAR) AS value FROM sample
-    UNION ALL SELECT item_id, 'text', coalesce(text, 'null') FROM sample""")
+    WITH sample AS (
+      SELECT * FROM (SELECT *, row_number() OVER () - 1 AS row FROM benchmark) WHERE row < 5)
+    SELECT row, 'item_id' AS "column", CAST(item_id AS VARCHAR) AS value FROM sample
+    UNION ALL SELECT row, 'text', coalesce(text, 'null') FROM sample""")
 def first_file_sample(spark, sf_dir):
     sample = report.first_file_sample(spark, sf_dir)
-    return sample.select("item_id", F.explode("record").alias("column", "value"))
+    return sample.select("row", F.explode("record").alias("column", "value"))
 
 
 @query("phase_completeness", f"""
@@ -379,7 +387,7 @@ def phase_completeness(spark, sf_dir):
     FROM corpus_lines WHERE {sem._NOT_BLANK} GROUP BY 1""")
 def stream_phase_batches(spark, sf_dir):
     stored, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
-    sem.records(spark, sf_dir, "parsing").write.parquet(stored)
+    sem.records(spark, sf_dir, "parsing").write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(stored)
     run = _stream_phase(spark, stored, out)
     run.awaitTermination()
     return spark.read.parquet(out).groupBy("element_type").agg(
@@ -426,6 +434,13 @@ def dedup_records(spark, sf_dir):
     return kept.select("doc_id", F.length("text").alias("characters"))
 
 
+@query("dedup_records_by_time", """
+    SELECT min(event_id) AS event_id, ts FROM events GROUP BY ts""")
+def dedup_records_by_time(spark, sf_dir):
+    kept = maintenance.dedup_records(table(spark, sf_dir, "events"), ["ts"], ["event_id"])
+    return kept.select("event_id", "ts")
+
+
 @query("completeness_check", f"""
     WITH {views.CORPUS_LINES}, {sem._PHASED}
     SELECT f.file_path, p.phase

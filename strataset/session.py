@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,25 +27,60 @@ def build_session(app: str = "strataset", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as a URI of the file system it lives on; without a scheme that is Spark's default."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def any_path(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or one that a pattern stands for, exists."""
+    store, path = _file_system(spark, pattern)
+    return bool(store.globStatus(path))
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in spark.checkpoint.dir.
+    """The folder every executor can reach: spark.checkpoint.dir, or one in the warehouse, which
+    executors share too, where that is unset."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
-    Without that setting a temporary folder is used, which is right only when driver and
-    executors are one process; a cluster without the setting is refused.
-    """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured:
-        return configured
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="strataset-"))
-    return sc.getCheckpointDir()
+
+# The folder of the running job, see `scratch`; else one per session, deleted when Spark ends.
+_JOB: ContextVar[str | None] = ContextVar("job", default=None)
+_SESSIONS: dict[str, str] = {}
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables of the block go to a folder that is deleted when the block ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
+    token = _JOB.set(folder)
+    try:
+        yield
+    finally:
+        _JOB.reset(token)
+        store, path = _file_system(spark, folder)
+        store.delete(path, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = _JOB.get()
+    if folder is None:
+        app = spark.sparkContext.applicationId
+        if app not in _SESSIONS:
+            _SESSIONS[app] = f"{shared_dir(spark).rstrip('/')}/session-{uuid.uuid4().hex}"
+            store, path = _file_system(spark, _SESSIONS[app])
+            store.mkdirs(path)
+            store.deleteOnExit(path)
+        folder = _SESSIONS[app]
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def hold(df: DataFrame, label: str) -> DataFrame:

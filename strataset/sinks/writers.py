@@ -3,57 +3,71 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from strataset.functions.numbering import dense_position
 from strataset.operators.ir import ir_projection
 from strataset.operators.terms import sample_per_group
-from strataset.schemas import PROJECT_RECORD, SEMANTIC_PHASES
-from strataset.session import hold, scratch_path
-from strataset.sources.storage import list_files
+from strataset.schemas import PROJECT_RECORD
+from strataset.session import hold
 
-# File limit, share of it that is used, sample for the estimate, rows per split file.
+# File limit, share of it that is used, rows per split file.
 MAX_MB = 9
 FILL = 0.9
-SAMPLE_ROWS = 100
 SPLIT_ROWS = 10_000
 
 
-def rows_per_file(df: DataFrame, max_mb: float = MAX_MB) -> int | None:
-    """How many rows fit into a file, judged by writing the first rows; None without rows."""
-    spark = df.sparkSession
-    rows = df.take(SAMPLE_ROWS)
-    if not rows:
-        return None
-    path = scratch_path(spark, "sample")
-    spark.createDataFrame(rows, df.schema).coalesce(1).write.parquet(path)
-    written = list_files(spark, f"{path}/*.parquet").agg(F.sum("file_size_bytes")).first()[0]
-    return max(int(max_mb * 1024 * 1024 * FILL / (written / len(rows))), 1)
+def _row_bytes(df: DataFrame) -> Column:
+    """The size of a row before compression."""
+    sizes = []
+    for f in df.schema.fields:
+        column = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(column), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)))
+        else:
+            sizes.append(F.lit(8))
+    return reduce(lambda a, b: a + b, sizes).cast("long")
 
 
-def _write_partitioned(df: DataFrame, path: str, keys: Sequence[str], rows: int | None) -> None:
+def rows_per_file(df: DataFrame, max_mb: float = MAX_MB, key: str | None = None) -> int | None:
+    """How many rows fit into a file, by the mean size over all rows; None without rows.
+
+    With `key` the group of the largest mean decides. Sizes are those before compression, so files
+    come out smaller than the limit.
+    """
+    per_group = df.groupBy(*([key] if key else [])).agg(F.avg(_row_bytes(df)).alias("_bytes"))
+    largest = per_group.agg(F.max("_bytes")).first()[0]
+    return None if largest is None else max(int(max_mb * 1024 * 1024 * FILL / max(largest, 1)), 1)
+
+
+def _write_partitioned(
+    df: DataFrame, path: str, keys: Sequence[str], rows: int | None, gather: bool = False
+) -> None:
     """Parquet below key=value directories.
 
-    Each task writes the rows it has, to a few files per directory: the limits on files are far
-    below what a task holds, so gathering a directory's rows first would only add a shuffle.
+    With a limit on rows each task writes the rows it has, to a few files per directory: the limits
+    are far below what a task holds, so gathering a directory's rows first would only add a
+    shuffle. Without one, `gather` brings a directory's rows together in as many tasks as their
+    size asks for, else every task would write a small file to every directory.
     """
+    if gather:
+        df = df.hint("rebalance", *[F.col(k) for k in keys])
     writer = df.write.partitionBy(*keys).option("compression", "snappy")
     if rows is not None:
         writer = writer.option("maxRecordsPerFile", rows)
     writer.parquet(path)
 
 
-def write_phase_parquet(
-    records: DataFrame, path: str, max_mb: float = MAX_MB,
-    phases: Sequence[str] = SEMANTIC_PHASES[:3],
-) -> None:
+def write_phase_parquet(records: DataFrame, path: str, max_mb: float = MAX_MB) -> None:
     """Records by phase, in files of at most about `max_mb`; an empty phase writes nothing.
 
-    `phases` are those whose rows are sampled for the estimate; the largest rows decide.
+    The records are gone through once for their sizes and once to be written.
     """
-    estimates = [rows_per_file(records.filter(F.col("phase") == p), max_mb) for p in phases]
-    _write_partitioned(records, path, ["phase"], min((n for n in estimates if n), default=None))
+    _write_partitioned(records, path, ["phase"], rows_per_file(records, max_mb, "phase"))
 
 
 def write_split_parquet(df: DataFrame, path: str, rows: int = SPLIT_ROWS) -> None:
@@ -66,12 +80,14 @@ def write_project_parquet(records: DataFrame, path: str) -> None:
     full = records.select(*[
         F.col(f.name).cast(f.dataType).alias(f.name) for f in PROJECT_RECORD.fields
     ])
-    _write_partitioned(full, path, ["phase"], None)
+    _write_partitioned(full, path, ["phase"], None, gather=True)
 
 
 def write_ir_parquet(ir: DataFrame, path: str) -> None:
     """IR records in the persisted layout, by phase and level."""
-    _write_partitioned(ir_projection(ir), path, ["phase", "optimization_level"], None)
+    _write_partitioned(
+        ir_projection(ir), path, ["phase", "optimization_level"], None, gather=True
+    )
 
 
 def chunk_plan(
@@ -115,6 +131,9 @@ def write_grouped_json(df: DataFrame, key: str, path: str) -> None:
 
 
 def write_report_json(df: DataFrame, path: str) -> None:
-    """A report of one row as one pretty JSON document."""
-    text = F.to_json(F.struct(*df.columns), {"pretty": "true", "ignoreNullFields": "false"})
-    df.limit(1).select(text.alias("value")).write.option("lineSep", "\n").text(path)
+    """Each row as a pretty JSON document; a report is usually one row."""
+    text = F.to_json(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]),
+        {"pretty": "true", "ignoreNullFields": "false"},
+    )
+    df.select(text.alias("value")).write.option("lineSep", "\n").text(path)

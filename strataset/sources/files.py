@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from decimal import Decimal
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -12,17 +12,33 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from strataset.schemas import RAW_TERM, SEMANTIC_RECORD
+from strataset.session import qualified
 from strataset.sources.storage import list_files, open_store, plain_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def narrow_unsigned(df: DataFrame) -> DataFrame:
-    """Unsigned 64-bit columns, which Spark reads as decimal(20,0), to bigint."""
-    wide = T.DecimalType(20, 0)
-    return df.withColumns({
-        f.name: F.col(f"`{f.name}`").cast("long") for f in df.schema.fields if f.dataType == wide
-    })
+_WIDE = T.DecimalType(20, 0)  # how Spark reads unsigned 64-bit numbers
+
+
+def wrapped(value: Column) -> Column:
+    """An unsigned 64-bit number as the bigint of the same bits."""
+    above, span = (F.lit(Decimal(1 << bits)).cast(_WIDE) for bits in (63, 64))
+    return F.when(value >= above, value - span).otherwise(value).cast("long")
+
+
+def narrow_unsigned(df: DataFrame, footers: Callable[[], DataFrame]) -> DataFrame:
+    """Unsigned 64-bit columns to bigint, larger numbers wrapping around.
+
+    Spark reads them as decimal(20,0), and decimals of that size too; the files' footers tell which
+    is which, and are read only if there is such a column.
+    """
+    wide = [f.name for f in df.schema.fields if f.dataType == _WIDE]
+    if not wide:
+        return df
+    types = footers().select(F.explode("fields").alias("f")).filter("f.type = 'uint64'")
+    unsigned = {r[0] for r in types.select("f.name").distinct().collect()}
+    return df.withColumns({c: wrapped(F.col(f"`{c}`")) for c in wide if c in unsigned})
 
 
 def scan_split_dataset(
@@ -35,31 +51,44 @@ def scan_split_dataset(
     """
     rows = spark.read.option("mergeSchema", merge_schema).parquet(f"{path.rstrip('/')}/*.parquet")
     name = F.col("_metadata.file_name")
-    return narrow_unsigned(rows.select(
+    named = rows.select(
         "*", F.substring_index(name, "-", 1).alias("split_name"), name.alias("file_name")
-    ))
+    )
+    return narrow_unsigned(named, lambda: read_footers(spark, path))
 
 
 def scan_term_json(spark: SparkSession, base: str) -> DataFrame:
-    """One JSON document per term below terms/<group>/<id>.json; unusable ones are left out."""
-    required = [f.name for f in RAW_TERM.fields if not f.nullable]
+    """One JSON document per term below terms/<group>/<id>.json.
+
+    A document that cannot be used is kept with its reason in `problem`, which is null for all
+    others. Whole numbers are unsigned, larger ones wrap around.
+    """
+    fields = [T.StructField(f.name, _WIDE if f.dataType == T.LongType() else f.dataType) for f in RAW_TERM.fields]
+    shape = T.StructType([*fields, T.StructField("_text", T.StringType())])
     path = plain_path(F.col("_metadata.file_path"))
     documents = (
-        spark.read.schema(RAW_TERM).option("multiLine", True)
+        spark.read.schema(shape).option("multiLine", True)
+        .option("columnNameOfCorruptRecord", "_text")
         .json(f"{base.rstrip('/')}/terms/*/*.json")
     )
+    missing = F.concat_ws(", ", *[F.when(F.col(f.name).isNull(), f.name) for f in RAW_TERM.fields if not f.nullable])
+    problem = F.when(F.col("_text").isNotNull(), "not a term document").when(
+        missing != "", F.concat(F.lit("without "), missing)
+    )
     return documents.select(
         F.regexp_extract(path, r"([^/]*?)(\.json)+$", 1).alias("id"),
-        "*",
+        *[
+            (wrapped(F.col(f.name)) if f.dataType == T.LongType() else F.col(f.name)).alias(f.name)
+            for f in RAW_TERM.fields
+        ],
         F.element_at(F.split(path, "/"), -2).alias("character_group"),
-    ).dropna(subset=required)
+        problem.alias("problem"),
+    )
 
 
 def plain_root(root: str) -> str:
     """The directory as it stands in file paths, with a slash at its end."""
-    if "://" not in root and not root.startswith("file:"):
-        root = os.path.abspath(root)
-    return open_store(root)[1].rstrip("/") + "/"
+    return open_store(qualified(SparkSession.active(), root))[1].rstrip("/") + "/"
 
 
 def relative_path(path: Column, root: str) -> Column:
@@ -111,11 +140,14 @@ def load_phase(
     """One phase, or one optimisation level of it; only its directories are read."""
     if flat:
         parts = [phase, *([level] if level else []), "phase"]
-        return narrow_unsigned(spark.read.parquet(f"{path.rstrip('/')}/{'-'.join(parts)}"))
+        folder = f"{path.rstrip('/')}/{'-'.join(parts)}"
+        return narrow_unsigned(spark.read.parquet(folder), lambda: read_footers(spark, folder))
     rows = spark.read.parquet(path).filter(F.col("phase") == phase)
+    keys = ["phase"]
     if level is not None:
         rows = rows.filter(F.col("optimization_level") == level)
-    return narrow_unsigned(rows)
+        keys.append("optimization_level")
+    return narrow_unsigned(rows, lambda: read_footers(spark, path, keys))
 
 
 _FOOTER = T.StructType([
@@ -148,17 +180,32 @@ def _add_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema=_FOOTER_ARROW)
 
 
-def read_footers(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
+def read_footers(
+    spark: SparkSession, path: str, keys: Sequence[str] = (), flat: bool = False
+) -> DataFrame:
     """Bytes, rows and ordered columns of each Parquet file, from the footers, read by the tasks.
 
     No data page is read. `keys` name the levels of key=value directories above the files, which
-    become columns.
+    become columns. With `flat` there is one level, <phase>-phase or <phase>-<level>-phase, whose
+    name gives phase and optimization_level; the level is null where the name has none.
     """
-    files = list_files(spark, path.rstrip("/") + "/*" * len(keys) + "/*.parquet")
+    levels = 1 if flat else len(keys)
+    files = list_files(spark, path.rstrip("/") + "/*" * levels + "/*.parquet")
     values = [F.regexp_extract("path", f"/{key}=([^/]*)/", 1).alias(key) for key in keys]
+    if flat:
+        folder = F.element_at(F.split("path", "/"), -2)
+        level = F.regexp_extract(folder, r"-(O[^-]*)-phase$", 1)
+        found = {
+            "phase": F.regexp_extract(folder, r"^(.*?)(-O[^-]*)?-phase$", 1),
+            "optimization_level": F.when(level != "", level),
+        }
+        files = files.filter(folder.rlike("-phase$"))
+        values = [value.alias(key) for key, value in found.items() if key in (keys or found)]
     return files.mapInArrow(_add_footers, _FOOTER).select(*values, *_FOOTER.names)
 
 
-def read_footer_stats(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
+def read_footer_stats(
+    spark: SparkSession, path: str, keys: Sequence[str] = (), flat: bool = False
+) -> DataFrame:
     """Rows and bytes per Parquet file of a directory, without reading data."""
-    return read_footers(spark, path, keys).drop("path", "fields")
+    return read_footers(spark, path, keys, flat).drop("path", "fields")

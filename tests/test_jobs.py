@@ -66,6 +66,46 @@ def test_project_dataset(spark, tmp_path):
     assert found["version_history", "p1"].project_age_days == 2
 
 
+def test_a_directory_with_a_manifest_is_one_project(spark, tmp_path):
+    root = tmp_path / "crate"
+    put(root / "Cargo.toml", '[package]\nname = "crate"\nversion = "1.0.0"')
+    for name in ("src/lib.rs", "tests/t.rs", "examples/e.rs"):
+        put(root / name, "a\nb\n")
+    put(root / "build.rs", "fn main() {}\n")
+    jobs.project_dataset(spark, str(root), str(tmp_path / "out"), versions={"cargo_version": "1.80"})
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    (source,) = [r for r in rows if r.phase == "source_code_analysis"]
+    assert (source.project_path, source.project_name, source.lines_of_code) == (str(root), "crate", 7)
+    assert (source.source_file_count, source.test_file_count, source.example_file_count) == (4, 1, 1)
+    assert {r.cargo_version for r in rows} == {"1.80"}
+
+
+def test_lines_of_a_workspace_go_to_its_members(spark, tmp_path):
+    root = tmp_path / "ws"
+    put(root / "Cargo.toml", '[workspace]\nmembers = ["m1", "m2"]')
+    put(root / "tool.rs", "x\n")
+    for member, text in (("m1", "a\n"), ("m2", "a\nb\n")):
+        put(root / member / "Cargo.toml", f'[package]\nname = "{member}"')
+        put(root / member / "src" / "lib.rs", text)
+    jobs.project_dataset(spark, str(root), str(tmp_path / "out"))
+    rows = spark.read.parquet(str(tmp_path / "out")).filter("phase = 'source_code_analysis'").collect()
+    assert {r.project_path: r.lines_of_code for r in rows} == {
+        str(root): 1, str(root / "m1"): 1, str(root / "m2"): 2,
+    }
+
+
+def test_ir_dataset(spark, tmp_path):
+    compiled = spark.createDataFrame(
+        [("a.rs", lv, f"f{k}", "fn", f"define {lv}", "x86_64", "1") for lv in ("O0", "O2") for k in range(3)],
+        "source_file string, optimization_level string, construct_name string, rust_source string, llvm_ir string, "
+        "target_architecture string, extractor_version string",
+    )
+    jobs.ir_dataset(spark, compiled, str(tmp_path / "ir"))
+    rows = load_phase(spark, str(tmp_path / "ir"), "ir_generation", "O2").collect()
+    assert len(rows) == 3 and {r.processing_order for r in rows} == {3}
+    assert {r.id for r in rows} == {"ir_gen:a.rs:O2"}
+
+
 def test_term_dataset(spark, tmp_path):
     full = {
         "count": 3, "category": "c", "significance": "s", "vibe": "v", "action_suggestion": "a",
@@ -73,7 +113,9 @@ def test_term_dataset(spark, tmp_path):
     for group, name in (("a", "t1"), ("a", "t2"), ("7", "t3")):
         put(tmp_path / "in" / "terms" / group / f"{name}.json", json.dumps({**full, "term": name}))
     out = tmp_path / "out"
-    jobs.term_dataset(spark, str(tmp_path / "in"), str(out), "demo")
+    put(tmp_path / "in" / "terms" / "7" / "bad.json", "{")
+    counts = jobs.term_dataset(spark, str(tmp_path / "in"), str(out), "demo").collect()
+    assert {r.problem: r.documents for r in counts} == {None: 3, "not a term document": 1}
     rows = {r.id: (r.split, r.semantic_names) for r in spark.read.parquet(f"{out}/data").collect()}
     assert rows == {"t1": ("train", []), "t2": ("train", []), "t3": ("validation", [])}
     (text,) = [f.read_text() for f in (out / "dataset_info").glob("part-*") if f.stat().st_size]

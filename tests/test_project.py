@@ -1,5 +1,8 @@
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from strataset.operators import explore, ir, project
 from strataset.schemas import PROJECT_RECORD
 from strataset.sources.manifests import scan_manifests
@@ -84,34 +87,57 @@ def test_dependencies(spark):
     assert found[2].is_dev and found[3].is_build
 
 
-def test_dependency_pages_keep_every_entry(spark):
+def test_dependency_rows_keep_every_entry(spark):
     pkgs, decl, edges = dependencies(spark)
-    detail = project.dependency_detail(decl, edges, pkgs)
-    for page, parts in ((10, [3]), (2, [2, 1]), (1, [1, 1, 1])):
-        pages = sorted(project.dependency_json(detail, page).collect(), key=lambda r: r.part)
-        arrays = [json.loads(r.dependency_data) for r in pages]
-        assert [len(a) for a in arrays] == parts
-        assert [e["name"] for a in arrays for e in a] == ["serde", "missing", "serde"]
+    rows = project.dependency_json(project.dependency_detail(decl, edges, pkgs)).orderBy("dep_ord").collect()
+    assert [json.loads(r.dependency_data)["name"] for r in rows] == ["serde", "missing", "serde"]
 
 
-def test_further_parts_repeat_no_counts(spark):
+def test_a_package_is_one_record_however_many_dependencies(spark):
     pkgs, decl, edges = dependencies(spark)
-    pages = project.dependency_json(project.dependency_detail(decl, edges, pkgs), 2)
-    records = project.dependency_records(project.dependency_counts(pkgs, decl, edges), pages)
-    found = {r.id: r.direct_dependencies for r in records.collect() if r.project_name == "root"}
-    assert found == {"root:0.1:dependency_analysis": 3, "root:0.1:dependency_analysis:1": 0}
-    totals = explore.project_totals(project.unify_project_records(records)).first()
+    many = spark.range(5000).select(*[
+        {"pkg_id": F.lit(4).cast(decl.schema["pkg_id"].dataType), "dep_ord": F.col("id").cast(decl.schema["dep_ord"].dataType),
+         "dep_name": F.concat(F.lit("d"), "id"), "kind": F.lit("normal")}.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in decl.schema.fields
+    ])
+    counts = project.dependency_counts(pkgs, decl.unionByName(many), edges)
+    records = project.unify_project_records(project.dependency_records(counts)).collect()
+    assert len(records) == 4
+    assert {r.project_name: r.direct_dependencies for r in records}["lone"] == 5000
+    totals = explore.project_totals(spark.createDataFrame(records, PROJECT_RECORD)).first()
     assert (totals.projects, totals.total_dependencies) == (4, 2)
 
 
+def test_tool_versions_are_written(spark):
+    pkgs, decl, edges = dependencies(spark)
+    counts = project.dependency_counts(pkgs, decl, edges)
+    versions = {"extractor_version": "2", "cargo_version": "1.80", "rust_version": "1.81"}
+    (row,) = project.unify_project_records(project.dependency_records(counts), versions=versions).limit(1).collect()
+    assert (row.extractor_version, row.cargo_version, row.rust_version) == ("2", "1.80", "1.81")
+    with pytest.raises(ValueError):
+        project.unify_project_records(project.dependency_records(counts), versions={"other": "1"})
+
+
+def test_nearest_project(spark):
+    files = spark.createDataFrame([("r/a.rs",), ("r/m/src/x.rs",), ("r/m/n/y.rs",), ("q/z.rs",), ("top.rs",)], "file_path string")
+    folders = spark.createDataFrame([("r",), ("r/m",), ("r/m/n",), ("r/m",)], "project_path string")
+    got = {r.file_path: r.project for r in project.with_project(files, folders, "root").collect()}
+    assert got == {"r/a.rs": "r", "r/m/src/x.rs": "r/m", "r/m/n/y.rs": "r/m/n", "q/z.rs": "root", "top.rs": "root"}
+
+
+def test_packages_without_a_repository_are_not_joined(spark):
+    pkgs = spark.createDataFrame([("a", None), ("b", "https://github.com/o/r"), ("c", "https://elsewhere/x/y")], "name string, repository string")
+    registry = spark.createDataFrame([("a", 1), ("b", 2)], "name string, downloads long")
+    repos = spark.createDataFrame([("o", "r", 5, 6, 7, "1970-01-01T00:00:05Z")], "owner string, repo string, stars long, forks long, issues long, updated_at string")
+    got = {r.name: (r.download_count, r.github_stars) for r in project.ecosystem_enrich(pkgs, registry, repos).collect()}
+    assert got == {"a": (1, None), "b": (2, 5), "c": (None, None)}
+
+
 def test_unified_records_are_complete(spark):
     pkgs, decl, edges = dependencies(spark)
-    detail = project.dependency_detail(decl, edges, pkgs)
     records = project.unify_project_records(
         project.package_metadata(manifests(spark)),
-        project.dependency_records(
-            project.dependency_counts(pkgs, decl, edges), project.dependency_json(detail)
-        ),
+        project.dependency_records(project.dependency_counts(pkgs, decl, edges)),
         timestamp=5,
     )
     assert records.schema.names == PROJECT_RECORD.names
@@ -119,7 +145,7 @@ def test_unified_records_are_complete(spark):
         for field in PROJECT_RECORD.fields:
             assert field.nullable or row[field.name] is not None, field.name
     lone = [r for r in records.collect() if r.id == "lone:0.2:dependency_analysis"]
-    assert lone[0].dependency_data == "[]" and lone[0].has_build_script is False
+    assert lone[0].dependency_data is None and lone[0].has_build_script is False
 
 
 def test_source_metrics_take_the_first_kind_of_path(spark):

@@ -8,10 +8,10 @@ import re
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from strataset import plans
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = plans.queries(), plans.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -74,6 +74,17 @@ def test_one_scan_makes_all_phases(spark):
     assert "to_json" not in plan_of(records.groupBy("phase").count())
 
 
+def test_numbering_moves_no_records(spark):
+    """Files may be shuffled, to meet their first numbers; lines and records are not."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["processing_order"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" in plan and "Exchange" not in plan[: plan.index("Generate")]
+
+
 def test_columns_and_filters_reach_the_scan(spark):
     plan = plan_of(QUERIES["version_history"](spark, SF_DIR))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan

@@ -6,10 +6,10 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from strataset import plans
 from tests.test_queries import SF_DIR, ordered
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = plans.queries(), plans.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -59,5 +59,5 @@ def test_hot_keys(spark, skewed, name):
 
 
 def test_hot_package_has_several_parts(spark, skewed):
-    parts = QUERIES["dependency_json"](spark, skewed[0]).filter("pkg_id = 7").collect()
-    assert len(parts) >= 2 and max(r.entries for r in parts) == 1000
+    rows = QUERIES["dependency_json"](spark, skewed[0]).filter("pkg_id = 7").count()
+    assert rows > 1000

@@ -1,4 +1,6 @@
+import decimal
 import json
+import os
 import pathlib
 
 import pyarrow as pa
@@ -7,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataset import session
-from strataset.operators import maintenance, report, semantic
-from strataset.schemas import RAW_TERM, SEMANTIC_RECORD
+from strataset.operators import maintenance, report, semantic, terms as term_ops, validate
+from strataset.schemas import IR_RECORD, RAW_TERM, SEMANTIC_RECORD
 from strataset.sinks import writers
 from strataset.sources import files as readers
 from strataset.streaming.batches import stream_phase_batches
@@ -48,9 +50,18 @@ def test_term_documents(spark, tmp_path):
     put(tmp_path / "terms" / "é" / "t1.json", json.dumps(full, indent=2))
     put(tmp_path / "terms" / "+" / "t2.json", json.dumps({**full, "semantic_names": ["n"]}))
     put(tmp_path / "terms" / "a" / "bad.json", "{oops")
+    put(tmp_path / "terms" / "a" / "wide.json", json.dumps({**full, "prime_factor": 2**64 - 1, "count": 2**63}))
     put(tmp_path / "terms" / "a" / "part.json", json.dumps({"term": "x"}))
     found = {r.id: r for r in readers.scan_term_json(spark, str(tmp_path)).collect()}
-    assert set(found) == {"t1", "t2"}
+    assert {i: r.problem for i, r in found.items()} == {
+        "t1": None, "t2": None, "bad": "not a term document", "wide": None,
+        "part": "without count, category, significance, vibe, action_suggestion",
+    }
+    assert found["wide"].prime_factor == -1 and found["wide"]["count"] == -(1 << 63)
+    usable = term_ops.term_records(readers.scan_term_json(spark, str(tmp_path)))
+    assert {r.id for r in usable.collect()} == {"t1", "t2", "wide"}
+    totals = term_ops.group_stats(readers.scan_term_json(spark, str(tmp_path)))
+    assert totals.filter("character_group IS NULL").first().terms == 5
     assert found["t1"].character_group == "é" and found["t1"].semantic_names is None
     assert found["t2"].character_group == "+" and found["t2"].semantic_names == ["n"]
     assert set(RAW_TERM.names) < set(found["t1"].asDict())
@@ -68,6 +79,71 @@ def test_split_dataset(spark, tmp_path):
     assert counts == {"train": 2, "data.parquet": 1}
 
 
+def test_unsigned_numbers_wrap_and_decimals_stay(spark, tmp_path):
+    table = pa.table({
+        "u": pa.array([2**64 - 1, 2**63, 5, None], pa.uint64()),
+        "d": pa.array([decimal.Decimal(10**19), None, decimal.Decimal(1), decimal.Decimal(-1)], pa.decimal128(20, 0)),
+    })
+    pq.write_table(table, tmp_path / "train-0.parquet")
+    df = readers.scan_split_dataset(spark, str(tmp_path))
+    assert dict(df.dtypes)["u"] == "bigint" and dict(df.dtypes)["d"] == "decimal(20,0)"
+    assert [r.u for r in df.collect()] == [-1, -(1 << 63), 5, None]
+    assert df.first().d == 10**19
+    (tmp_path / "flat" / "parsing-O1-phase").mkdir(parents=True)
+    pq.write_table(table, tmp_path / "flat" / "parsing-O1-phase" / "x.parquet")
+    assert readers.load_phase(spark, str(tmp_path / "flat"), "parsing", "O1", flat=True).first().u == -1
+
+
+def test_footers_of_the_flat_layout(spark, tmp_path):
+    for folder, n in (("parsing-phase", 3), ("ir_generation-O2-phase", 2), ("other", 1)):
+        (tmp_path / folder).mkdir()
+        pq.write_table(pa.table({"a": list(range(n))}), tmp_path / folder / "data.parquet")
+    found = readers.read_footer_stats(spark, str(tmp_path), flat=True).collect()
+    assert {(r.phase, r.optimization_level, r.num_rows) for r in found} == {
+        ("parsing", None, 3), ("ir_generation", "O2", 2),
+    }
+    expected = spark.createDataFrame([("parsing",), ("typing",)], "phase string")
+    state = validate.phase_completeness(expected, readers.read_footer_stats(spark, str(tmp_path), ["phase"], flat=True))
+    assert {r.phase: (r.found, r.num_rows) for r in state.collect()} == {"parsing": (True, 3), "typing": (False, 0)}
+
+
+def test_files_without_columns_are_compared_too(spark):
+    info = spark.createDataFrame(
+        [("a", 1, [("x", "int64")]), ("b", 0, []), ("c", 2, [("x", "int64"), ("y", "string")])],
+        "file_name string, num_columns int, fields array<struct<name string, type string>>",
+    )
+    found = {r.file_name: (r.matching, r.consistent) for r in report.schema_consistency(info).collect()}
+    assert found == {"a": (1, True), "b": (0, False), "c": (1, False)}
+    empty = report.schema_consistency(info.withColumn("file_name", F.translate("file_name", "abc", "bac")))
+    assert {r.file_name: (r.matching, r.consistent) for r in empty.collect()} == {
+        "a": (0, True), "b": (0, False), "c": (0, False),
+    }
+
+
+def test_sample_has_the_first_rows_of_the_first_file(spark, tmp_path):
+    table = pa.table({"m": [[("k", 1)]] * 9, "a.b": list(range(9, 0, -1)), "l": [[1]] * 9, "n": [None] * 9},
+                     schema=pa.schema([("m", pa.map_(pa.string(), pa.int64())), ("a.b", pa.int64()), ("l", pa.list_(pa.int64())), ("n", pa.string())]))
+    pq.write_table(table, tmp_path / "b.parquet")
+    pq.write_table(table, tmp_path / "a.parquet", row_group_size=2)
+    rows = sorted(report.first_file_sample(spark, str(tmp_path)).collect(), key=lambda r: r.row)
+    assert [r.record["a.b"] for r in rows] == ["9", "8", "7", "6", "5"]
+
+
+def test_phase_json_is_reported(spark, tmp_path):
+    data = records(spark, 3)
+    good = [json.loads(t) for t in data.filter("phase = 'parsing'").toJSON().collect()]
+    put(tmp_path / "parsing-phase" / "data.json", json.dumps(good))
+    put(tmp_path / "hover-phase" / "data.json", "[{oops")
+    found = validate.phase_files_check(spark, str(tmp_path), ["parsing", "hover", "typing"], flat=True).collect()
+    assert {r.phase: (r.state, r.records > 0) for r in found} == {
+        "parsing": ("valid", True), "hover": ("invalid", True), "typing": ("missing", False),
+    }
+    out = str(tmp_path / "lines")
+    writers.write_grouped_json(data, "phase", out)
+    assert validate.phase_files_check(spark, out, ["parsing"]).first().state == "valid"
+    assert validate.phase_files_check(spark, str(tmp_path / "none"), ["parsing"]).first().state == "missing"
+
+
 @pytest.fixture
 def dataset(tmp_path):
     good = pa.table({"id": pa.array([1, 2]), "text": ["a", "b"]})
@@ -178,6 +254,29 @@ def test_json_writers(spark, tmp_path):
     writers.write_report_json(rows.filter("i = 1"), str(tmp_path / "report"))
     (document,) = [f.read_text() for f in (tmp_path / "report").glob("part-*") if f.stat().st_size]
     assert json.loads(document) == {"i": 1, "s": None}
+    writers.write_report_json(spark.range(5), str(tmp_path / "many"))
+    text = "".join(f.read_text() for f in (tmp_path / "many").glob("part-*"))
+    assert text.count('"id"') == 5
+
+
+def test_files_of_a_phase_stay_below_the_limit(spark, tmp_path):
+    out = str(tmp_path / "phases")
+    data = records(spark, 2000)
+    writers.write_phase_parquet(data, out, max_mb=0.05)
+    sizes = [f.stat().st_size for f in (tmp_path / "phases").rglob("*.parquet")]
+    assert len(sizes) > 3 and max(sizes) < 0.05 * 1024 * 1024
+    assert spark.read.parquet(out).count() == data.count()
+
+
+def test_project_and_ir_files_are_few(spark, tmp_path):
+    ir = spark.range(0, 400, 1, 16).select(*[
+        (F.concat(F.lit("O"), F.col("id") % 4) if f.name == "optimization_level"
+         else F.lit("ir_generation") if f.name == "phase" else F.col("id").cast("string")).cast(f.dataType).alias(f.name)
+        for f in IR_RECORD.fields
+    ])
+    writers.write_ir_parquet(ir, str(tmp_path / "ir"))
+    assert len(list((tmp_path / "ir").rglob("*.parquet"))) <= 8
+    assert spark.read.parquet(str(tmp_path / "ir")).count() == 400
 
 
 def test_stream_takes_bounded_batches(spark, tmp_path):
@@ -220,6 +319,29 @@ def test_dedup_keeps_the_first(spark):
     assert sorted(r.i for r in kept) == [1, 2, 4, 6]
 
 
+def test_dedup_tells_microseconds_and_other_types_apart(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, TIMESTAMP_NTZ'2024-01-01 00:00:00.000001', X'00', map('a', 1), 0.1D),"
+        " (2, TIMESTAMP_NTZ'2024-01-01 00:00:00.000002', X'00', map('a', 1), 0.1D),"
+        " (3, TIMESTAMP_NTZ'2024-01-01 00:00:00.000002', X'01', map('a', 1), 0.1D),"
+        " (4, TIMESTAMP_NTZ'2024-01-01 00:00:00.000002', X'01', map('a', 2), 0.1D),"
+        " (5, TIMESTAMP_NTZ'2024-01-01 00:00:00.000002', X'01', map('a', 2), 0.1D) AS t(i, `t.s`, b, m, d)"
+    )
+    kept = maintenance.dedup_records(df, ["t.s", "b", "m", "d"], ["i"]).collect()
+    assert sorted(r.i for r in kept) == [1, 2, 3, 4]
+    stamps = df.select("i", F.col("`t.s`").cast("timestamp").alias("t"))
+    assert maintenance.dedup_records(stamps, ["t"], ["i"]).count() == 2
+
+
+def test_jobs_leave_nothing_behind(spark, tmp_path):
+    put(tmp_path / "src" / "b.rs", "fn f() {}\n")
+    before = set(os.listdir(session.shared_dir(spark)))
+    with session.scratch(spark):
+        session.hold(spark.range(3), "x")
+        assert len(os.listdir(session.shared_dir(spark))) == len(before) + 1
+    assert set(os.listdir(session.shared_dir(spark))) == before
+
+
 def test_completeness(spark):
     files = spark.createDataFrame([("a",), ("b",)], "file_path string")
     done = spark.createDataFrame([("a", "p"), ("a", "p"), ("b", "q")], "file_path string, phase string")

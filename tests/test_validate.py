@@ -1,34 +1,46 @@
 import pytest
+from pyspark.sql import functions as F
 
 from strataset.operators import validate
 from strataset.schemas import CAPABILITIES
 
-DATASETS = ("user/repo", "org/dataset", "mock/dataset")
-CONFIGS = ("default", "extra")
-SPLITS = ("train", "test", "validation")
 ENTITY = "dataset string, config string, split string"
 FLAGS = ", ".join(f"{c} boolean" for c in CAPABILITIES)
 
+# Splits per config, uneven on purpose; the last config has none.
+LIBRARY = {
+    "weather": {"hourly": ["y2019", "y2020", "y2021"], "daily": ["all"]},
+    "birds": {"songs": ["near", "far"], "maps": []},
+}
+NO_PREVIEW = {("weather", "daily", "all")}
+NO_STATISTICS = {("weather", "hourly", "y2020"), ("birds", "songs", "far")}
+TEXTLESS = {("birds", "maps"), ("weather", "daily")}  # configs without a column to search
+FAILED = {("weather", "hourly", "y2021")}  # cached with another status than 200
+NOT_CACHED = {("birds", "songs", "far")}
+
 
 @pytest.fixture(scope="module")
 def catalog(spark):
-    """Three datasets alike; only validation splits have no statistics."""
     entities, responses, features, cached = [], [], [], []
-    for d in DATASETS:
-        entities.append((d, None, None))
-        for c in CONFIGS:
-            entities.append((d, c, None))
-            features += [(d, c, "text", "string"), (d, c, "label", "int64")]
-            cached.append(("config-is-valid", d, c, None, 200, True, True, True, True, True))
-            for s in SPLITS:
-                stats = s != "validation"
-                entities.append((d, c, s))
-                # The viewer response stands under the split key, where nobody looks for it.
-                responses += [
-                    ("config-has-viewer", d, c, s, True), ("split-has-preview", d, c, s, True),
-                    ("split-has-statistics", d, c, s, stats),
-                ]
-                cached.append(("split-is-valid", d, c, s, 200, True, True, True, True, stats))
+    for dataset, configs in LIBRARY.items():
+        entities.append((dataset, None, None))
+        for config, splits in configs.items():
+            entities.append((dataset, config, None))
+            text = (dataset, config) not in TEXTLESS
+            features.append((dataset, config, "height", "float"))
+            if text:
+                features.append((dataset, config, "note", "large_string"))
+            responses.append(("config-has-viewer", dataset, config, None, dataset == "weather"))
+            cached.append(("config-is-valid", dataset, config, None, 200, True, False, text, True, False))
+            for split in splits:
+                key = (dataset, config, split)
+                entities.append(key)
+                if key not in NO_PREVIEW:
+                    responses.append(("split-has-preview", *key, True))
+                responses.append(("split-has-statistics", *key, key not in NO_STATISTICS))
+                if key not in NOT_CACHED:
+                    status = 404 if key in FAILED else 200
+                    cached.append(("split-is-valid", *key, status, True, True, text, True, key not in NO_STATISTICS))
     return (
         spark.createDataFrame(entities, ENTITY),
         spark.createDataFrame(responses, f"kind string, {ENTITY}, ok boolean"),
@@ -37,33 +49,49 @@ def catalog(spark):
     )
 
 
+def answers(spark, catalog, *requests):
+    asked = spark.createDataFrame(list(requests), ENTITY)
+    rows = validate.capability_count(validate.validate_batch(asked, *catalog)).collect()
+    return {(r.dataset, r.config, r.split): r for r in rows}
+
+
 def test_batch_over_the_catalog(spark, catalog):
-    requests = spark.createDataFrame(
-        [("mock/dataset", "default", "train"), ("mock/dataset", "default", "test"),
-         ("mock/dataset", "default", None), ("mock/dataset", None, None)], ENTITY,
+    got = answers(
+        spark, catalog, ("weather", "hourly", "y2020"), ("weather", "daily", "all"), ("weather", "hourly", None),
+        ("birds", "songs", None), ("birds", "maps", None), ("birds", None, None),
     )
-    results = validate.validate_batch(requests, *catalog)
-    counted = {
-        (r.level, r.split): (r.capability_count, r.progress, r.success)
-        for r in validate.capability_count(results).collect()
-    }
-    assert counted == {
-        ("split", "train"): (4, 1.0, True), ("split", "test"): (4, 1.0, True),
-        ("config", None): (5, 1.0, True), ("dataset", None): (5, 1.0, True),
-    }
-    assert tuple(validate.batch_totals(results).first()) == (4, 4, 18)
+    assert all(r.success for r in got.values()) and len(got) == 6
+    assert got["weather", "hourly", "y2020"].capability_count == 4  # all but statistics
+    daily = got["weather", "daily", "all"]
+    assert (daily.viewer, daily.preview, daily.search, daily.filter, daily.statistics) == (True, False, False, True, True)
+    # Two splits of three merge; the third is cached as failed, so nothing is pending.
+    hourly = got["weather", "hourly", None]
+    assert (hourly.progress, hourly.capability_count) == (1.0, 5)
+    songs = got["birds", "songs", None]
+    assert (songs.progress, songs.statistics) == (0.5, True)
+    assert (got["birds", "maps", None].progress, got["birds", "maps", None].capability_count) == (1.0, 0)
+    assert got["birds", None, None].capability_count == 3
+
+
+def test_repeated_requests_and_totals(spark, catalog):
+    asked = spark.createDataFrame([("weather", "hourly", "y2019")] * 2 + [("weather", None, None)], ENTITY)
+    results = validate.validate_batch(asked, *catalog)
+    assert tuple(validate.batch_totals(results).first()) == (3, 3, 13)
+
+
+def test_batch_needs_few_shuffles(spark, catalog):
+    asked = spark.createDataFrame([("weather", "hourly", "y2019"), ("birds", None, None)], ENTITY)
+    plan = validate.validate_batch(asked, *catalog)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 12
 
 
 def test_unknown_entities(spark, catalog):
-    requests = spark.createDataFrame(
-        [("no", None, None), ("mock/dataset", "no", None), ("no", "no", "no")], ENTITY
-    )
-    found = {
-        r.level: (r.success, r.progress)
-        for r in validate.validate_batch(requests, *catalog).collect()
-    }
+    got = answers(spark, catalog, ("rocks", None, None), ("birds", "eggs", None), ("rocks", "red", "big"))
     # A split is judged by its responses alone, so an unknown one succeeds with nothing.
-    assert found == {"dataset": (False, None), "config": (False, None), "split": (True, 1.0)}
+    assert {k: (r.success, r.progress, r.capability_count) for k, r in got.items()} == {
+        ("rocks", None, None): (False, None, 0), ("birds", "eggs", None): (False, None, 0),
+        ("rocks", "red", "big"): (True, 1.0, 0),
+    }
 
 
 def test_progress(spark, catalog):
@@ -168,3 +196,15 @@ def test_phase_completeness(spark):
     rows = {r.phase: r for r in validate.phase_completeness(expected, found).collect()}
     assert (rows["a"].files, rows["a"].num_rows, rows["a"].estimated_rows) == (2, 15, 1500)
     assert not rows["b"].found and rows["b"].files == 0 and set(rows) == {"a", "b"}
+
+
+def test_phases_that_were_not_expected_are_rows(spark):
+    records = spark.createDataFrame([("a", "f"), ("x", "f"), ("x", "g")], "phase string, file_path string")
+    found = {r.phase: (r.records, r.files, r.empty, r.expected) for r in validate.phase_dataset_check(records, ["a", "b"]).collect()}
+    assert found == {"a": (1, 1, False, True), "b": (0, 0, True, True), "x": (2, 2, False, False)}
+
+
+def test_sample_takes_any_name_and_type(spark):
+    df = spark.sql("SELECT map('k', 1) AS m, 'v' AS `a.b`, array(1) AS `q``t`, CAST(NULL AS STRUCT<x:INT>) AS s")
+    (row,) = validate.sample_records(df, F.lit(0), 5, "row").collect()
+    assert row.record == {"m": "[map<string,int>]", "a.b": "v", "q`t": "[list]", "s": "null"} and row.row == 0
