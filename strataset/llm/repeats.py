@@ -34,9 +34,12 @@ _BLOCK = 1 << 18  # windows hashed at once
 _LONGEST_RUN = 64
 _DIGITS = 8 << 20  # text bytes per bucket of first digits: about 4 MB of digits
 _RUNS = 4 << 20  # text bytes per bucket of runs
-_HOT = 256  # parts that share a digit beyond which its windows are spread
+_HOT = 1024  # parts that share a digit beyond which its windows are spread
+_DIGIT_BYTES = 5  # of a digit inside its bucket; of half a million there, one in 10^6 matches by chance
 _LAST = (1 << 63) - 1  # stands for a null id: no id is smaller than another because of it
 
+_DIGIT_BITS = np.uint64(8 * _DIGIT_BYTES)
+_DIGIT = np.uint64((1 << 8 * _DIGIT_BYTES) - 1)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -78,7 +81,7 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
 class Part:
     """The texts of one part, end to end, and their runs of windows with one first digit."""
 
-    def __init__(self, table: pa.Table, depth: int) -> None:
+    def __init__(self, table: pa.Table, depth: int, buckets: int) -> None:
         self.depth = depth
         self.ids = np.array([_LAST if i is None else i for i in table.column("__id").to_pylist()], np.int64)
         texts = [(t or "").encode() for t in table.column("__text").to_pylist()]
@@ -113,7 +116,9 @@ class Part:
                 length = np.minimum(rest, _LONGEST_RUN)
             at.append(start + a)
             size.append(length)
-            digit.append(_mixed(low[start] * _M1) & ~np.uint64(1))
+            whole_digit = _mixed(low[start] * _M1)
+            bucket = (whole_digit >> _DIGIT_BITS) % np.uint64(buckets)
+            digit.append((bucket << _DIGIT_BITS | whole_digit & _DIGIT) & ~np.uint64(1))
         empty = np.zeros(0, np.int64)
         self.at, self.size = (np.concatenate(x) if x else empty for x in (at, size))
         self.digit = np.concatenate(digit) if digit else np.zeros(0, np.uint64)
@@ -137,13 +142,21 @@ def _pack(values: np.ndarray | bytes) -> bytes:
     return zstandard.compress(values if isinstance(values, bytes) else values.tobytes(), 1)
 
 
-def _bucket(digit: np.ndarray, buckets: int) -> np.ndarray:
-    return ((digit >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+def _pack_digits(digits: np.ndarray) -> bytes:
+    """Digits byte by byte, the lowest bytes of all first: sorted ones then compress to half."""
+    return _pack(np.ascontiguousarray(digits.view(np.uint8).reshape(-1, 8)[:, :_DIGIT_BYTES].T))
 
 
-def _by_bucket(digit: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(bucket, indexes of its digits)."""
-    own = _bucket(digit, buckets)
+def _unpack_digits(packed: bytes, bucket: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(_DIGIT_BYTES, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :_DIGIT_BYTES] = planes.T
+    return out.view(np.uint64).reshape(-1) | np.uint64(bucket) << _DIGIT_BITS
+
+
+def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, indexes of its items)."""
+    own = bucket.astype(np.int64)
     order = np.argsort(own, kind="stable")
     cut = np.flatnonzero(np.diff(own[order])) + 1
     for group in np.split(order, cut):
@@ -153,7 +166,8 @@ def _by_bucket(digit: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarra
 
 def _shared(table: pa.Table) -> pa.Table:
     """Which digits of a bucket several documents have; the last bit is set if very many parts do."""
-    parts = [np.frombuffer(x, np.uint64) for x in table.column("digits").to_pylist()]
+    bucket = table.column("bucket")[0].as_py()
+    parts = [_unpack_digits(x, bucket) for x in table.column("digits").to_pylist()]
     marked = np.concatenate(parts)
     value = marked & ~np.uint64(1)
     order = np.argsort(value, kind="stable")
@@ -171,8 +185,11 @@ def _shared(table: pa.Table) -> pa.Table:
         hit = known[at] == digits if len(known) else np.zeros(len(digits), bool)
         if hit.any():
             chunks.append(chunk)
-            found.append((known[at] | hot[at])[hit].tobytes())
-    return pa.table([pa.array(chunks, pa.int64()), pa.array(found, pa.binary())], names=["chunk", "found"])
+            found.append(_pack_digits((known[at] | hot[at])[hit]))
+    return pa.table(
+        [pa.array(chunks, pa.int64()), pa.array([bucket] * len(chunks), pa.int64()), pa.array(found, pa.binary())],
+        names=["chunk", "bucket", "found"],
+    )
 
 
 def _send(part: Part, found: np.ndarray, buckets: int, chunk: int) -> pa.Table:
@@ -210,7 +227,7 @@ def _send(part: Part, found: np.ndarray, buckets: int, chunk: int) -> pa.Table:
     by_entry = np.argsort(entry, kind="stable")
     begin = np.searchsorted(entry[by_entry], np.arange(len(words) + 1))
     rows: list[tuple] = []
-    for bucket, own in _by_bucket(digit, buckets):
+    for bucket, own in _by_bucket((_mixed(digit * _M1) >> np.uint64(8)) % np.uint64(buckets)):
         places = np.concatenate([by_entry[begin[e] : begin[e + 1]] for e in own.tolist()])
         times = begin[own + 1] - begin[own]
         text = [words[e] for e in own.tolist()]
@@ -264,19 +281,27 @@ def _sort_bucket(table: pa.Table, depth: int) -> pa.Table:
     get = lambda name, kind: [np.frombuffer(zstandard.decompress(x), kind) for x in table.column(name).to_pylist()]
     sizes, ids, times = get("sizes", np.int32), get("ids", np.int64), get("times", np.int32)
     rows, row_ids, starts = get("rows", np.int32), get("row_ids", np.int64), get("starts", np.int64)
-    raw = np.concatenate(get("runs", np.uint8))
-    size = np.concatenate(sizes).astype(np.int64)
+    # Equal runs of several parts are sorted once, under the smallest of their documents.
+    distinct: dict[bytes, int] = {}
+    of: list[int] = []
+    for text, length in zip(get("runs", np.uint8), sizes):
+        text, stops = text.tobytes(), np.cumsum(length).tolist()
+        of += [distinct.setdefault(text[a:b], len(distinct)) for a, b in zip([0, *stops], stops)]
+    of = np.array(of, np.int64)
+    raw = np.frombuffer(b"".join(distinct), np.uint8)
+    size = np.fromiter(map(len, distinct), np.int64, len(distinct))
+    id_of = np.full(len(distinct), _LAST)
+    np.minimum.at(id_of, of, np.concatenate(ids))
     each = size - depth + 1
     begin = np.cumsum(size) - size
     window = np.cumsum(each) - each
     inner = np.arange(each.sum()) - np.repeat(window, each)
     at = np.repeat(begin, each) + inner
-    id_of = np.concatenate(ids)
     again = repeated_windows(raw, at, np.repeat(id_of, each), depth)
     out: list[tuple] = []
     entry = 0
     for chunk, s, t, r, ri, st in zip(table.column("chunk").to_pylist(), sizes, times, rows, row_ids, starts):
-        own = np.repeat(np.arange(entry, entry + len(s)), t)
+        own = np.repeat(of[entry : entry + len(s)], t)
         entry += len(s)
         later = ri > id_of[own]
         a, b, doc = [st[later]], [st[later] + size[own[later]]], [r[later]]
@@ -338,19 +363,19 @@ def remove_repeats(
     grouped = keyed.groupBy("__chunk")
 
     def first_digits(table: pa.Table) -> pa.Table:
-        digits = Part(_ordered(table), depth).digits()
+        digits = Part(_ordered(table), depth, digit_buckets).digits()
         chunk = table.column("__chunk")[0].as_py()
-        rows = [(bucket, chunk, digits[own].tobytes()) for bucket, own in _by_bucket(digits, digit_buckets)]
+        rows = [(bucket, chunk, _pack_digits(digits[own])) for bucket, own in _by_bucket(digits >> _DIGIT_BITS)]
         return pa.table(
             [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 3, [pa.int64(), pa.int64(), pa.binary()])],
             names=["bucket", "chunk", "digits"],
         )
 
     def runs(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = [np.frombuffer(x, np.uint64) for x in right.column("found").to_pylist()]
+        found = [_unpack_digits(x, b) for x, b in zip(right.column("found").to_pylist(), right.column("bucket").to_pylist())]
         if not found or not left.num_rows:
             return pa.table([pa.array([], pa.int64())] * 2 + [pa.array([], pa.binary())] * 7, names=_SENT)
-        return _send(Part(_ordered(left), depth), np.concatenate(found), run_buckets, left.column("__chunk")[0].as_py())
+        return _send(Part(_ordered(left), depth, digit_buckets), np.concatenate(found), run_buckets, left.column("__chunk")[0].as_py())
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         left = _ordered(left)
@@ -387,7 +412,7 @@ def remove_repeats(
         [keyed.schema["__doc"], T.StructField("kept", T.StringType() if as_text else T.BinaryType())] + [T.StructField(c, T.LongType()) for c in made[1:]]
     )
     digits = grouped.applyInArrow(first_digits, "bucket long, chunk long, digits binary")
-    shared = digits.groupBy("bucket").applyInArrow(_shared, "chunk long, found binary")
+    shared = digits.groupBy("bucket").applyInArrow(_shared, "chunk long, bucket long, found binary")
     sent = grouped.cogroup(shared.groupBy("chunk")).applyInArrow(
         runs, ", ".join(f"{c} {'long' if k < 2 else 'binary'}" for k, c in enumerate(_SENT))
     )
