@@ -60,12 +60,12 @@ def explode_lines(spark, sf_dir):
 
 
 @query("line_context", f"""
-    WITH {views.DOC_LINES}
+    WITH {views.CORPUS_LINES}
     SELECT file_path, line_no,
            lag(line) OVER w AS context_before, lead(line) OVER w AS context_after
-    FROM doc_lines WINDOW w AS (PARTITION BY file_path ORDER BY line_no)""")
+    FROM corpus_lines WINDOW w AS (PARTITION BY file_path ORDER BY line_no)""")
 def line_context(spark, sf_dir):
-    lines = semantic.explode_lines(views.doc_files(spark, sf_dir))
+    lines = semantic.explode_lines(views.corpus_files(spark, sf_dir))
     return semantic.line_context(lines).select(
         "file_path", "line_no", "context_before", "context_after"
     )
@@ -99,23 +99,23 @@ def classify(spark, sf_dir):
 
 
 @query("element_name", f"""
-    WITH {views.CODE_LINES}
-    SELECT file_path, line_no, {_ELEMENT_NAME} AS element_name FROM code_lines""")
+    WITH {views.CORPUS_LINES}
+    SELECT file_path, line_no, {_ELEMENT_NAME} AS element_name FROM corpus_lines""")
 def names(spark, sf_dir):
-    return views.code_lines(spark, sf_dir).select(
+    return views.corpus_lines(spark, sf_dir).select(
         "file_path", "line_no", element_name(F.col("line")).alias("element_name")
     )
 
 
 @query("name_resolution_records", f"""
-    WITH {views.CODE_LINES}
+    WITH {views.CORPUS_LINES}
     SELECT concat(file_path, ':', line_no, ':name_resolution') AS id, file_path, line_no AS line,
            {_KIND} AS element_type, {_ELEMENT_NAME} AS element_name,
            {_TRIM.format(x='line')} AS element_signature, {_KIND} AS symbol_kind,
            'public' AS visibility, line AS source_snippet, CAST(NULL AS VARCHAR) AS context_before
-    FROM code_lines WHERE {_IN_NAMES}""")
+    FROM corpus_lines WHERE {_IN_NAMES}""")
 def name_resolution_records(spark, sf_dir):
-    found = semantic.name_resolution_records(views.code_lines(spark, sf_dir, context=True))
+    found = semantic.name_resolution_records(views.corpus_lines(spark, sf_dir, context=True))
     return found.select(
         "id", "file_path", "line", "element_type", "element_name", "element_signature",
         F.get_json_object("symbol_data", "$.symbol_kind").alias("symbol_kind"),
@@ -125,13 +125,13 @@ def name_resolution_records(spark, sf_dir):
 
 
 @query("type_inference_records", f"""
-    WITH {views.CODE_LINES}
+    WITH {views.CORPUS_LINES}
     SELECT concat(file_path, ':', line_no, ':type_inference') AS id, file_path, line_no AS line,
            'variable_or_return' AS element_type, {_VARIABLE} AS element_name,
            {_TYPE} AS inferred_type, CAST(0.95 AS DOUBLE) AS confidence, line AS source_snippet
-    FROM code_lines WHERE {_IN_TYPES}""")
+    FROM corpus_lines WHERE {_IN_TYPES}""")
 def type_inference_records(spark, sf_dir):
-    found = semantic.type_inference_records(views.code_lines(spark, sf_dir))
+    found = semantic.type_inference_records(views.corpus_lines(spark, sf_dir))
     return found.select(
         "id", "file_path", "line", "element_type", "element_name",
         F.get_json_object("type_data", "$.inferred_type").alias("inferred_type"),
@@ -141,20 +141,20 @@ def type_inference_records(spark, sf_dir):
 
 
 @query("variable_name", f"""
-    WITH {views.CODE_LINES}
-    SELECT file_path, line_no, {_VARIABLE} AS variable_name FROM code_lines""")
+    WITH {views.CORPUS_LINES}
+    SELECT file_path, line_no, {_VARIABLE} AS variable_name FROM corpus_lines""")
 def variables(spark, sf_dir):
-    return views.code_lines(spark, sf_dir).select(
+    return views.corpus_lines(spark, sf_dir).select(
         "file_path", "line_no", variable_name(F.col("line")).alias("variable_name")
     )
 
 
 @query("inferred_type", f"""
-    WITH {views.CODE_LINES}
-    SELECT {_TYPE} AS inferred_type, count(*) AS lines FROM code_lines GROUP BY 1""")
+    WITH {views.CORPUS_LINES}
+    SELECT {_TYPE} AS inferred_type, count(*) AS lines FROM corpus_lines GROUP BY 1""")
 def types(spark, sf_dir):
     return (
-        views.code_lines(spark, sf_dir)
+        views.corpus_lines(spark, sf_dir)
         .groupBy(inferred_type(F.col("line")).alias("inferred_type"))
         .agg(F.count(F.lit(1)).alias("lines"))
     )

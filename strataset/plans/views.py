@@ -226,6 +226,7 @@ def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content): the larger parts have a build script, so that projects differ in it."""
     return table(spark, sf_dir, "part").filter("p_size > 20").selectExpr(
         f"concat({_CRATE}, '/build.rs') AS path", f"{_SCRIPT} AS content"
     )
@@ -243,6 +244,7 @@ def decl_deps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resolve_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolved dependencies: small line items are declared and not resolved, so that both occur."""
     return table(spark, sf_dir, "lineitem").filter("l_quantity > 10").selectExpr(*_EDGE_FIELDS)
 
 
