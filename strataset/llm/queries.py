@@ -30,6 +30,25 @@ def op3_simhash_near_dedup(spark, sf_dir):
     )
 
 
+ORACLES["op5_embedding_near_dedup"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding::DOUBLE[], lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM vectors
+  UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, coalesce(r.root, e.vec_id) AS component_id,
+       e.vec_id = coalesce(r.root, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN counts c ON e.vec_id = c.a LEFT JOIN roots r ON e.vec_id = r.node
+""".strip()
+
+
 @query
 def op5_embedding_near_dedup(spark, sf_dir):
     from strataset.llm.embeddings import near_duplicates

@@ -1,7 +1,8 @@
+import duckdb
 import numpy as np
 import pytest
 
-from strataset.llm import embeddings
+from strataset.llm import embeddings, queries
 from tests.llm.brute import closure
 
 SCHEMA = "vec_id long, embedding array<float>, id long, vec string, rep int"
@@ -78,6 +79,14 @@ def test_recall_on_the_table(spark):
     assert {r.id: r.component for r in got} == comp
 
 
+def test_query_equals_sql(spark):
+    path = "/root/testdata/sf0.01/embeddings.parquet"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}'")
+    want = sorted(con.execute(queries.ORACLES["op5_embedding_near_dedup"]).fetchall())
+    assert sorted(map(tuple, queries.QUERIES["op5_embedding_near_dedup"](spark, "/root/testdata/sf0.01").collect())) == want
+
+
 def test_empty_table(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
