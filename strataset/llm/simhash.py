@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -32,17 +32,10 @@ def _segments(raw: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
-def fingerprint(text: str | None, words: int = 4) -> int:
-    """The 64-bit SimHash of a text; 0 without words."""
+def hashes(text: str | None, words: int) -> Iterator[np.ndarray]:
+    """The hashes of all shingles of a text; fewer words are one shingle, no words none."""
     digest = xxhash.xxh64_intdigest
-    counts, n, rest = np.zeros(64, np.int64), 0, []
-
-    def add(found: list[int]) -> None:
-        h = np.array(found, np.uint64)
-        counts[:] += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(
-            0, dtype=np.int64
-        )
-
+    n, rest = 0, []
     for part in _segments((text or "").encode("utf-8", "surrogatepass")):
         part = rest + part
         if len(part) >= words:
@@ -50,16 +43,23 @@ def fingerprint(text: str | None, words: int = 4) -> int:
             ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
             starts = [0, *ends[:-1].tolist()]
             stops = (ends - 1)[words - 1 :].tolist()
-            add([digest(joined[a:b], HASH_SEED) for a, b in zip(starts, stops)])
+            yield np.array([digest(joined[a:b], HASH_SEED) for a, b in zip(starts, stops)], np.uint64)
             n += len(stops)
             rest = part[len(part) - words + 1 :] if words > 1 else []
         else:
             rest = part
+    if n == 0 and rest:
+        yield np.array([digest(b" ".join(rest), HASH_SEED)], np.uint64)
+
+
+def fingerprint(text: str | None, words: int = 4) -> int:
+    """The 64-bit SimHash of a text; 0 without words."""
+    counts, n = np.zeros(64, np.int64), 0
+    for h in hashes(text, words):
+        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        n += len(h)
     if n == 0:
-        if not rest:
-            return 0
-        add([digest(b" ".join(rest), HASH_SEED)])
-        n = 1
+        return 0
     bits = (2 * counts > n).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
@@ -225,9 +225,11 @@ def near_duplicates(
 
 
 def deduplicated(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4,
+    groups: Callable[[DataFrame, str, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """`docs` with one row of each component of `near_duplicates`, that of its smallest id.
+    """`docs` with one row of each component of `near_duplicates`, that of its smallest id; or of
+    those that `groups` finds, given rows and the names of their id and text.
 
     Rows without an id take part under a hash of their text, larger than usual ids, so they give way
     to rows with one. Rows of one id count as one document; the one of smallest hash stays.
@@ -238,7 +240,8 @@ def deduplicated(
         F.coalesce(F.col(id_col).cast("long"), stand_in).alias("key"), F.col(text_col).alias("text"),
         F.xxhash64(whole).alias("pick"), whole.alias("doc"),
     )
-    kept = near_duplicates(rows, "key", "text", words, radius).filter("id = component").select(F.col("id").alias("key"))
+    found = groups(rows, "key", "text") if groups else near_duplicates(rows, "key", "text", words, radius)
+    kept = found.filter("id = component").select(F.col("id").alias("key"))
     first = Window.partitionBy("key").orderBy("pick")
     return (
         rows.select("key", "pick", "doc").join(kept.distinct(), "key")
