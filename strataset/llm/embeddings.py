@@ -14,8 +14,9 @@ from strataset.llm.components import components
 from strataset.llm.streams import whole_runs
 from strataset.session import hold
 
-_ROWS = 20_000  # rows of several buckets that are taken from the stream together
-_BLOCK = 2048  # rows of a bucket compared in one task; larger buckets are cut into blocks
+_ROWS = 20_000  # rows of several cells that are taken from the stream together
+_BLOCK = 4096  # rows of a block, of which two meet in one task
+_NUMBERS = 1 << 21  # components of a block's vectors, so long vectors have smaller blocks
 _TILE = 512  # rows of a block compared at once
 
 
@@ -46,6 +47,16 @@ def estimate(
     return (turned @ signs.T) / factor, bound
 
 
+def least_product(factor: np.ndarray, threshold: float) -> np.ndarray:
+    """The least inner product of a row with a column's code if <row, column> >= `threshold`.
+
+    For certain: the angle between row and code is at most that between row and column plus that
+    between column and code, whose cosine is the column's factor.
+    """
+    widest = np.arccos(np.clip(factor, -1, 1)) + math.acos(max(-1.0, min(1.0, threshold)))
+    return np.cos(np.minimum(widest, math.pi)) - 1e-7
+
+
 def plan_tables(rows: int, threshold: float, recall: float, per_bucket: int) -> tuple[int, int]:
     """(bits of a key, tables): keys are as long as to leave about `per_bucket` unrelated rows in a
     bucket at any number of rows, tables as many as find a pair at the threshold with `recall`."""
@@ -88,31 +99,26 @@ def _joined(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarr
     return label
 
 
-def _compare(unit, keys, part, sizes, table: int, threshold: float, seed: int, confidence: float):
-    """Links inside one group of rows: weighted numbers of links per row, and joined labels.
+def _compare(unit, first: int, sizes, threshold: float, seed: int):
+    """Links inside one cell: weighted numbers of links per row, and joined labels.
 
-    `part` is -1 inside one block; where two blocks meet it is 0 or 1 and only pairs between them
-    are compared. A pair that shares a key in an earlier table was counted there.
+    Where two blocks meet, the first has `first` rows and only pairs between them are compared;
+    `first` is 0 inside one block.
     """
     n = len(unit)
     found, label = np.zeros(n, np.int64), np.arange(n)
-    both = part[0] >= 0
     turned, signs, factor = codes(unit, seed)
-    for i in range(0, n, _TILE):
-        for j in range(i, n, _TILE):
-            r, c = slice(i, i + _TILE), slice(j, j + _TILE)
-            guess, bound = estimate(turned[r], signs[c], factor[c], confidence)
-            maybe = guess + bound >= threshold
+    least = least_product(factor, threshold)
+    for i in range(0, first or n, _TILE):
+        for j in range(first or i, n, _TILE):
+            r, c = slice(i, min(i + _TILE, first or n)), slice(j, j + _TILE)
+            maybe = turned[r] @ signs[c].T >= least[c]
             if i == j:
                 maybe &= np.tri(*maybe.shape, -1, dtype=bool).T
-            if both:
-                maybe &= part[r][:, None] != part[c][None, :]
             a, b = np.nonzero(maybe)
             a, b = a + i, b + j
             if not len(a):
                 continue
-            earlier = (keys[a, :table] == keys[b, :table]).any(1)
-            a, b = a[~earlier], b[~earlier]
             # Recomputed as sums of products of the whole vectors, in double precision.
             exact = np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
             a, b = a[exact], b[exact]
@@ -127,19 +133,15 @@ def near_duplicates(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     threshold: float = 0.95,
-    recall: float = 0.99,
-    per_bucket: int = 16,
-    confidence: float = 4.0,
     seed: int = 7,
 ) -> DataFrame:
     """(id, n_links, component): a row per row of `vectors`.
 
-    Links are pairs of cosine >= `threshold`, each confirmed in double precision. Candidates share
-    a key in one of the hash tables (`plan_tables`), which find a pair at the threshold with
-    probability `recall`, closer pairs more surely; inside a bucket the estimate from rotated codes
-    plus its bound leaves out pairs that cannot reach the threshold. Equal vectors are one class of
-    the search and count as links of each other. A bucket above a block's size is cut into blocks
-    that meet two at a time in different tasks, so no task holds a whole hot bucket.
+    Links are pairs of cosine >= `threshold`, all of them, each confirmed in double precision. All
+    vectors of one length meet: they are cut into blocks that meet two at a time in different tasks.
+    The product of a rotated vector with the other's code leaves out pairs that cannot reach the
+    threshold for certain (`least_product`). Equal vectors are one class of the search and count as
+    links of each other. The work grows with the square of the number of classes.
 
     Vectors that are null, empty, zero or have null or non-finite components link with nothing;
     vectors of different lengths are never linked. Rows without an id keep a null component. A
@@ -163,35 +165,26 @@ def near_duplicates(
         .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("vec").alias("vec")),
         "vector-classes",
     )
-    bits, tables = plan_tables(classes.count(), threshold, recall, per_bucket)
-    packed = "rep long, size long, dim int, tab int, key long, vec binary"
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rep, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            flat = [np.array(x, np.float64) for x in batch.column(2).to_pylist()]
-            dims = np.array([len(x) for x in flat])
-            for dim in np.unique(dims):
-                at = np.flatnonzero(dims == dim)
-                raw = [flat[i].tobytes() for i in at]
-                keys = table_keys(_units(raw), bits, tables, seed)
-                for t in range(tables):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(rep[at]), pa.array(size[at]), pa.array(np.full(len(at), dim, np.int32)),
-                         pa.array(np.full(len(at), t, np.int32)), pa.array(keys[:, t]), pa.array(raw, pa.binary())],
-                        names=["rep", "size", "dim", "tab", "key", "vec"],
-                    )
-
-    keyed = classes.select("rep", "size", "vec").mapInArrow(assign, packed)
-    hot = keyed.groupBy("dim", "tab", "key").count().filter(F.col("count") > _BLOCK)
+            flat = [np.array(x, np.float64).tobytes() for x in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(flat, pa.binary())], names=["rep", "size", "dim", "vec"]
+            )
+
+    dims = classes.groupBy(F.size("vec").alias("dim")).count()
+    per = F.greatest(F.lit(1), F.least(F.lit(_BLOCK), F.floor(F.lit(_NUMBERS) / F.col("dim"))))
+    blocks = hold(dims.select("dim", F.ceil(F.col("count") / per).cast("int").alias("blocks")), "vector-blocks")
     cut = (
-        keyed.join(hot, ["dim", "tab", "key"], "left")
-        .withColumn("blocks", F.coalesce(F.ceil(F.col("count") / _BLOCK), F.lit(1)).cast("int"))
+        classes.select("rep", "size", F.size("vec").alias("dim"), "vec")
+        .mapInArrow(flatten, "rep long, size long, dim int, vec binary")
+        .join(blocks, "dim")
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("part", F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int")))
-        .withColumn("cell", F.xxhash64("dim", "tab", "key", F.least("own", "other"), F.greatest("own", "other")))
-        .select("rep", "size", "tab", "part", "cell", "vec")
+        .withColumn("cell", F.xxhash64("dim", F.least("own", "other"), F.greatest("own", "other")))
+        .select("rep", "size", "part", "cell", "vec")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,16 +192,16 @@ def near_duplicates(
             cells = table.column("cell").to_numpy()
             starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
             ends = np.r_[starts[1:], len(cells)]
-            rep, size, tab, part = (table.column(c).to_numpy() for c in ("rep", "size", "tab", "part"))
+            rep, size, part = (table.column(c).to_numpy() for c in ("rep", "size", "part"))
             vec = table.column("vec").to_pylist()
             out = []
             for a, b in zip(starts, ends):
                 if b - a < 2:
                     continue
-                unit = _units(vec[a:b])
-                t = int(tab[a])
-                keys = table_keys(unit, bits, t, seed) if t else np.empty((b - a, 0), np.int64)
-                found, label = _compare(unit, keys, part[a:b], size[a:b], t, threshold, seed, confidence)
+                first = int((part[a:b] == 0).sum())
+                if part[a] == 1 or first == b - a:  # the other block has no rows
+                    continue
+                found, label = _compare(_units(vec[a:b]), first, size[a:b], threshold, seed)
                 some = np.flatnonzero(found)
                 out.append((rep[a:b][some], found[some], rep[a:b][label[some]]))
             if out:
@@ -217,7 +210,8 @@ def near_duplicates(
                 )
 
     linked = hold(
-        cut.repartition("cell").sortWithinPartitions("cell", "rep").mapInArrow(compare, "rep long, n long, root long"),
+        cut.repartition("cell").sortWithinPartitions("cell", "part", "rep")
+        .mapInArrow(compare, "rep long, n long, root long"),
         "vector-links",
     )
     joined = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct())

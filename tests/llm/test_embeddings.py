@@ -96,3 +96,22 @@ def test_tables_reach_the_recall(rows):
     bits, tables = embeddings.plan_tables(rows, 0.95, 0.99, 16)
     p = (1 - np.arccos(0.95) / np.pi) ** bits
     assert 1 - (1 - p) ** tables >= 0.99
+
+
+def planted(pairs=3000, dim=64, low=0.9502, high=0.97):
+    """Pairs of unit vectors of a cosine between `low` and `high`, unlike all others."""
+    rng = np.random.default_rng(11)
+    a, b = rng.standard_normal((2, pairs, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    c = rng.uniform(low, high, (pairs, 1))
+    return np.stack([a, c * a + np.sqrt(1 - c * c) * b], 1).reshape(-1, dim)
+
+
+def test_no_planted_pair_is_missed(spark):
+    vecs = planted()
+    df = spark.createDataFrame([(i, v, 1, "x", 2) for i, v in enumerate(vecs.astype(np.float32).tolist())], SCHEMA)
+    got = {r.id: (r.n_links, r.component) for r in embeddings.near_duplicates(df).collect()}
+    missed = [i for i in range(0, len(vecs), 2) if got[i] != (1, i) or got[i + 1] != (1, i)]
+    assert missed == []
