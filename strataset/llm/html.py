@@ -47,7 +47,8 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# One attribute after the other with its whole value, so that no value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NAME = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 

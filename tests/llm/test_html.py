@@ -73,3 +73,20 @@ def test_articles_of_the_table(spark):
         want = " ".join(unescape(re.sub(r"<[a-zA-Z/][^>]*>", "\n", inline)).split())
         right += want == r.text
     assert right == len(rows)
+
+
+NO_MARKS = [
+    'href="/the-hidden-city"', 'title="Hidden gems"', "title='a hidden b'", 'data-hidden="false"', 'href="/story?id=search"',
+    "href=/story?class=sidebar", 'data-class="comments"', 'data-x="role=navigation style=display:none"', 'alt = "id=footer"',
+]
+
+
+@pytest.mark.parametrize("attribute", NO_MARKS)
+def test_words_in_values_of_other_attributes_mark_nothing(attribute):
+    page = f"<article {attribute}><p>some <a {attribute}>linked</a> words</p></article>"
+    assert html.main_text(page, PLAIN) == "some linked words"
+
+
+@pytest.mark.parametrize("attribute", ["hidden", "HIDDEN=''", 'href="/x" hidden', "id = 'search'", "title=x class=sidebar", 'style="display: none"'])
+def test_own_attributes_still_mark(attribute):
+    assert html.main_text(f"<p>some words</p><div {attribute}>others</div>", PLAIN) == "some words"
