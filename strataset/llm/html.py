@@ -16,7 +16,7 @@ from strataset.session import hold
 
 # Words of names, classes, ids and roles whose elements are not part of an article.
 _ASIDE_TAGS = frozenset(
-    "aside button canvas dialog embed footer form head iframe input menu nav noscript object option script select "
+    "aside button canvas dialog embed footer head iframe input menu nav noscript object option script select "
     "style svg template textarea title".split()
 )
 _ASIDE_WORDS = frozenset(
@@ -33,6 +33,7 @@ _INLINE = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CONTENT = frozenset({"article", "main"})
+_LEAST = 25  # words of a wrapper on a page without an article that may be its main text
 _ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p "
     "pre section table ul".split()
@@ -58,29 +59,86 @@ class Element:
     marks: tuple[str, ...]  # its name and classes, as features
     aside: bool  # it or what it is in is not part of an article
     content: bool
+    hard: bool = False  # it or what it is in is hidden or of a name that never holds an article
+    soft: bool = False  # a word of its own, or its being a form, speaks against it; see `_unwrap`
+    parent: Element | None = None
 
 
 def _element(name: str, attributes: str, parent: Element | None) -> Element:
-    marks, aside = [name], name in _ASIDE_TAGS
+    marks, hard, soft = [name], name in _ASIDE_TAGS, name == "form"
     content = name in _CONTENT or bool(parent and parent.content)
     for key, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         key, value = key.lower(), next(filter(None, values), "")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            aside = True
+            hard = True
         elif key == "style":
-            aside |= "display:none" in value.replace(" ", "").lower()
+            hard |= "display:none" in value.replace(" ", "").lower()
         elif key in ("class", "id", "role"):
             marks += ["." + v.lower() for v in value.split()[:8]]
             found = {w.lower() for w in _NAME.findall(value)}
             if name not in ("body", "html", "article", "main"):
-                aside |= bool(found & _ASIDE_WORDS or not content and found & _HEADER_WORDS)
-    aside |= name == "header" and not content
-    return Element(name, tuple(marks), aside or bool(parent and parent.aside), content)
+                soft |= bool(found & _ASIDE_WORDS or not content and found & _HEADER_WORDS)
+    soft |= name == "header" and not content
+    hard |= bool(parent and parent.hard)
+    return Element(name, tuple(marks), hard or soft or bool(parent and parent.aside), content, hard, soft, parent)
+
+
+def _path(element: Element | None) -> Iterator[Element]:
+    """An element and what it is in, from the inside out."""
+    while element:
+        yield element
+        element = element.parent
+
+
+def _unwrap(elements: list[Element], texts: list[tuple[int, Element | None]]) -> None:
+    """Takes the soft marks off wrappers that hold the main text.
+
+    These are what the `article` or `main` of most words is in; words count that no mark inside of it
+    excludes. On a page without such words they are the wrappers of the most words under the same
+    marks, if those are `_LEAST` at least and ten times those under no mark. Elements are in page
+    order, so parents come first.
+    """
+    articles: dict[int, list] = {}
+    wrapped: dict[int, list] = {}
+    free = 0
+    for n, element in texts:
+        if element and element.hard:
+            continue
+        for e in _path(element):
+            if e.soft:
+                wrapped.setdefault(id(e), [0, e])[0] += n
+                break
+            if e.name in _CONTENT:
+                articles.setdefault(id(e), [0, e])[0] += n
+        else:
+            free += n
+    best = max((articles or wrapped).values(), key=lambda x: x[0], default=None)
+    if not best or not articles and best[0] < max(_LEAST, 10 * free):
+        return
+    around = [e for e in _path(best[1]) if e.soft]
+    for e in around:
+        e.soft = False
+    if around:
+        for e in elements:
+            e.aside = e.hard or e.soft or bool(e.parent and e.parent.aside)
 
 
 def events(page: str) -> Iterator[tuple[str, object]]:
     """("tag", marks) and ("text", (words, stack)) in page order; a text ends at each block's edge.
 
+    A wrapper of the main text is no aside, whatever it is called.
+    """
+    elements: list[Element] = []
+    found = list(_parse(page, elements))
+    if any(e.soft for e in elements):
+        _unwrap(elements, [(len(value[0]), value[1]) for kind, value in found if kind == "text"])
+    for kind, value in found:
+        yield kind, (value[0], tuple(_path(value[1]))[::-1]) if kind == "text" else value
+
+
+def _parse(page: str, elements: list[Element]) -> Iterator[tuple[str, object]]:
+    """`events` with the innermost element of a text; all elements are added to `elements`.
+
     Elements nest as a browser would have them, as far as it matters here: an end tag closes what is
     open inside, and paragraphs, items and cells end where the next one starts.
     """
@@ -91,7 +149,7 @@ def events(page: str) -> Iterator[tuple[str, object]]:
     def flush():
         words = html.unescape("".join(held)).split() if held else []
         held.clear()
-        return ("text", (words, tuple(stack))) if words else None
+        return ("text", (words, stack[-1] if stack else None)) if words else None
 
     def close(names, within=None) -> None:
         for i in range(len(stack) - 1, -1, -1):
@@ -125,7 +183,9 @@ def events(page: str) -> Iterator[tuple[str, object]]:
         if name in _SAME_ENDS:
             close((name,), ("ul", "ol", "dl", "table", "tbody", "select"))
         element = _element(name, attributes, stack[-1] if stack else None)
-        if element.aside and name in _INLINE and not (stack and stack[-1].aside) and (found := flush()):
+        elements.append(element)
+        own = element.soft or element.hard and not (stack and stack[-1].hard)
+        if own and name in _INLINE and (found := flush()):
             yield found
         yield "tag", element.marks
         if name not in _VOID and not attributes.endswith("/"):

@@ -90,3 +90,34 @@ def test_words_in_values_of_other_attributes_mark_nothing(attribute):
 @pytest.mark.parametrize("attribute", ["hidden", "HIDDEN=''", 'href="/x" hidden', "id = 'search'", "title=x class=sidebar", 'style="display: none"'])
 def test_own_attributes_still_mark(attribute):
     assert html.main_text(f"<p>some words</p><div {attribute}>others</div>", PLAIN) == "some words"
+
+
+WRAPPERS = ["<div class='layout has-sidebar'>", "<div class=with-header>", "<div id=page class='has-comments'>", "<div class=search-page>", '<form id="aspnetForm">']
+ASIDES = "<div class=sidebar>side words</div><div class=comments><article>a comment</article><p>me too</div><nav>menu</nav>"
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("outer", ["", "<main>", "<div class='page no-sidebar'>"])
+def test_wrappers_of_an_article_do_not_hide_it(wrapper, outer):
+    end = "</form>" if "form" in wrapper else "</div>"
+    page = f"<body><div class=masthead>logo</div>{outer}{wrapper}<article><h1>Title</h1><p>some <span class=ad>buy</span></p><p>words of it</article>{ASIDES}{end}"
+    assert "Title some" in html.main_text(page, PLAIN) and html.main_text(page, PLAIN).endswith("words of it")
+    assert not {"side", "comment", "menu", "logo"} & set(html.main_text(page, PLAIN).split())
+    inside = [n for kind, mark, inside, n in html._labelled(page.replace("<article>a comment</article>", "")) if kind == "word" and not mark and inside]
+    assert sum(inside) >= 5
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_wrappers_of_a_page_without_an_article(wrapper):
+    words = " ".join(f"w{i}" for i in range(40))
+    page = f"<body><a>skip this</a>{wrapper}<div class=post><p>{words}</p></div>{ASIDES.replace('article', 'div')}"
+    assert html.main_text(page, PLAIN).endswith(words)
+
+
+def test_asides_that_hold_articles_stay_out():
+    page = "<main><p>the text of this page</p><div class=related><article>a teaser</article></div></main>"
+    assert html.main_text(page, PLAIN) == "the text of this page"
+    page = "<article>short text</article><div class=comments>" + "<p>a long comment" * 50 + "</div>"
+    assert html.main_text(page, PLAIN) == "short text"
+    assert html.main_text("<div class=cookies>accept all</div>", PLAIN) == ""
+    assert html.main_text("<div hidden><article>unseen</article></div>", PLAIN) == ""
