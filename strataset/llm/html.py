@@ -33,6 +33,7 @@ _INLINE = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CONTENT = frozenset({"article", "main"})
+_QUIET = frozenset({"noscript", "svg", "template"})  # tags inside cost nothing
 _LEAST = 25  # words of a wrapper on a page without an article that may be its main text
 _ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p "
@@ -42,7 +43,7 @@ _SAME_ENDS = frozenset("li dt dd tr td th option".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title|noscript|iframe|template|svg)(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|iframe)(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)",
@@ -62,6 +63,7 @@ class Element:
     hard: bool = False  # it or what it is in is hidden or of a name that never holds an article
     soft: bool = False  # a word of its own, or its being a form, speaks against it; see `_unwrap`
     parent: Element | None = None
+    quiet: bool = False
 
 
 def _element(name: str, attributes: str, parent: Element | None) -> Element:
@@ -80,7 +82,7 @@ def _element(name: str, attributes: str, parent: Element | None) -> Element:
                 soft |= bool(found & _ASIDE_WORDS or not content and found & _HEADER_WORDS)
     soft |= name == "header" and not content
     hard |= bool(parent and parent.hard)
-    return Element(name, tuple(marks), hard or soft or bool(parent and parent.aside), content, hard, soft, parent)
+    return Element(name, tuple(marks), hard or soft or bool(parent and parent.aside), content, hard, soft, parent, name in _QUIET or bool(parent and parent.quiet))
 
 
 def _path(element: Element | None) -> Iterator[Element]:
@@ -145,6 +147,7 @@ def _parse(page: str, elements: list[Element]) -> Iterator[tuple[str, object]]:
     stack: list[Element] = []
     held: list[str] = []
     last = 0
+    final: dict[str, int] = {}  # where the last end tag of a name is
 
     def flush():
         words = html.unescape("".join(held)).split() if held else []
@@ -169,13 +172,26 @@ def _parse(page: str, elements: list[Element]) -> Iterator[tuple[str, object]]:
                 yield found
             continue
         name, ending = name.lower(), bool(m[2] or m[5])
-        if name not in _INLINE and (found := flush()):
+        if (name not in _INLINE or stack and stack[-1].name == "title") and (found := flush()):
             yield found
+        if stack and stack[-1].name == "title":  # holds no elements, so it ends at any tag
+            stack.pop()
+            if ending and name == "title":
+                continue
         if ending:
+            quiet = bool(stack and stack[-1].quiet)
             close((name,))
-            yield "tag", (name,)
+            if not quiet:
+                yield "tag", (name,)
             continue
         attributes = m[4] if m[3] else m[7]
+        if name in _QUIET:
+            if name not in final:
+                final[name] = max((x.start() for x in re.finditer(f"</{name}(?=[\\s/>])", page, re.I)), default=-1)
+            if attributes.endswith("/") or final[name] < m.end():  # closed already, or never
+                continue
+        if name in _ENDS_PARAGRAPH and stack and stack[-1].quiet:  # no elements of a drawing
+            close(("svg",), ("foreignobject",))
         if name == "body":
             close(("head",))
         if name in _ENDS_PARAGRAPH:
@@ -187,7 +203,8 @@ def _parse(page: str, elements: list[Element]) -> Iterator[tuple[str, object]]:
         own = element.soft or element.hard and not (stack and stack[-1].hard)
         if own and name in _INLINE and (found := flush()):
             yield found
-        yield "tag", element.marks
+        if not element.quiet and name != "title":
+            yield "tag", element.marks
         if name not in _VOID and not attributes.endswith("/"):
             stack.append(element)
     if last < len(page):

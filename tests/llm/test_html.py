@@ -121,3 +121,19 @@ def test_asides_that_hold_articles_stay_out():
     assert html.main_text(page, PLAIN) == "short text"
     assert html.main_text("<div class=cookies>accept all</div>", PLAIN) == ""
     assert html.main_text("<div hidden><article>unseen</article></div>", PLAIN) == ""
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<p>one <svg class="icon"/> two</p><p>three</p>',
+        '<p>one <svg class="icon" /> two</p><svg><path d="x"/><title>icon</title></svg><p>three</p>',
+        "<p>one <noscript>two</p><p>three</p>",
+        "<title>a title<p>one two</p><p>three</p>",
+        "<title>a title</title><p>one two</p><p>three</p>",
+        "<noscript><p>turn it on</p></noscript><p>one two <svg><text>a</text></svg></p><template><p>x</p></template><p>three</p>",
+        "<p>one two</p><svg><path><p>three</p><svg/><svg></svg>",
+    ],
+)
+def test_drawings_and_unclosed_elements_swallow_nothing(page):
+    assert html.main_text(page, PLAIN) == "one two three"
