@@ -31,7 +31,8 @@ def words_of(text: str) -> list[str]:
         end = at + _SEGMENT
         while end < len(text) and text[end].isalpha():
             end += 1
-        out += _WORD.findall(text[at:end].lower())
+        for word in _WORD.findall(text[at:end].lower()):  # numbers such as ² and ① are no letters
+            out += [word] if word.isalpha() else "".join(c if c.isalpha() else " " for c in word).split()
         at = end
     if out and max(map(len, out)) > _LONGEST:
         out = [w[a : a + _LONGEST] for w in out for a in range(0, len(w), _LONGEST)]

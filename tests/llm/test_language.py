@@ -73,3 +73,10 @@ def test_held_out_accuracy(spark):
     rows = got.filter("held_out").join(truth, "doc_id").collect()
     assert len(rows) > 150
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.95
+
+
+def test_numbers_are_no_letters(spark):
+    assert language.words_of("m² ① ½ Ⅷ x²y 3 Été") == ["m", "x", "y", "été"]
+    df = spark.createDataFrame([(1, "² ①", "en", "x"), (2, "the", "en", "x")], SCHEMA)
+    got = {r.doc_id: r.lang_pred for r in language.predict(df, language.fit(df)).collect()}
+    assert got == {1: "und", 2: "en"}
