@@ -209,3 +209,11 @@ def packed_documents(docs: DataFrame, size: int = 1024, **options) -> DataFrame:
     """Pieces of all documents with the check sum of their ids, held narrow, and packed."""
     narrow = pieces(docs, size, **options).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(hold(narrow, "pieces"), size)
+
+
+def packed_pieces(docs: DataFrame, size: int = 1024, **options) -> DataFrame:
+    """`packed_documents` with the ids of the pieces. They are packed without them, by a number of
+    their own, and the ids move once, to their places."""
+    found = pieces(docs, size, **options).withColumn("ids_crc32", F.crc32("ids"))
+    held = hold(found.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+    return pack(held.drop("ids"), size).join(held.select("_piece", "ids"), "_piece").drop("_piece")

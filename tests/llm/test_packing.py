@@ -116,3 +116,18 @@ def test_knapsack_equals_search():
         value, pattern = packing.best_pattern(worth, 10)
         assert value == pytest.approx(best) and (pattern @ worth) == pytest.approx(best)
         assert pattern @ np.arange(1, 7) <= 10
+
+
+def test_the_pipeline_gives_the_packed_ids(spark):
+    import corpus_pipeline
+
+    texts = corpus()
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    packed = corpus_pipeline.pack_tokens(spark, docs, "")
+    rows = packed.collect()
+    assert check(rows, texts) > 0.9
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+    whole = {r.sequence_id: r.ids for r in packing.sequences(spark.createDataFrame(rows, packed.schema)).collect()}
+    assert all(whole[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)] == r.ids for r in rows)
+    twice = docs.filter("doc_id < 7").union(docs.filter("doc_id < 7"))
+    assert corpus_pipeline.pack_tokens(spark, twice, "").count() == 14
