@@ -131,3 +131,14 @@ def op4_suffix_dedup(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op13_bpe_encoding(spark, sf_dir):
+    from strataset.llm.bpe import encode
+
+    return encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
