@@ -20,13 +20,13 @@ from tokenizers import Tokenizer
 from strataset.llm.tokens import _byte_letters
 
 VOCABULARY = "word_bpe_49k.json"
-_CACHED = 200_000  # words whose ids a worker keeps
+_CACHED = 200_000  # stretches whose ids a worker keeps
 _CHUNK = 1 << 22  # characters of text that are encoded together
 _NONE = np.iinfo(np.int32).max
 
 # Characters on whose class and case all Unicode versions agree; other texts are cut into words by
 # the library's own normaliser and splitter.
-_SETTLED = regex.compile(r"[\x00-ԯ‐-‧ぁ-ゖァ-ヺ一-龥가-힣]*")
+_SETTLED = regex.compile(r"[\x00-\x1b\x20-ԯ‐-‧ぁ-ゖァ-ヺ一-龥가-힣]*")
 
 
 class WordBpe:
@@ -80,25 +80,26 @@ class WordBpe:
         self._clear()
 
     def _clear(self) -> None:
-        self._slot: dict[str | bytes, int] = {name.encode(): k for k, name in enumerate(self._special)}
+        self._slot: dict[str | tuple[str] | bytes, int] = {name.encode(): k for k, name in enumerate(self._special)}
         self._ids = np.array(list(self._special.values()), np.int32)
         self._lengths = np.ones(len(self._special), np.int64)
 
-    # ---- texts to words ----
+    # ---- texts to stretches without white space, which words never cross ----
 
-    def _segment(self, text: str) -> list[str]:
+    def _segment(self, text: str) -> list[str | tuple[str]]:
         if _SETTLED.fullmatch(text):
             # Characters are lower-cased one by one, so a final sigma is no special case.
-            return self._cut.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+            return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower().split()
         spelled = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))
-        return [bytes(map(self._byte_of.__getitem__, word)).decode() for word, _ in spelled]
+        return [(bytes(map(self._byte_of.__getitem__, word)).decode(),) for word, _ in spelled]
 
-    def words(self, text: str) -> list[str | bytes]:
-        """The words of a text in order; special tokens as bytes, so that no word equals one."""
+    def stretches(self, text: str) -> list[str | tuple[str] | bytes]:
+        """Parts of a text in order: stretches still to be cut into words, words, each in a tuple, and
+        special tokens as bytes."""
         if self._specials is None or not self._specials.search(text):
             return self._segment(text)
         parts = self._specials.split(text)
-        found: list[str | bytes] = []
+        found: list[str | tuple[str] | bytes] = []
         for k, part in enumerate(parts):
             found += [part.encode()] if k % 2 else self._segment(part)
         return found
@@ -139,7 +140,10 @@ class WordBpe:
             stay[at + 1] = False
             now = at - np.arange(len(at))  # each earlier merge took one symbol away
             word, symbols, rank = word[stay], symbols[stay], rank[stay]
-            touched = np.unique(np.r_[now, now[now > 0] - 1])
+            changed = np.zeros(len(symbols), bool)
+            changed[now] = True
+            changed[now[now > 0] - 1] = True
+            touched = np.flatnonzero(changed)
             after = np.minimum(touched + 1, len(symbols) - 1)
             joined = (after > touched) & (word[after] == word[touched])
             rank[touched] = np.where(joined, self._rank(symbols[touched], symbols[after]), _NONE)
@@ -149,8 +153,10 @@ class WordBpe:
         order = np.argsort(owner, kind="stable")
         return np.concatenate([s for _, s in finished])[order], owner[order]
 
-    def _learn(self, new: list[str]) -> None:
-        raw = [w.encode() for w in new]
+    def _learn(self, new: list[str | tuple[str]]) -> None:
+        words = [self._cut.findall(x) if isinstance(x, str) else x for x in new]
+        owner = np.repeat(np.arange(len(new)), np.fromiter(map(len, words), np.int64, len(words)))
+        raw = [w.encode() for w in chain.from_iterable(words)]
         flat = np.frombuffer(b"".join(raw), np.uint8)
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         symbols = self._inner[flat]
@@ -160,19 +166,19 @@ class WordBpe:
         at = len(self._slot)
         self._slot.update(zip(new, range(at, at + len(new))))
         self._ids = np.concatenate([self._ids, symbols])
-        self._lengths = np.concatenate([self._lengths, np.bincount(word, minlength=len(new))])
+        self._lengths = np.concatenate([self._lengths, np.bincount(owner[word], minlength=len(new))])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of all texts: text i has ids[offsets[i]:offsets[i + 1]]."""
-        words = [self.words(t) for t in texts]
+        parts = [self.stretches(t) for t in texts]
         if len(self._slot) > _CACHED:
             self._clear()
         known = self._slot
-        new = list(dict.fromkeys(w for w in chain.from_iterable(words) if w not in known))
+        new = [x for x in set(chain.from_iterable(parts)) if x not in known]
         if new:
             self._learn(new)
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        slots = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        slots = np.array(list(map(known.__getitem__, chain.from_iterable(parts))), np.int64)
         lengths = self._lengths[slots]
         begin = np.r_[0, np.cumsum(self._lengths)][slots]
         ends = np.cumsum(lengths)

@@ -142,3 +142,32 @@ def op13_bpe_encoding(spark, sf_dir):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLES["op11_lexical_search"] = f"""
+WITH words AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM postings GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM sizes),
+norms AS (SELECT doc_id, 50 + (50 * n * docs) // len AS m FROM sizes, totals),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, totals GROUP BY term, docs),
+asked AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN norms USING (doc_id)
+  GROUP BY item_id, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank
+  FROM scores WHERE score > 0)
+WHERE rank <= 50
+""".strip()
+
+
+@query
+def op11_lexical_search(spark, sf_dir):
+    from strataset.llm.lexical import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
