@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -14,7 +13,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from strataset.session import hold
 
-_TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+# Bytes of UTF-8: A-Z lower-cased, other ASCII but digits and letters to a space, the rest as it is.
+_LETTERS = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256)).lower()
 _BLOCK = 16_384  # documents of one stratum that are scored together
 _GATHERED = 65_536  # documents whose strata are ordered by their bounds together
 _BOUNDS = 1 << 24  # bounds that are held together
@@ -22,17 +22,17 @@ _BATCH = 1 << 16  # distinct terms of the items that are searched in one pass
 _CHUNK = 1 << 23  # characters of text whose terms are counted together
 
 
-def terms(text: str | None) -> list[str]:
-    """The terms of a text in order: runs of ASCII letters, digits and all characters beyond ASCII,
-    with A-Z lower-cased. A null text has none."""
-    return _TERM.findall(text.encode().lower().decode()) if text else []  # bytes lower-case A-Z only
+def terms(text: str | None) -> list[bytes]:
+    """The terms of a text in order, in UTF-8: runs of ASCII letters, digits and all characters beyond
+    ASCII, with A-Z lower-cased. A null text has none."""
+    return text.encode().translate(_LETTERS).split() if text else []
 
 
 @dataclass
 class Queries:
     """Items of one pass, by position in `vocabulary`; item i has at[i]:at[i + 1]."""
 
-    vocabulary: list[str]
+    vocabulary: list[bytes]
     weight: np.ndarray
     items: np.ndarray
     at: np.ndarray
@@ -42,7 +42,7 @@ class Queries:
 # ---- counting ------------------------------------------------------------------------------------
 
 
-def _counted(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+def _counted(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
     """(doc_id, n, terms, tfs) of every document with a term: how many terms it has, and positions in
     the vocabulary with how often they occur. One scan."""
 
@@ -55,7 +55,8 @@ def _counted(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
                 found = terms(text)
                 if not found:
                     continue
-                wanted = Counter(filter(None.__ne__, map(place.get, found)))
+                wanted = Counter(map(place.get, found))
+                wanted.pop(None, None)
                 rows.append((doc_id, len(found), list(wanted), list(wanted.values())))
                 held += len(text)
                 if held >= _CHUNK:
@@ -193,16 +194,17 @@ def _searched(rows: DataFrame, q: Queries, k: int) -> DataFrame:
 # ---- the search ----------------------------------------------------------------------------------
 
 
-def _item_batches(items: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
+def _item_batches(items: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
     """Rows (item, terms), a bounded number of terms at a time, an item of more terms by itself."""
-    batch: list[tuple[int, list[str]]] = []
-    seen: set[str] = set()
+    batch: list[tuple[int, list[bytes]]] = []
+    seen: set[bytes] = set()
     for row in items.toLocalIterator():
-        if batch and len(seen) + len(row.terms) > _BATCH:
+        wanted = [bytes(t) for t in row.terms]
+        if batch and len(seen) + len(wanted) > _BATCH:
             yield batch
             batch, seen = [], set()
-        batch.append((row.item, row.terms))
-        seen.update(row.terms)
+        batch.append((row.item, wanted))
+        seen.update(wanted)
     if batch:
         yield batch
 
@@ -212,10 +214,10 @@ def _distinct_terms(items: DataFrame) -> DataFrame:
         for batch in batches:
             found = [sorted(set(terms(t))) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.string()))], names=["item", "terms"]
+                [batch.column(0), pa.array(found, pa.list_(pa.binary()))], names=["item", "terms"]
             )
 
-    return items.mapInArrow(make, "item long, terms array<string>").filter("size(terms) > 0")
+    return items.mapInArrow(make, "item long, terms array<binary>").filter("size(terms) > 0")
 
 
 def search(
@@ -258,7 +260,7 @@ def search(
     )
 
 
-def _rank_batch(source: DataFrame, batch: list[tuple[int, list[str]]], k: int) -> DataFrame:
+def _rank_batch(source: DataFrame, batch: list[tuple[int, list[bytes]]], k: int) -> DataFrame:
     vocabulary = sorted({t for _, ts in batch for t in ts})
     counted = hold(
         _counted(source, vocabulary).withColumn("row", F.monotonically_increasing_id()), "search-counts"
