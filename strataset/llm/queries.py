@@ -171,3 +171,80 @@ def op11_lexical_search(spark, sf_dir):
     from strataset.llm.lexical import search
 
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _edit(cost: str, edit: str, line: str | None, state: str) -> str:
+    said = f"{state}.r" if line is None else f"list_prepend({line}, {state}.r)"
+    return f"{{'c': {state}.c + {cost}, 'a': '{edit}' || {state}.a, 'r': {said}}}"
+
+
+def _least(options: list[str], more: str = "") -> str:
+    return f"list_sort([{', '.join(options)}]{more})[1]"
+
+
+def _row_options(state: int) -> str:
+    """The cheapest edit of a row in one of the states 1 to 4 of `v`, what follows included."""
+    keep = ({"s": 2, "u": 3}, {"u": 3}, {"a": 4}, {"u": 3})[state - 1]
+    fill = 4 if state == 3 else 3
+    role = "assistant" if fill == 4 else "user"
+    renamed = _edit("3 + extra", "R", f"'{role}:' || text", f"v[{fill}]")
+    kept = " ".join(f"WHEN '{i}' THEN [{_edit('extra', 'K', "role || ':' || text", f'v[{to}]')}]" for i, to in keep.items())
+    more = f" || CASE WHEN fault IN (0, 3) THEN [{renamed}] ELSE [] END || CASE WHEN fault IN (0, 3) THEN CASE initial {kept} ELSE [] END ELSE [] END"
+    return _least([_edit("4", "D", None, f"v[{state}]")], more)
+
+
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+ORACLES["op12_conversation_repair"] = f"""
+WITH RECURSIVE checks AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: {_CRC_STEP})) AS t),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+  FROM conversations),
+kinds AS (
+  SELECT k.*, xor(list_reduce([4294967295] || list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed k, checks),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER w AS pos, lag(role[1:1]) OVER w || role[1:1] AS pair,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+    regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS shown
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
+faults AS (
+  SELECT conv_id, turn, role, text, pos, pair, role[1:1] AS initial,
+    CASE WHEN shown = '' THEN 1 WHEN nth > 1 THEN 2 WHEN shown[-1:] NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
+  FROM placed),
+known AS (
+  SELECT c.conv_id, count(f.pos) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+    count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN faults f ON c.conv_id IS NOT DISTINCT FROM f.conv_id
+  GROUP BY c.conv_id),
+plans AS (
+  SELECT conv_id, n + 1 AS pos, [
+    {{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}}, {{'c': 6, 'a': 'II', 'r': ['user:', 'assistant:']}},
+    {{'c': 3, 'a': 'I', 'r': ['assistant:']}}, {{'c': 0, 'a': '', 'r': []::VARCHAR[]}}] AS v
+  FROM known
+  UNION ALL
+  SELECT conv_id, pos, [{_least(["b[1]", _edit("3", "I", "'user:'", "f")])}, {_least(["b[2]", _edit("3", "I", "'user:'", "f")])},
+    f, {_least(["b[4]", _edit("3", "I", "'user:'", "b[3]")])}]
+  FROM (SELECT *, {_least(["b[3]", _edit("3", "I", "'assistant:'", "b[4]")])} AS f
+    FROM (SELECT conv_id, pos, [{', '.join(_row_options(k) for k in (1, 2, 3, 4))}] AS b
+      FROM (SELECT p.conv_id, f.pos, f.role, f.text, f.initial, f.fault, p.v, CASE WHEN f.fault = 3 THEN 3 ELSE 0 END AS extra
+        FROM plans p JOIN faults f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.pos = p.pos - 1))))
+SELECT k.conv_id, gaps, blank, duplicate, truncated, illegal, v[1].c AS cost, v[1].a AS audit,
+  sha256(array_to_string(v[1].r, chr(10))) AS repaired_sha256
+FROM known k JOIN plans p ON k.conv_id IS NOT DISTINCT FROM p.conv_id AND p.pos = 1
+""".strip()
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    from strataset.llm.conversations import damage, repair
+
+    rows = table(spark, sf_dir, "conversations")
+    return repair(damage(rows), known=rows)
