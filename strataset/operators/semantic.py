@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from strataset.functions.numbering import dense_position, running_totals
 from strataset.functions.text import (
@@ -21,6 +21,7 @@ from strataset.functions.text import (
 )
 from strataset.schemas import SEMANTIC_PHASES, SEMANTIC_RECORD
 from strataset.session import hold
+from strataset.sources import planned
 
 
 @dataclass(frozen=True)
@@ -243,54 +244,79 @@ def processing_order(
     return numbered.select(*columns) if "processing_order" in columns else numbered
 
 
+class LocatedFiles:
+    """Source files as rows of a Parquet dataset: the columns they are made of, and their path and
+    content as expressions of these."""
+
+    def __init__(self, spark: SparkSession, path: str, columns: Sequence[str], file_path: str, content: str) -> None:
+        self._spark, self._path, self._columns = spark, path, list(columns)
+        self._file_path, self._content = F.expr(file_path), F.expr(content)
+        self.keys = [planned.FILE, planned.ROW]
+
+    def scan(self) -> DataFrame:
+        """(file_path, content) and `keys`, which name a file."""
+        return planned.locate(self._spark, self._path).select(
+            self._file_path.alias("file_path"), self._content.alias("content"), *self.keys
+        )
+
+    def attached(self, numbers: DataFrame) -> DataFrame:
+        """(file_path, content) with the columns of `numbers` (`keys` and more), read where they lie."""
+        more = [c for c in numbers.columns if c not in self.keys]
+        rows = planned.attach(self._spark, self._path, self._columns, numbers)
+        return rows.select(self._file_path.alias("file_path"), self._content.alias("content"), *more)
+
+
+class TreeFiles:
+    """The source files below a directory, read in planned splits."""
+
+    def __init__(self, spark: SparkSession, root: str, ext: str = "rs", skip: Sequence[str] = ("target",)) -> None:
+        self._spark = spark
+        self._listed = hold(planned.list_texts(spark, root, f"*.{ext}", skip), "listed-files")
+        self.keys = ["uri"]
+
+    def scan(self) -> DataFrame:
+        return planned.planned_texts(self._spark, self._listed.withColumn("_uri", F.col("uri"))).withColumnRenamed("_uri", "uri")
+
+    def attached(self, numbers: DataFrame) -> DataFrame:
+        return planned.planned_texts(self._spark, self._listed.join(numbers, "uri"))
+
+
 def ordered_records(
-    files: DataFrame, phases: Sequence[str], run: RunInfo = RunInfo(), mode: str = "phase_first"
+    files: DataFrame | LocatedFiles | TreeFiles | Sequence[LocatedFiles | TreeFiles],
+    phases: Sequence[str], run: RunInfo = RunInfo(), mode: str = "phase_first",
 ) -> DataFrame:
-    """Files (file_path, unique, and content) to records with their processing_order.
-
-    Only (path, number of records per phase) is sorted and added up; a file then knows the first
-    number of each of its phases and counts on from there while its lines are taken apart. So no
-    record is moved or written to be numbered, and one huge file is no worse than without numbers.
+    """Source files to records with their processing_order.
+
+    Files are counted, numbered and read again: what is sorted, added up and moved is a row per file
+    with its number of records per phase. A file then knows the first number of each of its phases and
+    counts on from there while its lines are taken apart, so one huge file is no worse than without
+    numbers. Files from planned readers get their numbers in the split that reads them: no content is
+    exchanged. A frame (file_path, unique, and content) may come from anywhere; its numbers are joined
+    to it by path.
     """
     active = [p for p in phases if p in _SELECTED]
+    parts = list(files) if isinstance(files, Sequence) else [files]
     if not active:
-        return files.sparkSession.createDataFrame([], SEMANTIC_RECORD)
+        spark = files.sparkSession if isinstance(files, DataFrame) else SparkSession.active()
+        return spark.createDataFrame([], SEMANTIC_RECORD)
     if mode not in ("phase_first", "file_first"):
         raise ValueError(f"Unknown mode: {mode}")
     names = [f"_n{i}" for i in range(len(active))]
-
-    def chosen(phase: str) -> Column:
-        return F.filter("_lines", lambda row: _SELECTED[phase](row["line"]))
-
-    def how_many(phase: str) -> Column:
-        return F.size(F.filter("_raw", lambda line: _SELECTED[phase](line))).cast("long")
-
-    def numbered(phase: str, first: str) -> Column:
-        return F.transform(
-            chosen(phase),
-            lambda row, k: F.struct(
-                row["line_no"].alias("line_no"), row["line"].alias("line"),
-                row["context_before"].alias("context_before"),
-                row["context_after"].alias("context_after"),
-                F.lit(phase).alias("phase"), (F.col(first) + k + 1).alias("processing_order"),
-            ),
-        )
-
-    rows = F.transform(
-        "_raw",
-        lambda line, i: F.struct(
-            (i + 1).cast("long").alias("line_no"), line.alias("line"),
-            F.get("_raw", i - 1).alias("context_before"), F.get("_raw", i + 1).alias("context_after"),
-        ),
-    )
-    split = line_array(F.col("content"))
-    raw = F.slice("_split", F.lit(1), F.size("_split") - (F.element_at("_split", -1) == "").cast("int"))
-
-    def lines_of(frame: DataFrame, *rest: str) -> DataFrame:
-        return frame.select(*rest, split.alias("_split")).select(*rest, raw.alias("_raw"))
-
-    counted = lines_of(files, "file_path").select(
-        "file_path", *[how_many(p).alias(n) for n, p in zip(names, active)]
+    keys = [["file_path"] if isinstance(p, DataFrame) else p.keys for p in parts]
+    scans = [p if isinstance(p, DataFrame) else p.scan() for p in parts]
+    # A key per kind of source, null for files of the others. Lines are counted as rows, which compiled
+    # code does; each task adds up its own before a row per file is moved. Held, since a sort by ranges
+    # goes through its input twice.
+    counted = hold(
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+            _line_rows(scan.select("file_path", "content", F.struct(*key).alias(f"_key{i}")))
+            .groupBy("file_path").agg(
+                F.first(f"_key{i}").alias(f"_key{i}"),
+                *[F.count_if(_SELECTED[p](F.col("line"))).alias(n) for n, p in zip(names, active)],
+            )
+            for i, (scan, key) in enumerate(zip(scans, keys))
+        ]),
+        "file-counts",
     )
     placed, sums = running_totals(
         counted.filter(reduce(lambda a, b: a | b, [F.col(n) > 0 for n in names])),
@@ -302,12 +328,55 @@ def ordered_records(
     else:
         whole = reduce(lambda a, b: a + b, [F.col(f"{n}_before") for n in names])
         first = [reduce(lambda a, b: a + b, [whole, *[F.col(m) for m in names[:i]]]) for i in range(len(names))]
+    firsts = [f"_first{i}" for i in range(len(active))]
     starts = hold(
-        placed.select("file_path", *[f.alias(f"_first{i}") for i, f in enumerate(first)]), "first-numbers"
+        placed.select(*[f"_key{i}" for i in range(len(parts))], *[f.alias(n) for f, n in zip(first, firsts)]),
+        "first-numbers",
     )
-    firsts = [f"_first{i}" for i in range(len(active))]
-    arrays = lines_of(files.join(starts, "file_path"), "file_path", *firsts).select(
-        "file_path", *firsts, rows.alias("_lines")
+    numbered = []
+    for i, part in enumerate(parts):
+        own = starts.filter(F.col(f"_key{i}").isNotNull()).select(f"_key{i}.*", *firsts)
+        known = part.join(own, "file_path") if isinstance(part, DataFrame) else part.attached(own)
+        numbered.append(known.select("file_path", "content", *firsts))
+    rows = reduce(lambda a, b: a.unionByName(b), numbered)
+
+    # A line that is chosen for a phase counts on by the lines chosen before it, which are a list.
+    chosen = [
+        F.filter(F.transform("_raw", lambda line, i: F.when(_SELECTED[p](line), i)), lambda i: i.isNotNull()).alias(f"_at{k}")
+        for k, p in enumerate(active)
+    ]
+
+    def lines_of(k: int) -> Column:
+        return F.transform(f"_at{k}", lambda at, n: F.struct(
+            at.alias("at"), F.lit(active[k]).alias("phase"), (F.col(firsts[k]) + n + 1).alias("processing_order")
+        ))
+
+    picked = F.concat(*[lines_of(k) for k in range(len(active))])
+    lines = (
+        _with_lines(rows).select("file_path", "_raw", *firsts, *chosen)
+        .select("file_path", "_raw", F.inline(picked))
+        .select(
+            "file_path", (F.col("at") + 1).cast("long").alias("line_no"), F.get("_raw", "at").alias("line"),
+            F.get("_raw", F.col("at") - 1).alias("context_before"), F.get("_raw", F.col("at") + 1).alias("context_after"),
+            "phase", "processing_order",
+        )
     )
-    lines = F.concat(*[numbered(p, f) for p, f in zip(active, firsts)])
-    return _built(arrays.select("file_path", F.inline(lines)), active, run)
+    return _built(lines, active, run)
+
+
+def _line_rows(files: DataFrame) -> DataFrame:
+    """A row per line, with `line` in the place of `content`."""
+    rest = [c for c in files.columns if c != "content"]
+    split = files.select(*rest, line_array(F.col("content")).alias("_split"))
+    return split.select(*rest, F.explode(_whole_lines()).alias("line"))
+
+
+def _with_lines(files: DataFrame) -> DataFrame:
+    """Add `_raw`, the lines of `content`, which is dropped."""
+    rest = [c for c in files.columns if c != "content"]
+    split = files.select(*rest, line_array(F.col("content")).alias("_split"))
+    return split.select(*rest, _whole_lines().alias("_raw"))
+
+
+def _whole_lines() -> Column:
+    return F.slice("_split", F.lit(1), F.size("_split") - (F.element_at("_split", -1) == "").cast("int"))

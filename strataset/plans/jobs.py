@@ -26,7 +26,7 @@ def semantic_dataset(
     """
     names = semantic.parse_phases(phases)
     with scratch(spark):
-        records = semantic.ordered_records(files.scan_source_files(spark, root), names, run)
+        records = semantic.ordered_records(semantic.TreeFiles(spark, root), names, run)
         writers.write_phase_parquet(records, out, max_mb)
 
 

@@ -189,7 +189,7 @@ def phase_json(spark, sf_dir):
 
 def _ordered(spark, sf_dir, mode):
     found = semantic.ordered_records(
-        views.corpus_files(spark, sf_dir), semantic.parse_phases(ALL_PHASES), mode=mode
+        views.located_files(spark, sf_dir), semantic.parse_phases(ALL_PHASES), mode=mode
     )
     return found.select("phase", "file_path", "line", "processing_order")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataset.operators.semantic import explode_lines
+from strataset.operators.semantic import LocatedFiles, explode_lines
 from strataset.plans.registry import table
 
 # Text expressions that both dialects read alike: one source file per part.
@@ -63,6 +63,18 @@ def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_files(spark, sf_dir).unionByName(doc_files(spark, sf_dir))
 
 
+def located_files(spark: SparkSession, sf_dir: str) -> list[LocatedFiles]:
+    """The same files, to be read again where they lie."""
+    return [
+        LocatedFiles(
+            spark, f"{sf_dir}/part.parquet", ["p_partkey", "p_name", "p_brand", "p_size"], _CODE_PATH, _CODE_TEXT
+        ),
+        LocatedFiles(
+            spark, f"{sf_dir}/documents.parquet", ["doc_id", "lang", "source", "text"], _DOC_PATH, "text"
+        ),
+    ]
+
+
 def code_lines(spark: SparkSession, sf_dir: str, context: bool = False) -> DataFrame:
     return explode_lines(code_files(spark, sf_dir), context=context)
 

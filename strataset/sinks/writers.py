@@ -11,7 +11,8 @@ from strataset.functions.numbering import dense_position
 from strataset.operators.ir import ir_projection
 from strataset.operators.terms import sample_per_group
 from strataset.schemas import PROJECT_RECORD
-from strataset.session import hold
+from strataset.session import hold, scratch_path
+from strataset.sources import planned
 
 # File limit, share of it that is used, rows per split file.
 MAX_MB = 9
@@ -93,20 +94,33 @@ def write_ir_parquet(ir: DataFrame, path: str) -> None:
 def chunk_plan(
     df: DataFrame, key: str, order: Sequence[Column], rows: int = SPLIT_ROWS
 ) -> DataFrame:
-    """The file each row belongs to: chunk, chunks and file_name, `rows` rows per file and key."""
-    placed = dense_position(df, order, within=[key], name="_pos")
+    """The file each row belongs to: chunk, chunks and file_name, `rows` rows per file and key.
+
+    Rows are written once and keep their place. Their key, order and place are sorted and numbered, and
+    the file is told to them where they lie, so other columns are neither sorted nor moved. `order` must
+    be unique inside a key; a null key is a key.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "chunk-rows")
+    taken = {"chunk", "chunks", "file_name", "_pos", *(f"_order{i}" for i in range(len(order)))} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns have names that are needed: {', '.join(sorted(taken))}")
+    df.write.parquet(path)
+    sorted_by = {f"_order{i}": o for i, o in enumerate(order)}
+    keys = planned.locate(spark, path).select(
+        F.col(f"`{key}`").alias("_key"), *[o.alias(n) for n, o in sorted_by.items()], planned.FILE, planned.ROW
+    )
+    placed = dense_position(keys, [F.col(n) for n in sorted_by], within=["_key"], name="_pos")
     # Held, so that its true size decides how it is joined: a few rows go to every task, and the
     # rows of a huge key are not brought together.
     sizes = hold(
-        placed.groupBy(key).agg(F.ceil(F.max("_pos") / rows).cast("int").alias("chunks")),
+        placed.groupBy(F.col("_key").alias("_sized")).agg(F.ceil(F.max("_pos") / rows).cast("int").alias("chunks")),
         "chunk-sizes",
     )
-    chunk = F.expr(f"CAST((_pos - 1) DIV {rows} AS INT)")
-    return (
-        placed.withColumn("chunk", chunk).drop("_pos").join(sizes, key)
-        .withColumn(
-            "file_name", F.format_string("%s-%05d-of-%05d.parquet", key, "chunk", "chunks")
-        )
+    places = placed.join(sizes, F.col("_key").eqNullSafe(F.col("_sized"))).select(
+        planned.FILE, planned.ROW, F.expr(f"CAST((_pos - 1) DIV {rows} AS INT)").alias("chunk"), "chunks"
+    )
+    return planned.attach(spark, path, df.columns, places).withColumn(
+        "file_name", F.format_string("%s-%05d-of-%05d.parquet", F.col(f"`{key}`"), "chunk", "chunks")
     )
 
 
