@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
+from strataset.functions.asof import as_of
 from strataset.functions.text import repo_key
-from strataset.operators import ir as ir_ops, project as ops
+from strataset.operators import graph, ir as ir_ops, project as ops, versions as version_ops
 from strataset.plans import views
 from strataset.plans.registry import query, table
 from strataset.schemas import IR_LEVELS
@@ -347,3 +348,70 @@ def level_summary(spark, sf_dir):
         "avg_instructions": F.round("avg_instructions", 6),
         "avg_complexity": F.round("avg_complexity", 6),
     })
+
+
+_NONE = "[-1, 0, 0, 0]"
+_CARET = """CASE WHEN a > 0 THEN [a + 1, 0, 0, 1000] WHEN b > 0 THEN [0, b + 1, 0, 1000]
+  ELSE [0, 0, c + 1, 1000] END"""
+
+
+@query("resolve_versions", f"""
+    WITH {views.VERSIONS}, {views.REQUIREMENTS},
+    spans AS (
+      SELECT DISTINCT dep_name, version_req, form, a, b, c,
+        CASE WHEN form IN (0, 5) THEN [a, b, c, 1000] WHEN form IN (1, 4) THEN [a, b, 0, 1000]
+             WHEN form = 2 THEN [a, 0, 0, 1000] WHEN form IN (3, 8) THEN [0, 0, 0, 0]
+             WHEN form = 6 THEN [a, b, c, 2] WHEN form = 7 THEN [a, b + 1, 0, 1000] ELSE {_NONE} END AS low,
+        CASE WHEN form IN (0, 6) THEN {_CARET} WHEN form IN (1, 8) THEN [a, b + 1, 0, 1000]
+             WHEN form IN (2, 4) THEN [a + 1, 0, 0, 1000] WHEN form IN (3, 7) THEN [99, 0, 0, 0]
+             WHEN form = 5 THEN [a, b, c, 1001] ELSE {_NONE} END AS high
+      FROM requirements),
+    best AS (
+      SELECT s.dep_name, s.version_req, v.version, row_number() OVER (
+        PARTITION BY s.dep_name, s.version_req ORDER BY [major, minor, patch, pre] DESC, v.version DESC) AS rank
+      FROM spans s JOIN versions v ON v.name = s.dep_name AND [major, minor, patch, pre] >= low
+        AND [major, minor, patch, pre] < high
+        AND (pre = 1000 OR (form = 6 AND major = a AND minor = b AND patch = c)))
+    SELECT r.pkg_id, r.dep_ord, r.dep_name, r.version_req, b.version AS resolved_version
+    FROM requirements r LEFT JOIN best b
+      ON r.dep_name = b.dep_name AND r.version_req = b.version_req AND b.rank = 1""")
+def resolve_versions(spark, sf_dir):
+    decl = views.requirements(spark, sf_dir).select("pkg_id", "dep_ord", "dep_name", "version_req")
+    return version_ops.resolve_versions(decl, views.versions(spark, sf_dir))
+
+
+@query("dependency_graph", f"""
+    WITH RECURSIVE {views.GRAPH}, steps AS (SELECT DISTINCT package, dependency FROM graph),
+    reach USING KEY (package, dependency) AS (
+      SELECT package, dependency, 1 AS depth FROM steps
+      UNION (SELECT r.package, s.dependency, min(r.depth + 1) AS depth
+             FROM reach r JOIN steps s ON r.dependency = s.package
+             LEFT JOIN recurring.reach k ON k.package = r.package AND k.dependency = s.dependency
+             WHERE k.depth IS NULL GROUP BY r.package, s.dependency)),
+    needs AS (
+      SELECT package, count(*) FILTER (package <> dependency AND depth = 1) AS direct,
+             count(*) FILTER (package <> dependency) AS transitive,
+             max(depth) FILTER (package <> dependency) AS depth, bool_or(package = dependency) AS in_cycle
+      FROM reach GROUP BY package),
+    needed AS (SELECT dependency AS package, count(*) AS n FROM reach WHERE package <> dependency GROUP BY dependency)
+    SELECT CAST(p_partkey AS VARCHAR) AS package, coalesce(direct, 0) AS direct, coalesce(transitive, 0) AS transitive,
+           coalesce(n, 0) AS dependents, coalesce(depth, 0) AS depth, coalesce(in_cycle, false) AS in_cycle
+    FROM part LEFT JOIN needs ON needs.package = CAST(p_partkey AS VARCHAR)
+    LEFT JOIN needed ON needed.package = CAST(p_partkey AS VARCHAR)""")
+def dependency_graph(spark, sf_dir):
+    packages = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("package"))
+    return graph.transitive_counts(packages, views.graph_edges(spark, sf_dir))
+
+
+@query("snapshot_at_commit", f"""
+    WITH {views.COMMITS}, snapshots AS (
+      SELECT project, taken_at, max({{'stars': stars, 'issues': issues}}) AS s
+      FROM (SELECT {', '.join(views._SNAPSHOT_FIELDS)} FROM events WHERE event_type = 'purchase')
+      GROUP BY project, taken_at)
+    SELECT c.project, c.sha, c.ts, s.taken_at, s.s.stars AS stars, s.s.issues AS issues
+    FROM commits c ASOF LEFT JOIN snapshots s ON c.project = s.project AND c.ts >= s.taken_at""")
+def snapshot_at_commit(spark, sf_dir):
+    """The snapshot of its project that was the latest one at each commit."""
+    commits = views.commits(spark, sf_dir).select("project", "sha", "ts")
+    found = as_of(commits, views.snapshots(spark, sf_dir), "project", "ts", "taken_at")
+    return found.select("project", "sha", "ts", "fact.taken_at", "fact.stars", "fact.issues")

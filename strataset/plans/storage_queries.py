@@ -12,12 +12,12 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataset.operators import maintenance, report, semantic, terms as term_ops, validate
+from strataset.operators import deltas, maintenance, report, semantic, terms as term_ops, validate
 from strataset.plans import project_queries as proj, semantic_queries as sem, views
 from strataset.plans.registry import query, table
 from strataset.plans.term_queries import split_terms, terms
 from strataset.schemas import IR_LEVELS, IR_PHASES, RAW_TERM, SEMANTIC_RECORD, TERM_SPLITS
-from strataset.session import qualified, scratch_path
+from strataset.session import hold, qualified, scratch_path
 from strataset.sinks import writers
 from strataset.sources import files as readers
 from strataset.sources.storage import open_store
@@ -453,3 +453,62 @@ def completeness_check(spark, sf_dir):
         views.corpus_files(spark, sf_dir), phases,
         semantic.phase_records(views.corpus_lines(spark, sf_dir), phases),
     )
+
+
+# Earlier texts of the documents: those of toxic ones lacked their last line, those of poor quality had
+# another first line, the others of the labelled ones were the same; ids below 0 have been deleted since.
+_EARLIER = """CASE WHEN toxic = 1 THEN regexp_replace(text, concat(chr(10), '[^', chr(10), ']*$'), '')
+  WHEN quality = 0 THEN concat('old first line', chr(10), text) ELSE text END"""
+_GONE = "concat('docs/gone/', CAST(doc_id AS STRING), '.rs')"
+
+
+def _earlier_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    kept = docs.selectExpr(f"{views._DOC_PATH} AS file_path", f"{_EARLIER} AS content")
+    return kept.unionByName(docs.filter("toxic = 1").selectExpr(f"{_GONE} AS file_path", "text AS content"))
+
+
+_SPLIT = "CASE WHEN a[len(a)] = '' THEN a[:len(a) - 1] ELSE a END"
+_LINE_DELTA = f"""{views.DOC_FILES}, earlier AS (
+      SELECT {views._DOC_PATH} AS file_path, {_EARLIER} AS content
+      FROM documents JOIN labels USING (doc_id)
+      UNION ALL SELECT {_GONE}, text FROM documents JOIN labels USING (doc_id) WHERE toxic = 1),
+    now_lines AS (SELECT file_path, content, {_SPLIT} AS n
+                  FROM (SELECT *, string_split_regex(content, '\r?\n') AS a FROM doc_files)),
+    old_lines AS (SELECT file_path, content, {_SPLIT} AS o
+                  FROM (SELECT *, string_split_regex(content, '\r?\n') AS a FROM earlier)),
+    delta AS (
+      SELECT file_path, CASE WHEN o.content IS NULL THEN 'added' WHEN w.content IS NULL THEN 'deleted'
+                             ELSE 'changed' END AS change,
+             CASE WHEN w.content IS NOT NULL THEN list_filter(
+               generate_series(1, greatest(len(n), coalesce(len(o), 0))), lambda i:
+                 n[i] IS DISTINCT FROM o[i] OR n[i + 1] IS DISTINCT FROM o[i + 1]
+                 OR (i > 1 AND n[i - 1] IS DISTINCT FROM o[i - 1])) END AS lines
+      FROM now_lines w FULL JOIN old_lines o USING (file_path)
+      WHERE w.content IS DISTINCT FROM o.content)"""
+
+
+@query("line_delta", f"""
+    WITH {_LINE_DELTA}
+    SELECT file_path, change, CAST(len(lines) AS INTEGER) AS lines, CAST(list_sum(lines) AS BIGINT) AS numbers FROM delta""")
+def line_delta(spark, sf_dir):
+    state = deltas.file_state(_earlier_files(spark, sf_dir))
+    found = deltas.line_delta(views.doc_files(spark, sf_dir), state)
+    total = F.when(F.size("lines") > 0, F.aggregate("lines", F.lit(0).cast("long"), lambda a, b: a + b))
+    return found.select(
+        "file_path", "change", F.when(F.col("lines").isNotNull(), F.size("lines")).alias("lines"), total.alias("numbers")
+    )
+
+
+@query("apply_line_delta", f"""
+    WITH {views.DOC_LINES}, corpus_lines AS (SELECT * FROM doc_lines), {sem._PHASED}
+    SELECT concat(file_path, ':', line_no, ':', phase) AS id, file_path, line_no AS line, phase, line AS source_snippet
+    FROM phased WHERE phase <> 'type_inference'""")
+def apply_line_delta(spark, sf_dir):
+    """The records of the earlier files, stored and brought up to date: those of a whole run."""
+    phases, path = ["parsing", "name_resolution"], scratch_path(spark, "kept-records")
+    earlier, files = _earlier_files(spark, sf_dir), views.doc_files(spark, sf_dir)
+    deltas.write_bucketed(semantic.phase_records(semantic.explode_lines(earlier, context=True), phases), path)
+    delta = hold(deltas.line_delta(files, deltas.file_state(earlier)), "line-delta")
+    deltas.apply_delta(spark, path, delta, deltas.delta_records(files, delta, phases))
+    return spark.read.parquet(path).select("id", "file_path", "line", "phase", "source_snippet")

@@ -423,3 +423,64 @@ cached AS (
            AS status, true AS viewer, max(n_chars) > 2000 AS preview, min(n_chars) > 100 AS search,
          count(*) > 3 AS filter, max(quality) = 1 AS statistics
   FROM labelled GROUP BY lang, source)"""
+
+# Published versions and requirements on them, of many forms.
+_VERSION_FIELDS = (
+    "concat('part', CAST(p_partkey % 50 AS STRING)) AS name",
+    "p_size % 3 AS major", "p_partkey % 7 AS minor", "p_size % 11 AS patch",
+    "CASE WHEN p_partkey % 4 = 0 THEN p_size % 5 ELSE 1000 END AS pre",
+    "concat(CAST(p_size % 3 AS STRING), '.', CAST(p_partkey % 7 AS STRING), '.', CAST(p_size % 11 AS STRING), "
+    "CASE WHEN p_partkey % 4 = 0 THEN concat('-rc.', CAST(p_size % 5 AS STRING)) "
+    "WHEN p_partkey % 9 = 0 THEN concat('+b', CAST(p_size AS STRING)) ELSE '' END) AS version",
+)
+_A, _B, _C = "CAST(l_suppkey % 3 AS STRING)", "CAST(l_orderkey % 7 AS STRING)", "CAST(l_linenumber AS STRING)"
+_REQUIREMENT_FIELDS = (
+    "l_orderkey AS pkg_id", "l_linenumber AS dep_ord",
+    "concat('part', CAST(l_partkey % 50 AS STRING)) AS dep_name",
+    "(l_orderkey + l_linenumber) % 10 AS form", "l_suppkey % 3 AS a", "l_orderkey % 7 AS b", "l_linenumber AS c",
+    f"CASE (l_orderkey + l_linenumber) % 10 WHEN 0 THEN concat('^', {_A}, '.', {_B}, '.', {_C}) "
+    f"WHEN 1 THEN concat('~', {_A}, '.', {_B}) WHEN 2 THEN concat({_A}, '.*') WHEN 3 THEN '*' "
+    f"WHEN 4 THEN concat('>=', {_A}, '.', {_B}, ', <', CAST(l_suppkey % 3 + 1 AS STRING)) "
+    f"WHEN 5 THEN concat('= ', {_A}, '.', {_B}, '.', {_C}) WHEN 6 THEN concat({_A}, '.', {_B}, '.', {_C}, '-rc.2') "
+    f"WHEN 7 THEN concat('>', {_A}, '.', {_B}) WHEN 8 THEN concat('<=', {_A}, '.', {_B}) ELSE 'latest' END AS version_req",
+)
+VERSIONS = _cte("versions", _VERSION_FIELDS, "part")
+REQUIREMENTS = _cte("requirements", _REQUIREMENT_FIELDS, "lineitem")
+
+# A graph over the parts: each needs those at a half and a third of its number; some point back.
+_STEPS = (
+    "SELECT CAST(p_partkey AS STRING) AS package, CAST(floor(p_partkey / 2.0) AS BIGINT) AS d FROM part "
+    "UNION ALL SELECT CAST(p_partkey AS STRING), CAST(floor(p_partkey / 3.0) AS BIGINT) FROM part "
+    "UNION ALL SELECT CAST(CAST(floor(p_partkey / 2.0) AS BIGINT) AS STRING), p_partkey FROM part WHERE p_size = 50"
+)
+_GRAPH = f"SELECT package, CAST(d AS STRING) AS dependency FROM ({_STEPS}) WHERE d > 0 AND package <> '0'"
+GRAPH = f"graph AS ({_GRAPH})"
+
+# Snapshots of projects as they were taken, in turn of the events of one type.
+_SNAPSHOT_FIELDS = (
+    "concat('proj', CAST(user_id % 20 AS STRING)) AS project", "ts AS taken_at", "event_id AS stars",
+    "CAST(floor(value) AS BIGINT) AS issues",
+)
+
+
+def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").selectExpr(*_VERSION_FIELDS)
+
+
+def requirements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").selectExpr(*_REQUIREMENT_FIELDS)
+
+
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part, key = table(spark, sf_dir, "part"), F.col("p_partkey").cast("string")
+    half, third = (F.expr(f"CAST(floor(p_partkey / {n}.0) AS BIGINT)") for n in (2, 3))
+    edges = (
+        part.select(key.alias("package"), half.alias("d"))
+        .unionByName(part.select(key.alias("package"), third.alias("d")))
+        .unionByName(part.filter("p_size = 50").select(half.cast("string").alias("package"), F.col("p_partkey").alias("d")))
+    )
+    return edges.filter("d > 0 AND package <> '0'").select("package", F.col("d").cast("string").alias("dependency"))
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").filter("event_type = 'purchase'").selectExpr(*_SNAPSHOT_FIELDS)
