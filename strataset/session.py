@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,4 +93,20 @@ def hold(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    _HELD[held] = path
+    return held
+
+
+# Where the tables are that `hold` gave and that are still in use.
+_HELD: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that `hold` gave, when nothing reads them any more: not even a frame made of them
+    that has not been run yet. Other frames are left alone."""
+    for df in tables:
+        path = _HELD.pop(df, None)
+        if path is not None:
+            store, folder = _file_system(df.sparkSession, path)
+            store.delete(folder, True)
