@@ -7,6 +7,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,15 @@ _ASIDE_WORDS = frozenset(
     "related replies reply search share sharebar sharing sidebar signup skip social sponsor sponsored subscribe "
     "subscription toolbar widget".split()
 )
+# Words that names of such elements have beside those; any other word makes a name something else.
+_FRAME_WORDS = frozenset(
+    "area article bar block body bottom box button col column container content entry fixed footer full global group "
+    "head holder inner item items left link links list main mobile module outer overlay panel post primary right row "
+    "secondary section site small sticky tertiary top unit wide wrap wrapper zone".split()
+)
 _HEADER_WORDS = frozenset({"header"})  # an article's own header holds its title and stays
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_PROSE = _HEADINGS | {"p"}
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr img".split()
@@ -34,7 +43,6 @@ _INLINE = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CONTENT = frozenset({"article", "main"})
 _QUIET = frozenset({"noscript", "svg", "template"})  # tags inside cost nothing
-_LEAST = 25  # words of a wrapper on a page without an article that may be its main text
 _ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p "
     "pre section table ul".split()
@@ -64,10 +72,20 @@ class Element:
     soft: bool = False  # a word of its own, or its being a form, speaks against it; see `_unwrap`
     parent: Element | None = None
     quiet: bool = False
+    named: bool = False  # its name or a class says so
+
+
+@lru_cache(1 << 16)
+def _names_aside(name: str, content: bool) -> bool:
+    """Whether a class, id or role as a whole names an aside: `cookie-banner` and `sidebar_left` do, a
+    name that has other words (`related-work`, `has-sidebar`) does not."""
+    words = {w.lower() for w in _NAME.findall(name)}
+    asides = _ASIDE_WORDS if content else _ASIDE_WORDS | _HEADER_WORDS
+    return bool(words & asides) and words <= asides | _FRAME_WORDS
 
 
 def _element(name: str, attributes: str, parent: Element | None) -> Element:
-    marks, hard, soft = [name], name in _ASIDE_TAGS, name == "form"
+    marks, hard, soft, named = [name], name in _ASIDE_TAGS, name == "form", False
     content = name in _CONTENT or bool(parent and parent.content)
     for key, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         key, value = key.lower(), next(filter(None, values), "")
@@ -76,13 +94,14 @@ def _element(name: str, attributes: str, parent: Element | None) -> Element:
         elif key == "style":
             hard |= "display:none" in value.replace(" ", "").lower()
         elif key in ("class", "id", "role"):
-            marks += ["." + v.lower() for v in value.split()[:8]]
-            found = {w.lower() for w in _NAME.findall(value)}
-            if name not in ("body", "html", "article", "main"):
-                soft |= bool(found & _ASIDE_WORDS or not content and found & _HEADER_WORDS)
-    soft |= name == "header" and not content
+            names = value.split()
+            marks += ["." + v.lower() for v in names]
+            if name not in ("body", "html", "article", "main") and name not in _HEADINGS:
+                named |= any(_names_aside(v, content) for v in names)
+    named |= name == "header" and not content
+    soft |= named
     hard |= bool(parent and parent.hard)
-    return Element(name, tuple(marks), hard or soft or bool(parent and parent.aside), content, hard, soft, parent, name in _QUIET or bool(parent and parent.quiet))
+    return Element(name, tuple(marks), hard or soft or bool(parent and parent.aside), content, hard, soft, parent, name in _QUIET or bool(parent and parent.quiet), named)
 
 
 def _path(element: Element | None) -> Iterator[Element]:
@@ -96,9 +115,9 @@ def _unwrap(elements: list[Element], texts: list[tuple[int, Element | None]]) ->
     """Takes the soft marks off wrappers that hold the main text.
 
     These are what the `article` or `main` of most words is in; words count that no mark inside of it
-    excludes. On a page without such words they are the wrappers of the most words under the same
-    marks, if those are `_LEAST` at least and ten times those under no mark. Elements are in page
-    order, so parents come first.
+    excludes. On a page without such words they are the forms, such as some servers put around a whole
+    page, that hold the most paragraphs and headings by their words, if these are ten times those under
+    no mark. Elements are in page order, so parents come first.
     """
     articles: dict[int, list] = {}
     wrapped: dict[int, list] = {}
@@ -106,16 +125,19 @@ def _unwrap(elements: list[Element], texts: list[tuple[int, Element | None]]) ->
     for n, element in texts:
         if element and element.hard:
             continue
+        prose = False
         for e in _path(element):
+            prose |= e.name in _PROSE
             if e.soft:
-                wrapped.setdefault(id(e), [0, e])[0] += n
+                if prose and not e.named:
+                    wrapped.setdefault(id(e), [0, e])[0] += n
                 break
             if e.name in _CONTENT:
                 articles.setdefault(id(e), [0, e])[0] += n
         else:
             free += n
     best = max((articles or wrapped).values(), key=lambda x: x[0], default=None)
-    if not best or not articles and best[0] < max(_LEAST, 10 * free):
+    if not best or not articles and best[0] < 10 * free:
         return
     around = [e for e in _path(best[1]) if e.soft]
     for e in around:

@@ -137,3 +137,28 @@ def test_asides_that_hold_articles_stay_out():
 )
 def test_drawings_and_unclosed_elements_swallow_nothing(page):
     assert html.main_text(page, PLAIN) == "one two three"
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<h2 id='related-work'>{}</h2>", "<h2 id='sharing-data'>{}</h2>", "<section id='notice-of-default'>{}</section>",
+     "<div class='social-history'>{}</div>", "<p id='form-of-verbs'>{}</p>", "<h2 class='search'>{}</h2>",
+     "<div class='a b c d e f g h related-work'>{}</div>", "<div class='adHoc'>{}</div>"],
+)
+def test_names_with_other_words_mark_nothing(part):
+    page = f"<article><p>before it</p>{part.format('the words')}<p>after it</p></article>"
+    assert html.main_text(page, PLAIN) == "before it the words after it"
+    assert html.main_text(f"<h1 id='search-for-truth'>A title</h1><p>some words</p>{part.format('more')}", PLAIN) == "A title some words more"
+
+
+@pytest.mark.parametrize("name", ["cookie-banner", "sidebar_left", "siteFooter", "post-comments", "ad-300", "a b c d e f g h i sidebar"])
+def test_names_of_asides_as_a_whole_mark(name):
+    assert html.main_text(f"<article><p>some words</p><div class='{name}'>others</div></article>", PLAIN) == "some words"
+
+
+@pytest.mark.parametrize("n", [1, 24, 25, 400])
+def test_no_number_of_words_decides(n):
+    words = " ".join(f"w{i}" for i in range(n))
+    assert html.main_text(f"<div class='has-sidebar'><p>{words}</p></div>", PLAIN) == words
+    assert html.main_text(f"<form id=aspnetForm><p>{words}</p></form>", PLAIN) == words
+    assert html.main_text(f"<div class='sidebar'><p>{words}</p></div>", PLAIN) == ""
