@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from strataset.session import hold
+from strataset.session import hold, release
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -51,7 +51,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     before = _state(edges)
     while before[0]:
-        edges = hold(_stars(_stars(edges, True), False), "stars")
+        earlier, edges = edges, hold(_stars(_stars(edges, True), False), "stars")
+        release(earlier)
         after = _state(edges)
         if after == before:
             break

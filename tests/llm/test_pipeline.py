@@ -2,11 +2,12 @@ import random
 
 import corpus_pipeline
 import __spark_entry__ as contract
-from strataset.llm import simhash
 from tests.llm.brute import closure
 from tests.llm.test_packing import check
 from tests.llm.test_repeats import brute
+from tests.llm.test_similar import alike, shingles
 
+STAGES = dict(corpus_pipeline.STAGES)
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -35,21 +36,22 @@ def text_of(raw):
 def test_stages_equal_brute_force(spark):
     rows = corpus()
     docs = spark.createDataFrame(rows, SCHEMA)
-    first = corpus_pipeline.identify_language(spark, docs, "").collect()
+    first = STAGES["language"](spark, docs, "").collect()
     assert {r.doc_id for r in first} == {r[0] for r in rows if r[1] and any(c.isalpha() for c in r[1])}
     docs = spark.createDataFrame(first, SCHEMA)
-    second = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
-    prints = {r.doc_id: simhash.fingerprint(r.text) for r in first}
-    ids = sorted(prints)
-    joined = closure(ids, [(a, b) for a in ids for b in ids if a < b and (prints[a] ^ prints[b]).bit_count() <= 4])
+    second = STAGES["near_duplicates"](spark, docs, "").collect()
+    sets = {r.doc_id: shingles(r.text) for r in first}
+    ids = sorted(sets)
+    joined = closure(ids, [(a, b) for a in ids for b in ids if a < b and alike(sets[a], sets[b])])
+    assert len(set(joined.values())) < len(ids) - 20
     assert sorted(r.doc_id for r in second) == sorted(set(joined.values()))
     docs = spark.createDataFrame(second, SCHEMA)
-    third = corpus_pipeline.remove_repeated_passages(spark, docs, "").collect()
+    third = STAGES["repeated_passages"](spark, docs, "").collect()
     want = {r.doc_id: k for r, (k, _, _) in zip(second, brute([(r.doc_id, r.text) for r in second]))}
     assert {r.doc_id: r.text for r in third} == {i: text_of(k) for i, k in want.items() if text_of(k)}
     assert all(r.n_chars == len(r.text) for r in third if r.text != next(s.text for s in second if s.doc_id == r.doc_id))
     texts = {r.doc_id: r.text for r in third}
-    packed = corpus_pipeline.pack_tokens(spark, spark.createDataFrame(third, SCHEMA), "").collect()
+    packed = STAGES["packing"](spark, spark.createDataFrame(third, SCHEMA), "").collect()
     assert {r.doc_id for r in packed} == set(texts)
     again = {i: k for k, i in enumerate(sorted(texts))}
     from types import SimpleNamespace
@@ -61,7 +63,7 @@ def test_stages_equal_brute_force(spark):
 def test_nulls_repeats_and_empty_tables(spark):
     rows = [(None, "le que eau", "fr", "s", 1)] * 3 + [(4, "le que eau", "fr", "s", 1)] * 3 + [(None, "other words here", None, None, None)] * 2
     docs = spark.createDataFrame(rows, SCHEMA)
-    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    kept = STAGES["near_duplicates"](spark, docs, "").collect()
     assert sorted(map(str, (r.doc_id for r in kept))) == ["4", "None"]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), "").collect() == []
