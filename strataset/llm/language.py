@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,14 +18,15 @@ from strataset.session import hold
 
 UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
-_LONGEST = 40  # letters of a word that are segmented together; longer words are cut there
+_LONG = 64  # letters of a word up to which words are segmented in batches; longer ones go one by one
+_PLACES = 1 << 21  # places of words that are segmented together
 _CACHED = 400_000  # words whose scores a worker keeps at most; then it starts anew
 _PER_BATCH = 20_000  # words that are segmented together
 _SEGMENT = 1 << 20  # characters of a text that are cut into words at a time
 
 
 def words_of(text: str) -> list[str]:
-    """The words of a text in lower case: runs of letters, cut after `_LONGEST`."""
+    """The words of a text in lower case: runs of letters, of any length."""
     out: list[str] = []
     at = 0
     while at < len(text):
@@ -34,8 +36,6 @@ def words_of(text: str) -> list[str]:
         for word in _WORD.findall(text[at:end].lower()):  # numbers such as ² and ① are no letters
             out += [word] if word.isalpha() else "".join(c if c.isalpha() else " " for c in word).split()
         at = end
-    if out and max(map(len, out)) > _LONGEST:
-        out = [w[a : a + _LONGEST] for w in out for a in range(0, len(w), _LONGEST)]
     return out
 
 
@@ -47,13 +47,16 @@ def vocabulary(path: str) -> dict[str, int]:
 
 
 class Lattice:
-    """All segmentations of a batch of words into pieces; a letter that is no piece is the last id."""
+    """All segmentations of a batch of words into pieces; a letter that is no piece is the last id.
+
+    Sums are scaled at each position, so that words of any length have one.
+    """
 
     def __init__(self, words: list[str], ids: dict[str, int]) -> None:
         longest = max(map(len, ids), default=1)
         get, unknown = ids.get, len(ids)
-        arcs: list[list[list[int]]] = [[[], [], []] for _ in range(_LONGEST + 2)]  # by end
         self.n, self.length = len(words), np.array([len(w) + 1 for w in words])
+        arcs: list[list[list[int]]] = [[[], [], []] for _ in range(max(map(len, words), default=0) + 2)]  # by end
         for w, word in enumerate(words):
             marked = MARK + word
             for a in range(len(marked)):
@@ -70,41 +73,76 @@ class Lattice:
                     arcs[b][0].append(w), arcs[b][1].append(a), arcs[b][2].append(unknown)
         self.arcs = [tuple(np.array(x, np.int64) for x in end) for end in arcs]
 
-    def forward(self, p: np.ndarray) -> np.ndarray:
+    def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, words): sums over the segmentations up to each position, under piece
-        probabilities `p`."""
-        alpha = np.zeros((_LONGEST + 2, self.n))
+        probabilities `p`, divided by their scale, and the logarithm of the scale."""
+        alpha, scale = np.zeros((len(self.arcs), self.n)), np.zeros((len(self.arcs), self.n))
         alpha[0] = 1
-        for b, (w, a, piece) in enumerate(self.arcs):
+        for b, (w, a, piece) in enumerate(self.arcs[1:], 1):
+            scale[b] = scale[b - 1]
             if len(w):
-                alpha[b] = np.bincount(w, alpha[a, w] * p[piece], self.n)
-        return alpha
+                total = np.bincount(w, alpha[a, w] * np.exp(scale[a, w] - scale[b - 1, w]) * p[piece], self.n)
+                some = total > 0
+                alpha[b, some] = 1
+                scale[b, some] += np.log(total[some])
+        return alpha, scale
 
     def log_likelihood(self, log_p: np.ndarray) -> np.ndarray:
         """(words, languages): log of the sum over all segmentations."""
         out = np.empty((self.n, log_p.shape[1]))
         for k in range(log_p.shape[1]):
-            alpha = self.forward(np.exp(log_p[:, k]))
-            out[:, k] = np.log(np.maximum(alpha[self.length, np.arange(self.n)], 1e-300))
+            out[:, k] = self.forward(np.exp(log_p[:, k]))[1][self.length, np.arange(self.n)]
         return out
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The expected number of times each piece is used, words weighted by `counts`."""
-        alpha = self.forward(p)
-        beta = np.zeros_like(alpha)
+        alpha, scale = self.forward(p)
+        beta = np.zeros_like(alpha)  # of what follows, times the forward scale, by the whole sum
         beta[self.length, np.arange(self.n)] = 1
-        total = np.maximum(alpha[self.length, np.arange(self.n)], 1e-300)
         out = np.zeros(len(p))
         for b in range(len(self.arcs) - 1, -1, -1):
             w, a, piece = self.arcs[b]
             if len(w):
-                flow = p[piece] * beta[b, w]
+                flow = p[piece] * beta[b, w] * np.exp(scale[a, w] - scale[b, w])
                 # Several arcs of a word may end here, each from another place.
                 np.add.at(beta, (a, w), flow)
-                out += np.bincount(piece, alpha[a, w] * flow * counts[w] / total[w], len(p))
+                out += np.bincount(piece, alpha[a, w] * flow * counts[w], len(p))
         return out
 
 
+def lattices(words: list[str], ids: dict[str, int]) -> Iterator[tuple[np.ndarray, Lattice]]:
+    """Lattices of all words, words of about a length together, with the places of the words."""
+    order = np.argsort([len(w) for w in words], kind="stable")
+    start = 0
+    for i in range(1, len(order) + 1):
+        wide = len(words[order[min(i, len(order) - 1)]]) + 2
+        if i == len(order) or (i + 1 - start) * wide > _PLACES or i - start == _PER_BATCH:
+            at = order[start:i]
+            yield at, Lattice([words[j] for j in at], ids)
+            start = i
+
+
+def long_likelihood(word: str, ids: dict[str, int], log_p: np.ndarray) -> np.ndarray:
+    """`Lattice.log_likelihood` of one long word; only the last few positions are held."""
+    longest, unknown = max(map(len, ids), default=1), len(ids)
+    marked, none = MARK + word, np.full(log_p.shape[1], -np.inf)
+    recent: deque[np.ndarray] = deque([np.zeros(log_p.shape[1])], maxlen=longest + 1)  # logs, up to b - 1
+    for b in range(1, len(marked) + 1):
+        if b == 1:
+            recent.append(none)
+            continue
+        sums = []
+        single = b - 1 if b > 2 else 0  # the first letter comes with the mark
+        for a in range(max(0, b - longest), b):
+            piece = ids.get(marked[a:b]) if a != 1 else None
+            if piece is None and a == single:
+                piece = unknown
+            if piece is not None:
+                sums.append(recent[a - b] + log_p[piece])
+        recent.append(np.logaddexp.reduce(sums) if sums else none)
+    return recent[-1]
+
+
 class Scorer:
     """Scores of texts under the languages; scores of words are kept while they last."""
 
@@ -119,7 +157,12 @@ class Scorer:
             begin = len(self._known)
             while begin + len(part) > len(self._scores):
                 self._scores = np.concatenate([self._scores, np.empty_like(self._scores)])
-            self._scores[begin : begin + len(part)] = Lattice(part, self.ids).log_likelihood(self.log_p)
+            short = [w for w in part if len(w) <= _LONG]
+            part = short + [w for w in part if len(w) > _LONG]
+            for at, lattice in lattices(short, self.ids):
+                self._scores[begin + at] = lattice.log_likelihood(self.log_p)
+            for i in range(len(short), len(part)):
+                self._scores[begin + i] = long_likelihood(part[i], self.ids, self.log_p)
             self._known.update(zip(part, range(begin, begin + len(part))))
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -136,32 +179,63 @@ class Scorer:
         return out, np.array([len(ws) for ws in words])
 
 
+def smoothed(sums: np.ndarray, background: float) -> np.ndarray:
+    """Probabilities from counts (pieces + unknown letter, languages): relative frequencies, of which
+    the share `background` goes to their mean over the languages and, by as much of it, to all pieces
+    alike. A letter that is no piece says nothing: all languages give it the least probability."""
+    pieces = sums[:-1]
+    totals = pieces.sum(0)
+    own = np.where(totals > 0, pieces / np.where(totals > 0, totals, 1), 1 / len(pieces))
+    common = (1 - background) * own.mean(1, keepdims=True) + background / len(pieces)
+    p = (1 - background) * own + background * common
+    return np.concatenate([p, np.full((1, p.shape[1]), p.min())])
+
+
+def _sample(rows: DataFrame, per_language: int) -> DataFrame:
+    """The `per_language` rows (lang, text, pick) of each language of smallest `pick`.
+
+    Hashes are counted by their leading bits first: what is ranked is about as many narrow rows as are
+    wanted, however many a language has. The few that tie at the last hash are ranked with their texts.
+    """
+    leading = F.shiftright("pick", 48)
+    counted = rows.groupBy("lang", leading.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    ahead = Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = hold(
+        counted.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+        .filter(F.col("before") < per_language).groupBy("lang").agg(F.max("bin").alias("last_bin")),
+        "language-bins",
+    )
+    first = Window.partitionBy("lang").orderBy("pick")
+    near = rows.select("lang", "pick").join(bins, "lang").filter(leading <= F.col("last_bin")).drop("last_bin")
+    last = (
+        near.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
+        .groupBy("lang").agg(F.max("pick").alias("last"))
+    )
+    return (
+        rows.join(hold(last, "language-picks"), "lang").filter("pick <= last")
+        .withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
+    )
+
+
 def fit(
     labelled: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", path: str | None = None,
-    per_language: int = 1500, rounds: int = 3, smoothing: float = 0.5,
+    per_language: int = 1500, rounds: int = 3, background: float = 0.05,
 ) -> tuple[list[str], np.ndarray, str]:
     """Languages, log-probabilities (pieces + unknown letter, languages) and the vocabulary's path.
 
     Fitted on `per_language` labelled rows of each language, those of smallest hash of their id.
     Their words are counted by Spark; expectation maximisation runs over the counts in tasks, and
     only sums per language and piece reach the driver: the vocabulary's size times the languages.
-    Rows with a null language or text are left out.
+    Rows with a null language or text are left out. The share `background` of each language's
+    probabilities is that of all languages together, so a piece that a language has not shown is as
+    likely in it as in any other that has not.
     """
     path = path or public_tokenizers.path("piece_bpe_32k.model")
     ids = vocabulary(path)
-    first = Window.partitionBy("lang").orderBy("pick")
     rows = labelled.select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("pick")
     ).filter("lang is not null and text is not null")
-    # Hashes are ranked without texts; the few rows that tie at the last one are ranked with them.
-    last = (
-        rows.select("lang", "pick").withColumn("nth", F.row_number().over(first))
-        .filter(F.col("nth") <= per_language).groupBy("lang").agg(F.max("pick").alias("last"))
-    )
-    sample = (
-        rows.join(hold(last, "language-picks"), "lang").filter("pick <= last")
-        .withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
-    )
+    sample = _sample(rows, per_language)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,20 +267,18 @@ def fit(
                 words, n = batch.column(1).to_pylist(), batch.column(2).to_numpy()
                 for k in np.unique(of):
                     at = np.flatnonzero(of == k)
-                    sums[:, k] += Lattice([words[i] for i in at], ids).expected(shared[:, k], n[at])
+                    for own, lattice in lattices([words[i] for i in at], ids):
+                        sums[:, k] += lattice.expected(shared[:, k], n[at[own]])
             piece, k = np.nonzero(sums)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece), pa.array(k), pa.array(sums[piece, k])], names=["piece", "k", "n"]
             )
 
-        sums = np.full_like(log_p, smoothing)
+        sums = np.zeros_like(log_p)
         found = counted.mapInArrow(expect, "piece long, k long, n double").groupBy("piece", "k").agg(F.sum("n").alias("n"))
         for row in found.toPandas().itertuples(index=False):
             sums[row.piece, row.k] += row.n
-        # A letter that is no piece says little: all languages give it the same probability.
-        sums[-1] = smoothing
-        log_p = np.log(sums / sums.sum(0))
-    log_p[-1] = log_p.min()
+        log_p = np.log(smoothed(sums, background))
     return langs, log_p, path
 
 

@@ -80,3 +80,87 @@ def test_numbers_are_no_letters(spark):
     df = spark.createDataFrame([(1, "² ①", "en", "x"), (2, "the", "en", "x")], SCHEMA)
     got = {r.doc_id: r.lang_pred for r in language.predict(df, language.fit(df)).collect()}
     assert got == {1: "und", 2: "en"}
+
+
+def test_long_words_are_summed_whole(monkeypatch):
+    ids = {p: i for i, p in enumerate(["▁a", "▁ab", "a", "b", "ab", "ba", "▁b", "bab"])}
+    log_p = np.log(np.random.default_rng(3).dirichlet(np.ones(len(ids) + 1), 3).T)
+    words = ["a", "ab", "xab", "axb", "b" * 30, "abxba" * 40, "ba" * 3000]
+    whole = language.Lattice(words, ids).log_likelihood(log_p)
+    for word, expected in zip(words, whole):
+        assert language.long_likelihood(word, ids, log_p) == pytest.approx(expected)
+    assert np.isfinite(whole).all() and (np.diff(whole[-1]) != 0).any()
+    monkeypatch.setattr(language, "_PLACES", 100)
+    again = np.empty_like(whole)
+    for at, lattice in language.lattices(words, ids):
+        again[at] = lattice.log_likelihood(log_p)
+    assert again == pytest.approx(whole)
+    counts = language.Lattice(["ab" * 2000], ids).expected(np.exp(log_p[:, 0]), np.ones(1))
+    assert sum(len(p.strip("▁")) * counts[i] for p, i in ids.items()) + counts[-1] == pytest.approx(4000)
+    assert language.words_of("x" * 100 + " y") == ["x" * 100, "y"]
+
+
+def plain_probabilities(word, ids, p):
+    """The sum over all segmentations of a word, and how often each piece is used in it."""
+    total, used = 0.0, np.zeros(len(p))
+    for cuts in itertools.product([0, 1], repeat=len(word) - 1):
+        parts, at = [], 0
+        for i, c in enumerate((*cuts, 1)):
+            if c:
+                parts.append(("▁" if at == 0 else "") + word[at : i + 1])
+                at = i + 1
+        ps = [ids.get(x, len(ids) if len(x.lstrip("▁")) == 1 else None) for x in parts]
+        if None not in ps:
+            weight = math.prod(p[i] for i in ps)
+            total += weight
+            for i in ps:
+                used[i] += weight
+    return total, used
+
+
+def test_fit_and_predict_equal_brute_force(spark, monkeypatch):
+    ids = {p: i for i, p in enumerate(["▁a", "▁ab", "a", "b", "ab", "ba", "▁b", "c", "▁c"])}
+    monkeypatch.setattr(language, "vocabulary", lambda path: ids)
+    texts = {"x": ["ab abba ca", "aab ab"], "y": ["bb cbc b", "cab bz", "c c c"], "z": ["abc"]}
+    rows = [(i, t, lang, "s") for i, (lang, t) in enumerate((lang, t) for lang, ts in texts.items() for t in ts)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    langs, log_p, path = language.fit(df, rounds=2, background=0.1)
+    p = np.full((len(ids) + 1, 3), 1 / (len(ids) + 1))
+    for _ in range(2):
+        counts = np.zeros_like(p)
+        for k, lang in enumerate(sorted(texts)):
+            for word in " ".join(texts[lang]).split():
+                total, used = plain_probabilities(word, ids, p[:, k])
+                counts[:, k] += used / total
+        own = counts[:-1] / counts[:-1].sum(0)
+        common = 0.9 * own.mean(1, keepdims=True) + 0.1 / len(ids)
+        q = 0.9 * own + 0.1 * common
+        p = np.vstack([q, np.full((1, 3), q.min())])
+    assert langs == ["x", "y", "z"] and np.exp(log_p) == pytest.approx(p)
+    asked = ["ab", "cb b", "zz", "abab ca", "q", ""]
+    docs = spark.createDataFrame([(i, t, None, "s") for i, t in enumerate(asked)], SCHEMA)
+    language._SCORERS.clear()
+    scorer = language.Scorer(log_p, ids)
+    got, n = scorer.score(asked)
+    for i, t in enumerate(asked):
+        want = sum((np.log([plain_probabilities(w, ids, p[:, k])[0] for k in range(3)]) for w in t.split()), np.zeros(3))
+        assert got[i] == pytest.approx(want)
+    assert docs.count() == len(asked)
+
+
+def test_unknown_scripts_are_nobodys(spark):
+    rng = random.Random(5)
+    make = lambda parts, n: " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(n))
+    rows = [(i, make(["the", "ing"], 80), "en", "x") for i in range(30)] + [(100 + i, make(["eau", "que"], 5), "fr", "x") for i in range(6)]
+    df = spark.createDataFrame(rows + [(200, "字" * 400, None, "x"), (201, "жизнь", None, "x")], SCHEMA)
+    got = {r.doc_id: r.score for r in language.predict(df, language.fit(df)).filter("doc_id >= 200").collect()}
+    assert got[200] == pytest.approx(0.5, abs=0.2) and got[201] == pytest.approx(0.5, abs=0.3)
+
+
+def test_the_sample_is_exact(spark):
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 10 = 0 THEN 'b' ELSE 'a' END AS lang", "cast(id as string) AS text", "xxhash64(id) AS pick")
+    for n in (1, 40, 5000):
+        got = {(r.lang, r.pick) for r in language._sample(rows, n).collect()}
+        every = sorted((r.lang, r.pick) for r in rows.collect())
+        want = {x for lang in "ab" for x in [e for e in every if e[0] == lang][:n]}
+        assert got == want
