@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from strataset.functions.names import unused
 from strataset.session import hold
 
 
@@ -44,15 +45,17 @@ def dedup_records(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
     Keys are compared by value, strings and binary ones by their hash, so long texts are not sorted
     as keys. The filter is of the form Spark turns into a limit per group ahead of the shuffle, so
-    a group of very many copies shrinks to one row per partition before it is moved.
+    a group of very many copies shrinks to one row per partition before it is moved. All columns of
+    the frame are kept, whatever their names.
     """
-    names = {f"_key{i}": _comparable(k, df.schema[k].dataType) for i, k in enumerate(keys)}
+    *own, rank = unused(df.columns, *[f"_key{i}" for i in range(len(keys))], "_rank")
+    names = {n: _comparable(k, df.schema[k].dataType) for n, k in zip(own, keys)}
     first = Window.partitionBy(*names).orderBy(*[F.col(f"`{c}`") for c in order])
     return (
         df.withColumns(names)
-        .withColumn("_rank", F.row_number().over(first))
-        .filter(F.col("_rank") == 1)
-        .drop(*names, "_rank")
+        .withColumn(rank, F.row_number().over(first))
+        .filter(F.col(rank) == 1)
+        .drop(*names, rank)
     )
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from strataset.functions.names import unused
 from strataset.functions.numbering import dense_position
 from strataset.functions.text import repo_key
 from strataset.operators.semantic import line_count
@@ -243,8 +244,10 @@ def ecosystem_enrich(
     which adaptive execution splits as a skewed join. Packages without a repository at the host
     have nothing to look up there and take no part in that join.
     """
-    keyed = pkgs.withColumn("_key", repo_key(F.col("repository"), host)).select(
-        *pkgs.columns, F.col("_key.owner").alias("owner"), F.col("_key.repo").alias("repo")
+    key, *_ = unused(pkgs.columns, "_key")
+    kept = [c for c in pkgs.columns if c not in ("owner", "repo")]
+    keyed = pkgs.withColumn(key, repo_key(F.col("repository"), host)).select(
+        *kept, F.col(key).getField("owner").alias("owner"), F.col(key).getField("repo").alias("repo")
     )
     downloads = registry.select("name", F.col("downloads").alias("download_count"))
     facts = repos.select(

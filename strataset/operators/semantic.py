@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from strataset.functions.names import unused
 from strataset.functions.numbering import dense_position, running_totals
 from strataset.functions.text import (
     classify_element,
@@ -48,33 +49,35 @@ def line_count(content: Column) -> Column:
 def explode_lines(
     files: DataFrame, path: str = "file_path", content: str = "content", context: bool = False
 ) -> DataFrame:
-    """Files to (file_path, line_no, line); other columns are kept.
+    """Files to (file_path, line_no, line); other columns are kept, those of the names that are made
+    are replaced.
 
     With `context`, context_before and context_after are the neighbouring raw lines, looked up in
     the file's own array, which spares the shuffle a window would need.
     """
-    rest = ["file_path", *[c for c in files.columns if c not in (path, content)]]
-    arrays = files.withColumnRenamed(path, "file_path").select(
-        *rest, line_array(F.col(content)).alias("_split")
-    )
-    lines = F.slice(
-        "_split", F.lit(1), F.size("_split") - (F.element_at("_split", -1) == "").cast("int")
+    made = {"file_path", "line_no", "line", *(("context_before", "context_after") if context else ())}
+    kept = [c for c in files.columns if c not in {path, content, *made}]
+    rest = [F.col("file_path"), *[F.col(f"`{c}`") for c in kept]]
+    split, raw, at = unused([*files.columns, *made], "_split", "_lines", "_pos")
+    arrays = files.select(
+        F.col(f"`{path}`").alias("file_path"), *rest[1:], line_array(F.col(f"`{content}`")).alias(split)
     )
+    lines = F.slice(split, F.lit(1), F.size(split) - (F.element_at(split, -1) == "").cast("int"))
     # The generators get an expression, not a column: from a column the optimizer infers a filter
     # on its size, which it pushes below the split, so that every text would be split again.
     if not context:
-        exploded = arrays.select(*rest, F.posexplode(lines).alias("_pos", "line"))
-        return exploded.select(*rest, (F.col("_pos") + 1).cast("long").alias("line_no"), "line")
+        exploded = arrays.select(*rest, F.posexplode(lines).alias(at, "line"))
+        return exploded.select(*rest, (F.col(at) + 1).cast("long").alias("line_no"), "line")
     rows = F.transform(
-        "_lines",
+        raw,
         lambda line, i: F.struct(
             (i + 1).cast("long").alias("line_no"),
             line.alias("line"),
-            F.get("_lines", i - 1).alias("context_before"),
-            F.get("_lines", i + 1).alias("context_after"),
+            F.get(raw, i - 1).alias("context_before"),
+            F.get(raw, i + 1).alias("context_after"),
         ),
     )
-    return arrays.select(*rest, lines.alias("_lines")).select(*rest, F.inline(rows))
+    return arrays.select(*rest, lines.alias(raw)).select(*rest, F.inline(rows))
 
 
 def line_context(lines: DataFrame, block: int = 50_000) -> DataFrame:
@@ -82,25 +85,28 @@ def line_context(lines: DataFrame, block: int = 50_000) -> DataFrame:
 
     A file is cut into blocks of `block` lines, so that a huge file is not one window group; the
     line on either side of a block joins it as a rim row, which is dropped after the lookup.
-    line_no must run from 1 without gaps.
+    line_no must run from 1 without gaps. Other columns are kept, those of the names that are made are
+    replaced.
     """
+    block_no, rim = unused(lines.columns, "_block", "_rim")
+    lines = lines.drop("context_before", "context_after")
     n = F.col("line_no")
     own = F.floor((n - 1) / block)
     places = F.array_compact(F.array(
-        F.struct(own.alias("_block"), F.lit(False).alias("_rim")),
+        F.struct(own.alias(block_no), F.lit(False).alias(rim)),
         F.when(
             (n > 1) & ((n - 1) % block == 0),
-            F.struct((own - 1).alias("_block"), F.lit(True).alias("_rim")),
+            F.struct((own - 1).alias(block_no), F.lit(True).alias(rim)),
         ),
-        F.when(n % block == 0, F.struct((own + 1).alias("_block"), F.lit(True).alias("_rim"))),
+        F.when(n % block == 0, F.struct((own + 1).alias(block_no), F.lit(True).alias(rim))),
     ))
-    near = Window.partitionBy("file_path", "_block").orderBy("line_no")
+    near = Window.partitionBy("file_path", block_no).orderBy("line_no")
     return (
         lines.select("*", F.inline(places))
         .withColumn("context_before", F.lag("line").over(near))
         .withColumn("context_after", F.lead("line").over(near))
-        .filter(~F.col("_rim"))
-        .drop("_block", "_rim")
+        .filter(~F.col(rim))
+        .drop(block_no, rim)
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from strataset.functions.names import unused
 from strataset.schemas import TERM_RECORD, TERM_SPLITS
 
 # Documented feature types of a term group.
@@ -86,15 +87,16 @@ def sample_per_group(
     # Any assignment of rows to bundles gives the same result; by input partition each of them
     # sends at most k rows of a group.
     salt = F.pmod(F.spark_partition_id(), F.lit(salts))
-    sliced = Window.partitionBy("character_group", "_salt").orderBy("id")
+    bundle, rank = unused(terms.columns, "_salt", "_rank")
+    sliced = Window.partitionBy("character_group", bundle).orderBy("id")
     whole = Window.partitionBy("character_group").orderBy("id")
     return (
-        terms.withColumn("_salt", salt)
-        .withColumn("_rank", F.row_number().over(sliced))
-        .filter(F.col("_rank") <= k)
-        .withColumn("_rank", F.row_number().over(whole))
-        .filter(F.col("_rank") <= k)
-        .drop("_salt", "_rank")
+        terms.withColumn(bundle, salt)
+        .withColumn(rank, F.row_number().over(sliced))
+        .filter(F.col(rank) <= k)
+        .withColumn(rank, F.row_number().over(whole))
+        .filter(F.col(rank) <= k)
+        .drop(bundle, rank)
     )
 
 

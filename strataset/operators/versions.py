@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strataset.functions.asof import fill_forward
+from strataset.functions.names import unused
 
 _NUMBER = r"(0|[1-9][0-9]*)"
 _IDENTIFIERS = r"[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)*"
@@ -103,12 +104,13 @@ def resolve_versions(
     `1.*` and `*`. Pre-releases are allowed where a comparator names a pre-release of the same three
     numbers. Build metadata does not count, of versions that differ in it the last one by name is
     taken. What is no version is not found, what is no requirement finds nothing; null names find
-    nothing.
+    nothing. Other columns are kept, one named resolved_version is replaced.
 
     Each different (name, requirement) becomes an interval and asks for the greatest version below its
     upper end, which one sort over versions and questions together answers: a range join without pairs.
     A name of very many versions or requirements is cut into ranges.
     """
+    of_name, of_req = unused(decl.columns, "_name", "_req")
     asked = decl.select(F.col(name).alias("name"), F.col(requirement).alias("req")).filter(
         "name IS NOT NULL AND req IS NOT NULL"
     ).distinct()
@@ -141,9 +143,11 @@ def resolve_versions(
     allowed = (found > low["key"]) | ((found == low["key"]) & ~low["above"])
     resolved = (
         filled.filter(F.col("span").isNotNull() & F.col("fact").isNotNull() & allowed)
-        .groupBy(F.col("name").alias("_name"), F.col("span.req").alias("_req"))
+        .groupBy(F.col("name").alias(of_name), F.col("span.req").alias(of_req))
         .agg(F.max("fact").getField("version").alias("resolved_version"))
     )
-    same = (decl[name] == F.col("_name")) & (decl[requirement] == F.col("_req"))
-    kept = [decl[c] for c in decl.columns if c != "resolved_version"]
-    return decl.join(resolved, same, "left").select(*kept, "resolved_version")
+    kept = [c for c in decl.columns if c != "resolved_version"]
+    same = (F.col(f"`{name}`") == F.col(of_name)) & (F.col(f"`{requirement}`") == F.col(of_req))
+    return decl.select(*[F.col(f"`{c}`") for c in kept]).join(resolved, same, "left").select(
+        *[F.col(f"`{c}`") for c in kept], "resolved_version"
+    )
