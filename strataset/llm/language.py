@@ -90,8 +90,19 @@ class Lattice:
     def log_likelihood(self, log_p: np.ndarray) -> np.ndarray:
         """(words, languages): log of the sum over all segmentations."""
         out = np.empty((self.n, log_p.shape[1]))
+        last = self.length, np.arange(self.n)
         for k in range(log_p.shape[1]):
-            out[:, k] = self.forward(np.exp(log_p[:, k]))[1][self.length, np.arange(self.n)]
+            p = np.exp(log_p[:, k])
+            sums = np.zeros((len(self.arcs), self.n))  # without a scale, which few words need
+            sums[0] = 1
+            for b, (w, a, piece) in enumerate(self.arcs[1:], 1):
+                if len(w):
+                    sums[b] = np.bincount(w, sums[a, w] * p[piece], self.n)
+            whole = sums[last]
+            small = whole < 1e-280
+            out[:, k] = np.log(np.where(small, 1, whole))
+            if small.any():
+                out[small, k] = self.forward(p)[1][last][small]
         return out
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
