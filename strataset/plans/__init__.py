@@ -8,6 +8,7 @@ from strataset.plans.registry import ORACLES, QUERIES, Query
 def _load() -> None:
     from strataset.plans import (  # noqa: F401
         explore_queries,
+        index_queries,
         project_queries,
         semantic_queries,
         storage_queries,

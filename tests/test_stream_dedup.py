@@ -1,0 +1,99 @@
+"""First records of a stream equal those of all its rows, over batches, stops and restarts."""
+
+import random
+
+import pytest
+
+from strataset.functions.keys import digest_of, order_of
+from strataset.operators.maintenance import dedup_records
+from strataset.streaming.dedup import current_records, dedup_stream, start_dedup
+
+SCHEMA = "k string, n long, big long, d double, at timestamp, revision string, m map<string,int>"
+
+
+def events(spark, rows, seed):
+    rng = random.Random(seed)
+    made = [
+        (rng.choice([None, "", "a", "null", "hot", "hot", "hot"]), rng.choice([None, 1, 2]), (1 << 53) + 1 + i + seed * rows,
+         rng.choice([None, 0.0, float(i)]), None, f"r{i}", rng.choice([None, {"x": 1, "y": None}]))
+        for i in range(rows)
+    ]
+    rng.shuffle(made)
+    return spark.createDataFrame(made, SCHEMA)
+
+
+def run(spark, tmp_path, files=2):
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", files).parquet(str(tmp_path / "in"))
+    return start_dedup(stream, ["k", "n"], ["n", "big"], str(tmp_path / "log"), str(tmp_path / "checkpoint"))
+
+
+def test_stopped_and_restarted_equals_batch(spark, tmp_path, rows):
+    for seed in (3, 2):  # the later file holds smaller numbers, which replace records
+        events(spark, 200, seed).repartition(3).write.mode("append").parquet(str(tmp_path / "in"))
+    first = run(spark, tmp_path, 1)
+    while first.isActive and first.lastProgress is None:
+        first.awaitTermination(0.2)
+    first.stop()  # with files left, or in the middle of a batch
+    events(spark, 200, 1).repartition(3).write.mode("append").parquet(str(tmp_path / "in"))
+    for _ in range(2):  # the second of these finds nothing new
+        run(spark, tmp_path).awaitTermination()
+    log = spark.read.parquet(str(tmp_path / "log"))
+    whole = spark.read.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    found = current_records(log)
+    assert found.columns == whole.columns
+    assert rows(found) == rows(dedup_records(whole, ["k", "n"], ["n", "big"]))
+    assert log.groupBy(*log.columns[-2:]).count().filter("count > 1").isEmpty()
+    assert log.filter(f"{log.columns[-1]} > 1").count() > 0
+
+
+def test_empty_stream(spark, tmp_path):
+    events(spark, 0, 1).write.parquet(str(tmp_path / "in"))
+    run(spark, tmp_path).awaitTermination()
+    log = spark.read.schema(f"{SCHEMA}, record_key string, revision_ long").parquet(str(tmp_path / "log"))
+    assert current_records(log).count() == 0
+
+
+def test_rows_are_thinned_before_the_shuffle(spark, tmp_path):
+    from strataset.streaming.dedup import _first_of_each
+
+    hot = spark.range(0, 20_000, 1, 2).selectExpr("id", "'k' AS key", "lpad(cast(20000 - id as string), 9, '0') AS place")
+    kept = hot.mapInArrow(_first_of_each, hot.schema).collect()
+    assert len(kept) <= 4 and min(kept, key=lambda r: r.place).id == 19_999
+
+
+def test_order_is_that_of_the_values(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1L, 'a', DATE'1960-01-02', TIMESTAMP'1960-01-01 00:00:00.000001', TIMESTAMP_NTZ'1960-01-01 10:00:00', X'00'),"
+        " (-1L, 'ab', DATE'2024-01-01', TIMESTAMP'2024-01-01 00:00:00', TIMESTAMP_NTZ'1960-01-01 09:59:59.999999', X''),"
+        " (9223372036854775807L, '', DATE'0001-01-01', TIMESTAMP'1969-12-31 23:59:59.999999', TIMESTAMP_NTZ'2400-01-01 00:00:00', X'ff00'),"
+        " (-9223372036854775808L, 'é', null, null, TIMESTAMP_NTZ'1970-01-01 00:00:00.1', X'ff'),"
+        " (0L, 'z', DATE'1970-01-01', TIMESTAMP'1970-01-01 00:00:00', null, null),"
+        " (null, null, DATE'1969-12-31', TIMESTAMP'1960-01-01 00:00:00', TIMESTAMP_NTZ'1970-01-01 00:00:00.01', X'7f') AS t(n, s, d, t, z, b)"
+    )
+    for c in df.columns:
+        plain = [r[0] for r in df.orderBy(c).select(c).collect()]
+        assert [r[0] for r in df.orderBy(order_of(df, [c])).select(c).collect()] == plain, c
+    both = [tuple(r) for r in df.selectExpr("n % 2 AS p", "s").orderBy("p", "s").collect()]
+    pair = df.selectExpr("n % 2 AS p", "s")
+    assert [tuple(r) for r in pair.orderBy(order_of(pair, ["p", "s"])).collect()] == both
+    with pytest.raises(TypeError):
+        order_of(spark.sql("SELECT 1.5D AS x"), ["x"])
+
+
+def test_digests_tell_values_apart(spark):
+    def classes(df):
+        return df.select(digest_of(df, df.columns)).distinct().count()
+
+    assert classes(spark.sql("SELECT * FROM VALUES ('a', 'b'), ('a,b', ''), (null, 'b'), ('null', 'b') AS t(x, y)")) == 4
+    assert classes(spark.sql("SELECT * FROM VALUES (array('a', 'b')), (array('a,b')), (array()), (null), (array(null)) AS t(x)")) == 5
+    assert classes(spark.sql("SELECT * FROM VALUES (0.0D), (-0.0D), (double('nan')), (0.1D) AS t(x)")) == 3
+    assert classes(spark.sql("SELECT * FROM VALUES (map('a', 1, 'b', 2)), (map('b', 2, 'a', 1)), (map('a', 2, 'b', 1)) AS t(x)")) == 2
+    assert classes(spark.sql("SELECT from_json(j, 'a int, b int') AS x FROM VALUES ('{\"a\":1}'), ('{\"b\":1}'), (null) AS t(j)")) == 3
+
+
+def test_columns_of_the_log(spark, tmp_path):
+    events(spark, 3, 1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    out = dedup_stream(stream, ["k"], ["big"])
+    assert out.columns == [*stream.columns, "record_key", "revision_"]
+    assert out.schema.fields[:-2] == stream.schema.fields
