@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from strataset.operators import substrings
+from strataset.operators import skipping, substrings
 from strataset.plans.registry import query, table
 from strataset.session import scratch_path
 from strataset.streaming import dedup
@@ -36,6 +36,27 @@ def search_substrings(spark, sf_dir):
     return reduce(DataFrame.unionByName, map(found, NEEDLES))
 
 
+@query("read_where", """
+    SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1995-03-01' AND o_orderdate < TIMESTAMP '1995-06-01'
+    UNION ALL
+    SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_custkey = 7""")
+def read_where(spark, sf_dir):
+    """Orders of three months, and those of a customer: bounds serve the first, Bloom filters the second."""
+    orders = table(spark, sf_dir, "orders")
+    data, bounds, blooms = (scratch_path(spark, n) for n in ("orders", "bounds", "blooms"))
+    orders.repartitionByRange("o_orderdate").write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(data)
+    skipping.write_bounds(spark, data, orders.schema, ["o_orderdate", "o_custkey"], bounds)
+    skipping.write_blooms(spark, data, orders.schema, ["o_custkey"], blooms)
+
+    def rows(*conditions: skipping.Condition) -> DataFrame:
+        found = skipping.read_where(spark, data, orders.schema, conditions, bounds, blooms)
+        return found.select("o_orderkey", "o_custkey", "o_orderdate")
+
+    season = rows(("o_orderdate", ">=", "1995-03-01"), ("o_orderdate", "<", "1995-06-01"))
+    return season.unionByName(rows(("o_custkey", "=", 7)))
+
+
 @query("stream_dedup_records", """
     SELECT * FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id, event_type
