@@ -1,4 +1,4 @@
-"""Queries for indexes over stored datasets and for the deduplicated stream.
+"""Queries for indexes over stored datasets, packed files and the deduplicated stream.
 
 A dataset is written to a new folder below the shared one, in several files, and read from there.
 """
@@ -10,12 +10,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from strataset.operators import skipping, substrings
+from strataset.plans import semantic_queries as sem, views
 from strataset.plans.registry import query, table
 from strataset.session import scratch_path
+from strataset.sinks.compact import write_packed_parquet as write_packed
+from strataset.sources.files import read_footer_stats
 from strataset.streaming import dedup
 
 NEEDLES = ("tion", "MORE than", "100%", "é", "no such passage anywhere")
-ROWS_PER_FILE = 500
+ROWS_PER_FILE, PACKED_MB = 500, 0.25
 
 
 @query("search_substrings", f"""
@@ -57,6 +60,23 @@ def read_where(spark, sf_dir):
     return season.unionByName(rows(("o_custkey", "=", 7)))
 
 
+@query("write_packed_parquet", f"""
+    WITH {views.CORPUS_LINES}, {sem._PHASED}
+    SELECT phase, count(*) AS records, count(DISTINCT file_path) AS files, true AS within_limit
+    FROM phased GROUP BY phase""")
+def write_packed_parquet(spark, sf_dir):
+    """Records by phase in files of at most a quarter of a megabyte after encoding."""
+    path = scratch_path(spark, "packed")
+    write_packed(sem.records(spark, sf_dir), path, max_mb=PACKED_MB)
+    sizes = read_footer_stats(spark, path, ["phase"]).groupBy("phase").agg(
+        (F.max("file_size_bytes") <= PACKED_MB * 1024 * 1024).alias("within_limit")
+    )
+    rows = spark.read.parquet(path).groupBy("phase").agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("file_path").alias("files")
+    )
+    return rows.join(sizes, "phase")
+
+
 @query("stream_dedup_records", """
     SELECT * FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id, event_type
