@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,18 +17,42 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 1 << 16  # rows of a file that share a posting list
 MOST_GRAMS = 32  # of a needle that are looked up; what is found is verified, so fewer lose nothing
+_HELD = 1 << 20  # places a task holds before it hands them on
 _INDEX = "gram string, file string, block long, deltas array<int>"
 
 
-def _grams(text: Column) -> Column:
-    """The distinct trigrams of a text in lower case; none where it is null or shorter."""
-    letters = F.split(F.lower(text), "")
-    whole = F.greatest(F.size(letters), F.lit(0))
-    three = F.arrays_zip(
-        letters.alias("a"), F.slice(letters, F.lit(2), whole).alias("b"), F.slice(letters, F.lit(3), whole).alias("c")
-    )
-    # the two last ones are not complete and so null
-    return F.array_distinct(F.array_compact(F.transform(three, lambda t: F.concat(t["a"], t["b"], t["c"]))))
+def _grams(text: str) -> set[str]:
+    """The trigrams of a text; none where it is shorter."""
+    return {text[i:i + 3] for i in range(len(text) - 2)}
+
+
+def _bytes(text: Column) -> Column:
+    """A text in lower case, as Spark has it for all texts and needles."""
+    return F.lower(text).cast("binary")
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each trigram, file and block, as far as a task has them; bytes that are no UTF-8 are replaced,
+    which leaves the letters around them as they are."""
+    found, held = defaultdict(list), 0
+
+    def out() -> pa.RecordBatch:
+        keys, rows = list(zip(*found)), list(found.values())
+        made = [pa.array(k, t) for k, t in zip(keys, (pa.string(), pa.int64(), pa.string()))]
+        return pa.RecordBatch.from_arrays([*made, pa.array(rows, pa.list_(pa.int32()))], ["file", "block", "gram", "rows"])
+
+    for batch in batches:
+        for file, at, text in zip(*(batch[c].to_pylist() for c in ("file", "at", "text"))):
+            block, row = divmod(at, BLOCK)
+            for gram in _grams(text.decode("utf-8", "replace")):
+                found[file, block, gram].append(row)
+                held += 1
+            if held >= _HELD:
+                yield out()
+                found.clear()
+                held = 0
+    if found:
+        yield out()
 
 
 def write_index(spark: SparkSession, dataset: str, schema: T.StructType, column: str, index: str) -> None:
@@ -37,14 +62,13 @@ def write_index(spark: SparkSession, dataset: str, schema: T.StructType, column:
     is a list of rows, sorted and stored as differences, so the lists of a common trigram are as long as a
     block at most. A task has whole stretches of a file and shortens them to lists before it shuffles.
     """
-    at = F.col("_metadata.row_index")
+    at = F.col("_metadata")
     rows = spark.read.schema(schema).parquet(dataset).select(
-        F.col("_metadata.file_path").alias("file"), at.alias("at"), _grams(F.col(f"`{column}`")).alias("grams")
-    )
+        at["file_path"].alias("file"), at["row_index"].alias("at"), _bytes(F.col(f"`{column}`")).alias("text")
+    ).filter(F.octet_length("text") >= 3)
     lists = (
-        rows.select("file", "at", F.explode("grams").alias("gram"))
-        .groupBy("gram", "file", F.floor(F.col("at") / BLOCK).alias("block"))
-        .agg(F.sort_array(F.collect_list((F.col("at") % BLOCK).cast("int"))).alias("rows"))
+        rows.mapInArrow(_lists, "file string, block long, gram string, rows array<int>")
+        .groupBy("gram", "file", "block").agg(F.sort_array(F.flatten(F.collect_list("rows"))).alias("rows"))
     )
     before = F.concat(F.array(F.lit(0)), F.slice("rows", F.lit(1), F.size("rows") - 1))
     packed = lists.withColumn("deltas", F.zip_with("rows", before, lambda a, b: a - b)).drop("rows")
@@ -70,8 +94,9 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def needle_grams(spark: SparkSession, needle: str) -> list[str]:
-    """The trigrams of a needle that are looked up, spread over its whole length."""
-    found = spark.range(1).select(_grams(F.lit(needle))).first()[0] or []
+    """The trigrams of a needle that are looked up, spread over all it has."""
+    text = spark.range(1).select(_bytes(F.lit(needle))).first()[0]
+    found = sorted(_grams(bytes(text).decode("utf-8", "replace")))
     return [found[i * len(found) // MOST_GRAMS] for i in range(MOST_GRAMS)] if len(found) > MOST_GRAMS else found
 
 

@@ -37,9 +37,16 @@ def test_same_rows_as_a_scan(spark, stored, rows, needle):
 
 
 def test_grams(spark):
-    df = spark.createDataFrame([(None,), ("ab",), ("aBc",), ("abcabcd",), ("a😀é",)], "s string")
-    found = [r[0] and sorted(r[0]) for r in df.select(substrings._grams(F.col("s"))).collect()]
-    assert [f or [] for f in found] == [[], [], ["abc"], ["abc", "bca", "bcd", "cab"], ["a😀é"]]
+    assert [sorted(substrings._grams(t)) for t in ("", "ab", "abc", "abcabcd", "a😀é")] == [
+        [], [], ["abc"], ["abc", "bca", "bcd", "cab"], ["a😀é"]]
+    assert substrings.needle_grams(spark, "ABcd") == ["abc", "bcd"]
+
+
+def test_parts_of_lists_meet(spark, stored, monkeypatch, tmp_path, rows):
+    base, df = stored
+    monkeypatch.setattr(substrings, "_HELD", 50)
+    substrings.write_index(spark, f"{base}/data", df.schema, "a.text", str(tmp_path / "index"))
+    assert rows(substrings.read_index(spark, str(tmp_path / "index"))) == rows(substrings.read_index(spark, f"{base}/index"))
 
 
 def test_random_needles(spark, stored, rows):
