@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(app: str = "strataset", master: str | None = None, **conf: str) -> SparkSession:
@@ -28,6 +28,19 @@ def build_session(app: str = "strataset", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@contextmanager
+def open_together(spark: SparkSession, folders: int = 16) -> Iterator[None]:
+    """Tasks of the block write to up to so many folders at once; only with more of them a task sorts its
+    rows by folder, for which it would hold as many as there is memory for."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, folders)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """A path as a URI of the file system it lives on; without a scheme that is Spark's default."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -45,6 +58,19 @@ def any_path(spark: SparkSession, pattern: str) -> bool:
     return bool(store.globStatus(path))
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths a pattern stands for, as URIs; for few of them."""
+    store, path = _file_system(spark, pattern)
+    return [f.getPath().toString() for f in store.globStatus(path) or ()]
+
+
+def delete(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete files."""
+    for name in paths:
+        store, path = _file_system(spark, name)
+        store.delete(path, False)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir, or one in the warehouse, which
     executors share too, where that is unset."""
@@ -84,6 +110,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """`df`, narrow, in as many tasks as it has `rows` rows.
+
+    A scan is cut by bytes, which do not show how much is made of a row: where a whole file comes from a
+    few numbers, one split would make all of them. Equal rows stay together.
+    """
+    tasks = -(-df.count() // rows)
+    return df if tasks <= 1 else df.repartition(tasks, *[F.col(f"`{c}`") for c in df.columns])
+
+
 def hold(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
