@@ -16,9 +16,13 @@ from strataset.session import scratch_path
 from strataset.sinks.compact import write_packed_parquet as write_packed
 from strataset.sources.files import read_footer_stats
 from strataset.streaming import dedup
+from strataset.streaming.batches import batch_files
 
 NEEDLES = ("tion", "MORE than", "100%", "é", "no such passage anywhere")
 ROWS_PER_FILE, PACKED_MB = 500, 0.25
+# Files of a batch of the stream at least, and batches that all its files would take at most: each batch loads
+# and stores the state of its keys.
+FILES_PER_BATCH, BATCHES = 4, 4
 
 
 @query("search_substrings", f"""
@@ -90,7 +94,8 @@ def stream_dedup_records(spark, sf_dir):
     late = F.coalesce(F.col("event_id") > middle, F.lit(False))
     for part in (events.filter(late), events.filter(~late)):
         part.write.mode("append").option("maxRecordsPerFile", 20_000).parquet(data)
-        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(data)
+        files = batch_files(spark, data, FILES_PER_BATCH, BATCHES)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(data)
         dedup.start_dedup(
             stream, ["user_id", "event_type"], ["ts", "event_id"], log, f"{log}-checkpoint"
         ).awaitTermination()

@@ -7,9 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from strataset.session import any_path
+from strataset.sources.storage import list_files
+
+# Batches that what is stored is read in, about.
+BATCHES = 24
+
 Sink = Callable[[DataFrame, int], None]
 
 
+def batch_files(spark: SparkSession, path: str, least: int, batches: int = BATCHES) -> int:
+    """How many files a batch takes: `least`, or what it takes to read a folder in about `batches` of them.
+
+    Each batch has a cost of its own, whatever its size, and its files are read by all tasks there are; a
+    fixed number of files would make more batches of more data.
+    """
+    files = f"{path.rstrip('/')}/*.parquet"
+    stored = list_files(spark, files).count() if any_path(spark, files) else 0
+    return max(least, -(-stored // batches))
+
+
 def stream_phase_batches(
     spark: SparkSession, path: str, schema: T.StructType, files: int, checkpoint: str,
     sink: Sink | str, transform: Callable[[DataFrame], DataFrame] = lambda df: df,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -16,6 +17,7 @@ from strataset.functions.names import unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+_BUCKETS = 4096  # groups of keys whose state is kept together
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -34,24 +36,30 @@ def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class _Firsts(StatefulProcessor):
-    """Per key the order of the best record so far and how many records have been the best."""
+    """Per bucket of keys, for each key the order of the best record so far and how many records have been
+    the best, as JSON: a bucket is fetched and stored once a batch, not each of its keys."""
 
-    def __init__(self, order: str, columns: Sequence[str], made: Sequence[str]):
-        self._order, self._columns, self._row = order, list(columns), Row(*columns, *made)
+    def __init__(self, key: str, order: str, columns: Sequence[str], made: Sequence[str]):
+        self._key, self._order, self._columns, self._row = key, order, list(columns), Row(*columns, *made)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        state = T.StructType().add("order", T.StringType()).add("revision", T.LongType())
-        self._best = handle.getValueState("best", state)
+        self._best = handle.getValueState("best", T.StructType().add("firsts", T.StringType()))
 
     def handleInputRows(self, key, rows, timerValues):
-        order, revision = self._best.get() if self._best.exists() else (None, 0)
-        found = None
+        held = self._best.get()
+        known = json.loads(held[0]) if held else {}
+        found = {}
         for row in rows:
-            if order is None or row[self._order] < order:
-                order, found = row[self._order], row
-        if found is not None:
-            self._best.update((order, revision + 1))
-            yield self._row(*[found[c] for c in self._columns], key[0], revision + 1)
+            k, order = row[self._key], row[self._order]
+            best = found[k][self._order] if k in found else known[k][0] if k in known else None
+            if best is None or order < best:
+                found[k] = row
+        for k, row in found.items():
+            known[k] = (row[self._order], known[k][1] + 1 if k in known else 1)
+        if found:
+            self._best.update((json.dumps(known),))
+        for k, row in found.items():
+            yield self._row(*[row[c] for c in self._columns], k, known[k][1])
 
     def close(self) -> None:
         pass
@@ -67,15 +75,17 @@ def dedup_stream(stream: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     revisions: what `dedup_records` gives for all rows together. Nulls agree with each other and come first.
 
     Records of a task are thinned to one per key and Arrow batch before they are shuffled, so a key of very
-    many copies is neither one task's work nor long in the state; that holds an order and a count per key.
+    many copies is neither one task's work nor long in the state; that holds an order and a count per key,
+    in buckets of keys.
     """
     key, revision = unused(stream.columns, "record_key", "revision")
-    place, = unused([*stream.columns, key, revision], "_order")
+    place, bucket = unused([*stream.columns, key, revision], "_order", "_bucket")
     keyed = stream.withColumns({key: digest_of(stream, keys), place: order_of(stream, order)})
     out = T.StructType([*stream.schema.fields, T.StructField(key, T.StringType()), T.StructField(revision, T.LongType())])
     return (
-        keyed.mapInArrow(_first_of_each, keyed.schema).groupBy(key)
-        .transformWithState(_Firsts(place, stream.columns, (key, revision)), out, "Append", "None")
+        keyed.mapInArrow(_first_of_each, keyed.schema)
+        .withColumn(bucket, F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(_BUCKETS))).groupBy(bucket)
+        .transformWithState(_Firsts(key, place, stream.columns, (key, revision)), out, "Append", "None")
     )
 
 
