@@ -17,15 +17,15 @@ from strataset.plans import project_queries as proj, semantic_queries as sem, vi
 from strataset.plans.registry import query, table
 from strataset.plans.term_queries import split_terms, terms
 from strataset.schemas import IR_LEVELS, IR_PHASES, RAW_TERM, SEMANTIC_RECORD, TERM_SPLITS
-from strataset.session import hold, qualified, scratch_path
+from strataset.session import hold, qualified, scratch_path, spread
 from strataset.sinks import writers
 from strataset.sources import files as readers
 from strataset.sources.storage import open_store
-from strataset.streaming.batches import stream_phase_batches as stream_phase_batches_job
+from strataset.streaming.batches import batch_files, stream_phase_batches as stream_phase_batches_job
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Rows of a stored file and files of a batch here, so that there are several batches.
+# Rows of a stored file and files of a batch at least here, so that there are several batches.
 ROWS_PER_FILE, FILES_PER_BATCH = 10_000, 3
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -98,7 +98,7 @@ _TERM_DOC = (
     FROM docs WHERE c_custkey % 5 = 0""")
 def scan_term_json(spark, sf_dir):
     """Every fifth document is cut off and cannot be read."""
-    docs = table(spark, sf_dir, "customer").selectExpr(
+    docs = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")).selectExpr(
         "c_custkey", *_TERM_DOC,
         "CASE WHEN c_custkey % 2 = 0 THEN array(c_name, c_mktsegment) ELSE NULL END "
         "AS semantic_names",
@@ -397,7 +397,7 @@ def stream_phase_batches(spark, sf_dir):
 
 def _stream_phase(spark: SparkSession, stored: str, out: str):
     return stream_phase_batches_job(
-        spark, stored, SEMANTIC_RECORD, FILES_PER_BATCH, f"{out}-checkpoint", out,
+        spark, stored, SEMANTIC_RECORD, batch_files(spark, stored, FILES_PER_BATCH), f"{out}-checkpoint", out,
         lambda df: df.select(
             "id", "element_type", F.char_length("source_snippet").alias("characters")
         ),
