@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from strataset.session import any_path, scratch, scratch_path
+from strataset.session import any_path, delete, open_together, scratch, scratch_path
 from strataset.sinks.writers import FILL, MAX_MB
 from strataset.sources.files import read_footers
 from strataset.sources.storage import open_store
@@ -26,6 +26,8 @@ _NULL = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of null keys
 _ROWS = 4096
 _LEAST_FILL = 0.7  # of the largest file; below it files are packed again
 _TRIES = 4  # packings for the sake of fullness; the limit is kept however many that takes
+_TRIAL = 32  # bins that show how files are encoded together, before all are packed
+_JOB = 2000  # bins of a job, whose plan every task is told
 
 Piece = tuple[str, int, int]  # file, rows from and to
 
@@ -55,6 +57,8 @@ class _BinReader(DataSourceReader):
                     if start < last and first < start + rows:
                         at = start
                         for batch in file.iter_batches(_ROWS, [group], columns):
+                            if at >= last:
+                                break
                             a, b = max(first - at, 0), min(last - at, batch.num_rows)
                             if a < b:
                                 kept = pa.Table.from_batches([batch.slice(a, b - a)]).select(columns)
@@ -122,31 +126,50 @@ def pack_files(
     `schema` is that of the other columns. Footers give rows and bytes of each file, of which the driver has
     a line, as for any scan. Each bin of pieces is read by one task and written as one file, so no row is
     exchanged. Files encoded together have another size than apart: the largest file that came out corrects
-    the plan, and files are packed again until none is above the limit, or holds one row only.
+    the plan. If there are many bins, some of all folders are packed for that first, and all of them once;
+    files that are still above the limit are packed again, from what was written, and deleted then, until
+    none is, or holds one row only.
     """
     files = _files(spark, source, keys)
     limit = max_mb * 1024 * 1024
     shape = T.StructType([*schema.fields, *[T.StructField(k, T.StringType()) for k in keys]])
     spark.dataSource.register(Bins)
+
+    def write(bins: list, to: str, mode: str) -> None:
+        for a in range(0, max(len(bins), 1), _JOB):
+            packed = spark.createDataFrame([], shape)
+            if bins:
+                packed = (
+                    spark.read.format(Bins.name()).option("fields", shape.json()).option("keys", str(len(keys)))
+                    .option("bins", json.dumps(bins[a : a + _JOB])).load()
+                )
+            with open_together(spark):
+                packed.write.mode("append" if a else mode).partitionBy(*keys).option("compression", "snappy").parquet(to)
+
     target, tried = limit * FILL, 0
     while True:
         bins, tried = plan_bins(files, target), tried + 1
-        packed = spark.createDataFrame([], shape)
-        if bins:
-            packed = (
-                spark.read.format(Bins.name()).option("fields", shape.json()).option("keys", str(len(keys)))
-                .option("bins", json.dumps(bins)).load()
-            )
-        packed.write.mode("overwrite").partitionBy(*keys).option("compression", "snappy").parquet(out)
+        step = -(-len(bins) // _TRIAL) or 1
+        some = bins[::step]
+        to = out if step == 1 else scratch_path(spark, "trial")
+        write(some, to, "overwrite")
         if not bins:
             return
-        made = _files(spark, out, keys)
+        made = _files(spark, to, keys)
         above = [f for f in made if f[3] > limit and f[2] > 1]
         largest = max((f[3] for f in above), default=max(f[3] for f in made))
         several = len(bins) > len({values for values, _ in bins})
         if not above and (tried >= _TRIES or not several or largest >= _LEAST_FILL * limit):
-            return
+            break
         target *= limit * FILL / largest
+    if step == 1:
+        return
+    write(bins, out, "overwrite")
+    target = limit * FILL
+    while above := [f for f in _files(spark, out, keys) if f[3] > limit and f[2] > 1]:
+        write(plan_bins(above, target), out, "append")
+        delete(spark, [f[1] for f in above])
+        target *= FILL
 
 
 def write_packed_parquet(
@@ -161,5 +184,8 @@ def write_packed_parquet(
     rest = T.StructType([f for f in df.schema.fields if f.name not in keys])
     with scratch(spark):
         first = scratch_path(spark, "unpacked")
-        df.write.partitionBy(*keys).option("compression", "snappy").parquet(first)
+        # A bin reads the row groups it has rows of, so these are not much larger than a bin.
+        group = min(max(int(4 * max_mb * 1024 * 1024), 1 << 20), 128 << 20)
+        with open_together(spark):
+            df.write.partitionBy(*keys).option("compression", "snappy").option("parquet.block.size", group).parquet(first)
         pack_files(spark, first, rest, keys, path, max_mb)
