@@ -21,7 +21,7 @@ from strataset.functions.text import (
     variable_name,
 )
 from strataset.schemas import SEMANTIC_PHASES, SEMANTIC_RECORD
-from strataset.session import hold
+from strataset.session import hold, spread
 from strataset.sources import planned
 
 
@@ -252,18 +252,22 @@ def processing_order(
 
 class LocatedFiles:
     """Source files as rows of a Parquet dataset: the columns they are made of, and their path and
-    content as expressions of these."""
+    content as expressions of these. `narrow` rows, much smaller than their files, are spread over tasks
+    by their number before the files are made."""
 
-    def __init__(self, spark: SparkSession, path: str, columns: Sequence[str], file_path: str, content: str) -> None:
-        self._spark, self._path, self._columns = spark, path, list(columns)
+    def __init__(
+        self, spark: SparkSession, path: str, columns: Sequence[str], file_path: str, content: str, narrow: bool = False
+    ) -> None:
+        self._spark, self._path, self._columns, self._narrow = spark, path, list(columns), narrow
         self._file_path, self._content = F.expr(file_path), F.expr(content)
         self.keys = [planned.FILE, planned.ROW]
 
     def scan(self) -> DataFrame:
         """(file_path, content) and `keys`, which name a file."""
-        return planned.locate(self._spark, self._path).select(
-            self._file_path.alias("file_path"), self._content.alias("content"), *self.keys
-        )
+        rows = planned.locate(self._spark, self._path)
+        if self._narrow:
+            rows = spread(rows.select(*[F.col(f"`{c}`") for c in self._columns], *self.keys))
+        return rows.select(self._file_path.alias("file_path"), self._content.alias("content"), *self.keys)
 
     def attached(self, numbers: DataFrame) -> DataFrame:
         """(file_path, content) with the columns of `numbers` (`keys` and more), read where they lie."""
@@ -311,14 +315,16 @@ def ordered_records(
     keys = [["file_path"] if isinstance(p, DataFrame) else p.keys for p in parts]
     scans = [p if isinstance(p, DataFrame) else p.scan() for p in parts]
     # A key per kind of source, null for files of the others. Lines are counted as rows, which compiled
-    # code does; each task adds up its own before a row per file is moved. Held, since a sort by ranges
-    # goes through its input twice.
+    # code does; each task adds up its own by plain columns, which takes no sort of the lines, before a
+    # row per file is moved. Held, since a sort by ranges goes through its input twice.
     counted = hold(
         reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
-            _line_rows(scan.select("file_path", "content", F.struct(*key).alias(f"_key{i}")))
+            _line_rows(scan.select("file_path", "content", *[F.col(c).alias(f"_part_{c}") for c in key]))
+            .groupBy("file_path", *[f"_part_{c}" for c in key])
+            .agg(*[F.count_if(_SELECTED[p](F.col("line"))).alias(n) for n, p in zip(names, active)])
             .groupBy("file_path").agg(
-                F.first(f"_key{i}").alias(f"_key{i}"),
-                *[F.count_if(_SELECTED[p](F.col("line"))).alias(n) for n, p in zip(names, active)],
+                F.first(F.struct(*[F.col(f"_part_{c}").alias(c) for c in key])).alias(f"_key{i}"),
+                *[F.sum(n).alias(n) for n in names],
             )
             for i, (scan, key) in enumerate(zip(scans, keys))
         ]),
