@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataset.operators.semantic import LocatedFiles, explode_lines
 from strataset.plans.registry import table
+from strataset.session import spread
 
 # Text expressions that both dialects read alike: one source file per part.
 _CODE_PATH = """
@@ -42,12 +43,13 @@ concat(
          ELSE concat('fn g', CAST(p_partkey AS STRING), '<T>(a: T) -> i32 { 0 }') END),
   CASE WHEN p_size % 4 = 0 THEN chr(10) ELSE '' END)
 """
+_CODE_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_size"]
 _DOC_PATH = "concat('docs/', lang, '/', source, '/', CAST(doc_id AS STRING), '.rs')"
 
 
 def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file_path, content): a source file per part."""
-    return table(spark, sf_dir, "part").selectExpr(
+    return spread(table(spark, sf_dir, "part").select(*_CODE_COLUMNS)).selectExpr(
         f"{_CODE_PATH} AS file_path", f"{_CODE_TEXT} AS content"
     )
 
@@ -67,7 +69,7 @@ def located_files(spark: SparkSession, sf_dir: str) -> list[LocatedFiles]:
     """The same files, to be read again where they lie."""
     return [
         LocatedFiles(
-            spark, f"{sf_dir}/part.parquet", ["p_partkey", "p_name", "p_brand", "p_size"], _CODE_PATH, _CODE_TEXT
+            spark, f"{sf_dir}/part.parquet", _CODE_COLUMNS, _CODE_PATH, _CODE_TEXT, narrow=True
         ),
         LocatedFiles(
             spark, f"{sf_dir}/documents.parquet", ["doc_id", "lang", "source", "text"], _DOC_PATH, "text"
