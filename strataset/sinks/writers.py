@@ -11,7 +11,7 @@ from strataset.functions.numbering import dense_position
 from strataset.operators.ir import ir_projection
 from strataset.operators.terms import sample_per_group
 from strataset.schemas import PROJECT_RECORD
-from strataset.session import hold, scratch_path
+from strataset.session import hold, open_together, scratch_path
 from strataset.sources import planned
 
 # File limit, share of it that is used, rows per split file.
@@ -60,7 +60,8 @@ def _write_partitioned(
     writer = df.write.partitionBy(*keys).option("compression", "snappy")
     if rows is not None:
         writer = writer.option("maxRecordsPerFile", rows)
-    writer.parquet(path)
+    with open_together(df.sparkSession):
+        writer.parquet(path)
 
 
 def write_phase_parquet(records: DataFrame, path: str, max_mb: float = MAX_MB) -> None:
@@ -141,7 +142,8 @@ def write_sample_jsonl(terms: DataFrame, path: str, n: int = 1000) -> None:
 
 def write_grouped_json(df: DataFrame, key: str, path: str) -> None:
     """JSON lines below key=<value>/."""
-    df.write.partitionBy(key).option("ignoreNullFields", False).json(path)
+    with open_together(df.sparkSession):
+        df.write.partitionBy(key).option("ignoreNullFields", False).json(path)
 
 
 def write_report_json(df: DataFrame, path: str) -> None:
