@@ -34,6 +34,7 @@ FILE, ROW = "_at_file", "_at_row"  # where a row lies: the file it is in and its
 _SPLIT = "_at_split"
 _ROWS = 4096  # rows handed over together, before their size is looked at
 _BYTES = 32 << 20  # bytes handed over together, one row at least
+_SPLIT_ROWS = 50_000  # rows of a split at most, however small they are
 
 
 # ---- the narrow side: sorted by place, found by the first and last place of each of its files -----
@@ -119,6 +120,8 @@ class _RowReader(DataSourceReader):
                     if start < last and first < start + n:
                         at = start
                         for batch in file.iter_batches(_ROWS, [group], list(self._columns)):
+                            if at >= last:
+                                break
                             a, b = np.searchsorted(rows, [max(at, first), min(at + batch.num_rows, last)])
                             if a < b:
                                 kept = pa.Table.from_batches([batch]).take(pa.array(rows[a:b] - at))
@@ -155,8 +158,9 @@ def attach(spark: SparkSession, path: str, columns: Sequence[str], places: DataF
     narrow columns) names, with those columns; other rows are left out.
 
     `places` is sorted and written. Each split reads a range of rows where they lie, fetches the places
-    in it and puts both together, so contents are not exchanged, whatever their size. What reaches the
-    driver is a row per file, as in any scan. Columns must be top-level ones of types that Arrow and
+    in it and puts both together, so contents are not exchanged, whatever their size. Splits are bounded by
+    bytes and by rows: a task holds the places of its split. What reaches the driver is a row per file and
+    a line per split, as in any scan. Columns must be top-level ones of types that Arrow and
     Spark read alike, which all but nested timestamps are.
     """
     source = spark.read.parquet(path)
@@ -170,20 +174,20 @@ def attach(spark: SparkSession, path: str, columns: Sequence[str], places: DataF
         .agg(F.max("_metadata.row_index").alias("last"))
     ).collect()
     size = _split_bytes(spark, sum(r.bytes for r in files))
-    splits, held = [[]], 0
+    splits, held, full = [[]], 0, 0
     for r in sorted(files, key=lambda r: r.path):
-        parts = max(1, -(-r.bytes // size))
+        parts = max(1, -(-r.bytes // size), -(-(r.last + 1) // _SPLIT_ROWS))
         step = -(-(r.last + 1) // parts)
         for a in range(0, r.last + 1, step):
             b = min(a + step, r.last + 1)
             sides = _overlapping(bounds, [r.path, a], [r.path, b - 1])
             if not sides:
                 continue
-            if held + r.bytes // parts > size and splits[-1]:
+            if splits[-1] and (held + r.bytes // parts > size or full + b - a > _SPLIT_ROWS):
                 splits.append([])
-                held = 0
+                held = full = 0
             splits[-1].append((r.path, a, b, sides))
-            held += r.bytes // parts
+            held, full = held + r.bytes // parts, full + b - a
     return _planned(spark, PlannedRows, shape, splits, columns=json.dumps(list(columns)))
 
 
