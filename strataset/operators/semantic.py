@@ -323,7 +323,7 @@ def ordered_records(
             .groupBy("file_path", *[f"_part_{c}" for c in key])
             .agg(*[F.count_if(_SELECTED[p](F.col("line"))).alias(n) for n, p in zip(names, active)])
             .groupBy("file_path").agg(
-                F.first(F.struct(*[F.col(f"_part_{c}").alias(c) for c in key])).alias(f"_key{i}"),
+                F.min(F.struct(*[F.col(f"_part_{c}").alias(c) for c in key])).alias(f"_key{i}"),
                 *[F.sum(n).alias(n) for n in names],
             )
             for i, (scan, key) in enumerate(zip(scans, keys))
