@@ -81,3 +81,32 @@ def test_run_is_registered(spark):
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert len(got) > 100 and {r.doc_id for r in got} <= set(range(200))
+
+
+def linked_by_bits_only():
+    """Texts of which some have a few repeated lines in common, that weigh in their fingerprints but count
+    once in their sets; and, of one set, texts whose repeats differ, which are linked to unlike others."""
+    rng = random.Random(5)
+    make = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    line, a, b = make(41), make(60), make(60)
+    texts = [make(80) for _ in range(5)]
+    texts += [" ".join([line] * 400 + [a]), " ".join([line] * 400 + [b])]  # alike by bits, not by sets
+    c = make(50)
+    texts += [c + " x" * 8, c + " x" * 4000, make(50) + " x" * 4000]  # two of one set, the last one like the second
+    return texts
+
+
+def test_near_copies_by_fingerprint_go_as_those_by_shingles(spark):
+    # Links of op3 join as well, between the texts of all rows and not only between those that stand for a set.
+    from strataset.llm import simhash
+
+    texts = linked_by_bits_only()
+    sets = [shingles(t) for t in texts]
+    bits = [simhash.fingerprint(t) for t in texts]
+    n = range(len(texts))
+    by_sets = [(i, j) for i in n for j in range(i) if alike(sets[i], sets[j])]
+    by_bits = [(i, j) for i in n for j in range(i) if (bits[i] ^ bits[j]).bit_count() <= 4]
+    want = closure(n, by_sets + by_bits)
+    assert set(by_bits) == {(6, 5), (9, 8)} and by_sets == [(8, 7)] and sets[7] == sets[8]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    assert sorted(r.doc_id for r in STAGES["near_duplicates"](spark, docs, "").collect()) == sorted(set(want.values()))
