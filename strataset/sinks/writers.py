@@ -14,10 +14,11 @@ from strataset.schemas import PROJECT_RECORD
 from strataset.session import hold, open_together, scratch_path
 from strataset.sources import planned
 
-# File limit, share of it that is used, rows per split file.
+# File limit, share of it that is used, rows per split file; rows per gzipped file.
 MAX_MB = 9
 FILL = 0.9
 SPLIT_ROWS = 10_000
+JSON_ROWS = 250_000
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -141,9 +142,15 @@ def write_sample_jsonl(terms: DataFrame, path: str, n: int = 1000) -> None:
 
 
 def write_grouped_json(df: DataFrame, key: str, path: str) -> None:
-    """JSON lines below key=<value>/."""
+    """JSON lines below key=<value>/, gzipped, as the names and nulls of each record are most of its text.
+
+    A gzipped file is read by one task from its start, so it has at most `JSON_ROWS` records.
+    """
     with open_together(df.sparkSession):
-        df.write.partitionBy(key).option("ignoreNullFields", False).json(path)
+        (
+            df.write.partitionBy(key).option("ignoreNullFields", False).option("compression", "gzip")
+            .option("maxRecordsPerFile", JSON_ROWS).json(path)
+        )
 
 
 def write_report_json(df: DataFrame, path: str) -> None:

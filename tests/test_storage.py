@@ -1,4 +1,5 @@
 import decimal
+import gzip
 import json
 import os
 import pathlib
@@ -352,3 +353,18 @@ def test_completeness(spark):
 def test_shared_folder_is_the_configured_one(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert session.scratch_path(spark, "x").startswith(session.shared_dir(spark))
+
+
+def test_grouped_json_is_small_and_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "JSON_ROWS", 700)
+    out = tmp_path / "grouped"
+    data = records(spark, 2000)
+    writers.write_grouped_json(data, "phase", str(out))
+    files = [f for f in out.rglob("part-*") if f.stat().st_size]
+    texts = [gzip.decompress(f.read_bytes()).decode() for f in files]
+    lines = [json.loads(line) for t in texts for line in t.splitlines()]
+    assert len(lines) == data.count() > 2000 and all(set(x) == set(data.columns) - {"phase"} for x in lines)
+    assert max(len(t.splitlines()) for t in texts) <= 700
+    assert 5 * sum(f.stat().st_size for f in files) < sum(len(t.encode()) for t in texts)
+    back = readers.scan_phase_json(spark, str(out))
+    assert back.exceptAll(data).isEmpty() and data.exceptAll(back).isEmpty()
