@@ -1,11 +1,15 @@
 """Transitive dependencies and as-of joins against plain versions."""
 
 import random
+import re
 from bisect import bisect_right
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from strataset.functions.asof import as_of, fill_forward
+from strataset.operators import graph
 from strataset.operators.graph import reachable, transitive_counts
 
 
@@ -45,6 +49,41 @@ def test_reachable_equals_a_search(spark):
     assert reachable(df.limit(0)).count() == 0
 
 
+def test_rounds_move_the_last_pairs_only_and_buckets_stay_small(spark, monkeypatch):
+    monkeypatch.setattr(graph, "_BUCKET_EDGES", 40)
+    monkeypatch.setattr(graph, "_ROWS", 16)
+    pick, read, plain = random.Random(7), [], graph._add_round
+
+    def add_round(session, pairs, path, depth, buckets):
+        read.append({int(d) for f in pairs.inputFiles() for d in re.findall(r"depth=(\d+)", f)})
+        frontier = plain(session, pairs, path, depth, buckets)
+        sizes = [r["count"] for r in session.read.parquet(f"{path}/depth=1").groupBy("bucket").count().collect()]
+        assert buckets > 5 and len(sizes) > 5 and max(sizes) < sum(sizes) // 2
+        return frontier
+
+    monkeypatch.setattr(graph, "_add_round", add_round)
+    edges = [(f"n{pick.randrange(90)}", f"n{pick.randrange(90)}") for _ in range(120)] + [("all", f"n{i}") for i in range(90)]
+    edges += [(f"c{i}", f"c{(i + 1) % 12}") for i in range(12)] + [(f"user{i}", "n1") for i in range(40)]
+    pairs = plain_reach(edges)
+    df = spark.createDataFrame(edges, "package string, dependency string")
+    assert {(r.package, r.dependency): r.depth for r in reachable(df).collect()} == pairs
+    assert len(read) > 10 and read == [set(), *[{d} for d in range(1, len(read))]]  # no earlier round is read again
+    names = sorted({x for e in edges for x in e})
+    packages = spark.createDataFrame([(n,) for n in names], "package string")
+    got = {r.package: tuple(r)[1:] for r in transitive_counts(packages, df).collect()}
+    for n in names:
+        own = {b: d for (a, b), d in pairs.items() if a == n and b != n}
+        dependents = sum(b == n and a != n for a, b in pairs)
+        assert got[n] == (sum(d == 1 for d in own.values()), len(own), dependents, max(own.values(), default=0), (n, n) in pairs)
+
+
+def test_known_pairs_are_taken_out_of_sorted_ones():
+    keys = np.array([1, 4, 6, 9, 12])
+    known = [(1, np.array([4, 9])), (2, np.array([0, 20])), (3, np.array([12]))]
+    assert graph._unknown(keys, iter(known)).tolist() == [1, 6]
+    assert graph._different(np.array([3, 1, 3])).tolist() == [1, 3] and not len(graph._different(keys[:0]))
+
+
 def test_as_of_equals_a_search(spark):
     pick = random.Random(6)
     facts = [(pick.choice(["a", "b", "hot", "hot", "hot", None]), pick.choice([None, *range(500)]), pick.randrange(50)) for _ in range(900)]
